@@ -155,8 +155,9 @@ def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code",
     part, order = list(part), list(order)
     first = (df.where(F.col(level).isNotNull()).groupBy(*part, level)
                .agg(F.min(F.struct(*[F.col(c) for c in order])).alias(_P + "first")))
-    first = first.select(*part, level, *[F.col(_P + "first")[c].alias(c) for c in order])
-    coded = number_rows(first, part, order, name, block_size=block_size)
+    okeys = [_P + "o_" + c for c in order]
+    first = first.select(*part, level, *[F.col(_P + "first")[c].alias(k) for c, k in zip(order, okeys)])
+    coded = number_rows(first, part, okeys, name, block_size=block_size)
     return coded.select(*part, level, name)
 
 

@@ -64,7 +64,7 @@ def first_names(spark: SparkSession) -> DataFrame:
 
 
 def sql_values(rows, names) -> str:
-    """``(VALUES ...) AS t(names)`` for the oracle SQL."""
+    """``(SELECT * FROM (VALUES ...) AS v(names))`` for the oracle SQL."""
     def lit(v):
         if v is None:
             return "NULL"
@@ -72,7 +72,7 @@ def sql_values(rows, names) -> str:
             return "'" + v.replace("'", "''") + "'"
         return repr(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(names)})"
+    return f"(SELECT * FROM (VALUES {body}) AS v({', '.join(names)}))"
 
 
 __all__ = ["STOP_WORDS", "POSITIVE", "NEGATIVE", "SCORES", "CAST", "SPEAKER_ALIASES",

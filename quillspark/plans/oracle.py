@@ -229,7 +229,7 @@ SQL: dict[str, str] = {
     "compare_vocab": f"""SELECT word, a / sum(a) OVER () AS share_en, b / sum(b) OVER () AS share_de
         FROM (SELECT en.word, en.n AS a, de.n AS b FROM {_lang_counts('en', True)} en
               JOIN {_lang_counts('de', True)} de ON en.word = de.word)""",
-    "tf_idf": f"""SELECT lang, word, n, tf, idf, tf_idf FROM {_tfidf(
+    "tf_idf": f"""SELECT lang, word, n, tf, round(idf, {Q.LN_DIGITS}) AS idf, round(tf_idf, {Q.LN_DIGITS}) AS tf_idf FROM {_tfidf(
         f"(SELECT lang, word, count(*) AS n FROM {DOC_TOKENS} WHERE {NOT_STOP} GROUP BY lang, word)",
         'word', 'lang')}""",
     "sentiment_arc": f"""SELECT doc_id, "index", negative, positive, positive - negative AS sentiment FROM (
@@ -243,11 +243,11 @@ SQL: dict[str, str] = {
         FROM {LINE_TOKENS} t JOIN {POLARITY} p ON t.word = p.word WHERE t.{NOT_STOP} GROUP BY 1, 2, 3""",
     "sentiment_decile": f"""SELECT c.decile, sum(s.score * c.n) / sum(c.n) AS score
         FROM {DECILE_COUNTS} c JOIN {SCORES} s ON c.word = s.word GROUP BY c.decile""",
-    "top_terms": f"""SELECT source, word, n, tf_idf FROM (
+    "top_terms": f"""SELECT source, word, n, round(tf_idf, {Q.LN_DIGITS}) AS tf_idf FROM (
         SELECT *, rank() OVER (PARTITION BY source ORDER BY tf_idf DESC) AS rk FROM {_tfidf(
         f"(SELECT source, word, count(*) AS n FROM {DOC_TOKENS} WHERE {NOT_STOP} GROUP BY source, word)",
         'word', 'source')} WHERE n > {Q.MIN_N_TOP}) WHERE rk <= {Q.TOP_K}""",
-    "tfidf_decile": f"""SELECT decile, word, n, tf_idf FROM (
+    "tfidf_decile": f"""SELECT decile, word, n, round(tf_idf, {Q.LN_DIGITS}) AS tf_idf FROM (
         SELECT *, rank() OVER (ORDER BY tf_idf DESC) AS rk FROM {_tfidf(DECILE_COUNTS, 'word', 'decile')}
         WHERE n > {Q.MIN_N_DECILE}) WHERE rk <= {Q.TOP_K}""",
     "select_works": f"""SELECT doc_id, subject FROM {_sel_base()} s

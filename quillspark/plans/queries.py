@@ -37,6 +37,9 @@ ACT_PATTERN = "^(The|Le|Die|El) "
 SCENE_LITERAL = "ing."
 SCENE_FIXES = {"tion": "TION"}
 REPLACE_PATTERN = "th[a-z]"
+# ln() of the JVM and of C libraries may differ in the last bit; values
+# built on it are reported rounded to this many decimals.
+LN_DIGITS = 12
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -464,9 +467,13 @@ def _lang_word_counts(spark, base):
     return counts.word_counts(doc_tokens(spark, base), ["lang"], _stop(spark), sort=False)
 
 
+def _ln_rounded(df, cols=("idf", "tf_idf")):
+    return df.withColumns({c: F.round(c, LN_DIGITS) for c in cols if c in df.columns})
+
+
 @register
 def tf_idf(spark, base):
-    return weights.tf_idf(_lang_word_counts(spark, base), "word", "lang")
+    return _ln_rounded(weights.tf_idf(_lang_word_counts(spark, base), "word", "lang"))
 
 
 @register
@@ -491,14 +498,14 @@ def sentiment_decile(spark, base):
 def top_terms(spark, base):
     c = counts.word_counts(doc_tokens(spark, base), ["source"], _stop(spark), sort=False)
     w = weights.tf_idf(c, "word", "source")
-    return weights.top_terms(w, ["source"], TOP_K, min_n=MIN_N_TOP).select("source", "word", "n", "tf_idf")
+    return _ln_rounded(weights.top_terms(w, ["source"], TOP_K, min_n=MIN_N_TOP).select("source", "word", "n", "tf_idf"))
 
 
 @register
 def tfidf_decile(spark, base):
     out = position.top_terms_by_decile(doc_tokens(spark, base), ["doc_id"], ["tpos"], _stop(spark),
                                        min_n=MIN_N_DECILE, k=TOP_K)
-    return out.select("decile", "word", "n", "tf_idf")
+    return _ln_rounded(out.select("decile", "word", "n", "tf_idf"))
 
 
 def _catalogue(spark, base):

@@ -27,23 +27,14 @@ def norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return repr(float(v))
-    if hasattr(v, "item"):
-        v = v.item()
-        return norm(v)
-    if isinstance(v, (int,)) and not isinstance(v, bool):
-        return repr(int(v))
+        return "nan" if math.isnan(v) else repr(v)
     return repr(v)
 
 
-def rows_of(pdf):
-    cols = sorted(pdf.columns)
-    out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(norm(None if (isinstance(x, float) and math.isnan(x)) else x) for x in rec))
-    return cols, sorted(out)
+def rows_of(table):
+    cols = sorted(table.column_names)
+    data = [table.column(c).to_pylist() for c in cols]
+    return cols, sorted(tuple(norm(x) for x in rec) for rec in zip(*data))
 
 
 def main():
@@ -60,14 +51,14 @@ def main():
         try:
             sdf = qs[name](spark, base)
             stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
-            spdf = sdf.toPandas()
+            spdf = sdf.toArrow()
             t1 = time.time()
             if name not in sql:
-                print(f"{name:22s} rows={len(spdf)} (no sql) {t1-t0:.1f}s", flush=True)
+                print(f"{name:22s} rows={spdf.num_rows} (no sql) {t1-t0:.1f}s", flush=True)
                 continue
             rel = con.sql(sql[name])
             dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
-            dpdf = rel.df()
+            dpdf = rel.to_arrow_table()
             c1, r1 = rows_of(spdf)
             c2, r2 = rows_of(dpdf)
             ok = c1 == c2 and r1 == r2
