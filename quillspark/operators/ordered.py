@@ -65,20 +65,20 @@ def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
 
     w = Window.partitionBy(key).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
 
-    local = []
-    for name, (val, inclusive) in running.items():
+    # window pass inside each block; running sums are inclusive here
+    for name, (val, _) in running.items():
         d = d.withColumn(_P + "v_" + name, _lit(val))
-        local.append(F.coalesce(F.sum(_P + "v_" + name).over(upto if inclusive else before),
-                                F.lit(0)).alias(_P + "r_" + name))
+    local = [F.coalesce(F.sum(_P + "v_" + n).over(upto), F.lit(0)).alias(_P + "r_" + n) for n in running]
     local += [F.last(c, ignorenulls=True).over(upto).alias(_P + "d_" + c) for c in fill_down]
     local += [F.first(c, ignorenulls=True).over(after).alias(_P + "u_" + c) for c in fill_up]
     d = d.select("*", *local)
 
-    # one row per block: totals and the last/first non-NULL value in it
-    at = F.struct(*[F.col(c) for c in order])
+    # One row per block, aggregated from the window's input columns so the
+    # partial aggregation runs before the shuffle. Ordering by a single
+    # column keeps the aggregation buffers primitive (hash aggregation).
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     aggs = [F.sum(_P + "v_" + n).alias(_P + "bs_" + n) for n in running]
     aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(_P + "bd_" + c) for c in fill_down]
     aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(_P + "bu_" + c) for c in fill_up]
@@ -100,8 +100,10 @@ def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
 
     out = d.join(carry_df, key, "inner")
     new_cols = {}
-    for n in running:
-        new_cols[n] = F.col(_P + "r_" + n) + F.col(_P + "o_" + n)
+    for n, (_, inclusive) in running.items():
+        local_sum = F.col(_P + "r_" + n) if inclusive else F.col(_P + "r_" + n) - F.coalesce(
+            F.col(_P + "v_" + n), F.lit(0))
+        new_cols[n] = local_sum + F.col(_P + "o_" + n)
     for c in fill_down:
         new_cols[c] = F.coalesce(F.col(_P + "d_" + c), F.col(_P + "cd_" + c))
     for c in fill_up:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import decile_of
+from quillspark.functions.text import decile_of, tokens_of
 from quillspark.operators.counts import count_by
 from quillspark.operators.ordered import DEFAULT_BLOCK, number_rows
 from quillspark.operators.relational import bounded_broadcast
@@ -22,6 +22,44 @@ def relative_position(df: DataFrame, part: Sequence[str], order: Sequence[str],
     return d.withColumn(name, F.col("__rn") / F.col("__n")).drop("__rn", "__n")
 
 
+# Largest stop list handled inside the row (it becomes a literal array).
+MAX_INLINE_STOP = 2000
+
+
+def text_positions(df: DataFrame, text_col: str = "text", *, stop_words=None, keep=None,
+                   word: str = "word", position: str = "tpos",
+                   name: str = "word_position") -> DataFrame:
+    """Tokens of each text with their relative position among the kept
+    tokens: ``unnest_tokens`` + stop-word ``anti_join`` + ``row_number()/n()``
+    per text, computed inside the row.
+
+    When every sequence is one text in one row (a document, a book read
+    whole), its tokens never need to meet again: the stop words are dropped
+    from the token array, ranks are array indexes and ``n()`` the array size.
+    No shuffle, no window. ``position`` keeps the token's index in the full
+    text. ``stop_words`` is a small word list (at most ``MAX_INLINE_STOP``).
+    """
+    keep = [c for c in df.columns if c != text_col] if keep is None else list(keep)
+    toks = F.transform(tokens_of(text_col), lambda w, i: F.struct((i + 1).alias("p"), w.alias("w")))
+    if stop_words:
+        stop_words = list(stop_words)
+        if len(stop_words) > MAX_INLINE_STOP:
+            raise ValueError("stop list too long to inline; use relative_position on a token table")
+        stop = F.array(*[F.lit(w) for w in stop_words])
+        toks = F.filter(toks, lambda t: ~F.array_contains(stop, t["w"]))
+    d = df.select(*keep, toks.alias("__toks"))
+    d = d.select(*keep, F.size("__toks").alias("__n"), F.posexplode("__toks").alias("__r", "__t"))
+    return d.select(*keep, F.col("__t")["p"].alias(position), F.col("__t")["w"].alias(word),
+                    ((F.col("__r") + 1) / F.col("__n")).alias(name))
+
+
+def text_decile_counts(df: DataFrame, text_col: str = "text", *, stop_words=None,
+                       word: str = "word") -> DataFrame:
+    """``count(decile, word)`` of texts one row each (see ``text_positions``)."""
+    t = with_decile(text_positions(df, text_col, stop_words=stop_words, keep=[], word=word))
+    return count_by(t, ["decile", word])
+
+
 def with_decile(df: DataFrame, rel: str = "word_position", name: str = "decile") -> DataFrame:
     """``mutate(decile = ceiling(rel * 10) / 10)``."""
     return df.withColumn(name, decile_of(rel))
@@ -43,6 +81,11 @@ def sentiment_by_decile(tokens: DataFrame, scores: DataFrame, part, order,
     Positions are taken after stop-word removal, as in the analysis.
     """
     c = decile_counts(tokens, part, order, stop, word, block_size=block_size)
+    return decile_scores(c, scores, word, score)
+
+
+def decile_scores(c: DataFrame, scores: DataFrame, word: str = "word", score: str = "score") -> DataFrame:
+    """``inner_join(scores) %>% group_by(decile) %>% summarize(sum(score*n)/sum(n))``."""
     j = c.join(bounded_broadcast(scores.select(word, score)), word)
     return (j.groupBy("decile")
              .agg((F.sum(F.col(score) * F.col("n")) / F.sum("n")).alias(score)))
@@ -53,9 +96,15 @@ def top_terms_by_decile(tokens: DataFrame, part, order, stop: DataFrame | None =
                         block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Q8: tf-idf with the decile as document, ``n > min_n``, global top-k."""
     c = decile_counts(tokens, part, order, stop, word, block_size=block_size)
+    return decile_top_terms(c, word, min_n=min_n, k=k)
+
+
+def decile_top_terms(c: DataFrame, word: str = "word", *, min_n: int = 30, k: int = 10) -> DataFrame:
+    """tf-idf of decile counts with the decile as document, ``n > min_n``, top-k."""
     w = tf_idf(c, word, "decile")
     return top_k_ties(w.where(F.col("n") > min_n), [], k, "tf_idf")
 
 
-__all__ = ["relative_position", "with_decile", "decile_counts", "sentiment_by_decile",
+__all__ = ["text_positions", "text_decile_counts", "decile_scores", "decile_top_terms",
+           "MAX_INLINE_STOP", "relative_position", "with_decile", "decile_counts", "sentiment_by_decile",
            "top_terms_by_decile"]

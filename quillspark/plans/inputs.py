@@ -17,8 +17,13 @@ from quillspark.sources.text import text_lines
 DOC_KEYS = ["doc_id", "lang", "source"]
 
 
+# Text tables are spread over the cores when stored in few splits (the
+# driver's files hold one row group each).
+SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return load_table(spark, base, name)
+    return load_table(spark, base, name, spread_key=SPREAD_KEYS.get(name))
 
 
 def doc_lines(spark: SparkSession, base: str, neighbours: dict | None = None) -> DataFrame:

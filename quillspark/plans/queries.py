@@ -265,15 +265,23 @@ def line_number(spark, base):
     return ordered.number_rows(lines, ["doc_id"], ["line_no"], "rn")
 
 
+def _docs_text(spark, base):
+    return _docs(spark, base).select("doc_id", "text")
+
+
 @register
 def rel_position(spark, base):
-    t = remove_stopwords(doc_tokens(spark, base), _stop(spark)).select("doc_id", "tpos")
-    return position.relative_position(t, ["doc_id"], ["tpos"])
+    t = position.text_positions(_docs_text(spark, base), stop_words=FX.STOP_WORDS)
+    return t.select("doc_id", "tpos", "word_position")
+
+
+def _decile_counts(spark, base):
+    return position.text_decile_counts(_docs_text(spark, base), stop_words=FX.STOP_WORDS)
 
 
 @register
 def decile_counts(spark, base):
-    return position.decile_counts(doc_tokens(spark, base), ["doc_id"], ["tpos"], _stop(spark))
+    return _decile_counts(spark, base)
 
 
 CONV_ORDER = ["turn", "line_no"]
@@ -490,8 +498,7 @@ def sentiment_signed(spark, base):
 
 @register
 def sentiment_decile(spark, base):
-    return position.sentiment_by_decile(doc_tokens(spark, base), FX.scores(spark), ["doc_id"], ["tpos"],
-                                        _stop(spark))
+    return position.decile_scores(_decile_counts(spark, base), FX.scores(spark))
 
 
 @register
@@ -503,8 +510,7 @@ def top_terms(spark, base):
 
 @register
 def tfidf_decile(spark, base):
-    out = position.top_terms_by_decile(doc_tokens(spark, base), ["doc_id"], ["tpos"], _stop(spark),
-                                       min_n=MIN_N_DECILE, k=TOP_K)
+    out = position.decile_top_terms(_decile_counts(spark, base), min_n=MIN_N_DECILE, k=TOP_K)
     return _ln_rounded(out.select("decile", "word", "n", "tf_idf"))
 
 

@@ -7,9 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, base: str, name: str, *, spread_key: str | None = None) -> DataFrame:
+    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``).
+
+    With ``spread_key``, a table stored in fewer splits than the cluster has
+    cores (e.g. one large row group) is hash-partitioned on that key over all
+    cores before CPU-heavy text work. Large inputs already arrive in many
+    splits and are left as read (no extra shuffle).
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if spread_key is not None:
+        return spread(df, spread_key)
+    return df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` over all cores if it has fewer
+    partitions than that; otherwise return it unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
 
 
 def read_csv_header(spark: SparkSession, path: str, schema: StructType, *,
@@ -45,4 +63,4 @@ def make_table(spark: SparkSession, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-__all__ = ["load_table", "read_csv_header", "read_tsv", "write_csv", "make_table"]
+__all__ = ["spread", "load_table", "read_csv_header", "read_tsv", "write_csv", "make_table"]
