@@ -19,13 +19,14 @@ def tf_idf(counts: DataFrame, term: str, doc: str, n: str = "n") -> DataFrame:
     document or term, so a hot term or a long document does not land in one
     task); the document count is a scalar subquery.
     """
-    # Every branch reads the (doc, term, n) aggregate through ``n``, so the
-    # optimiser keeps it in each and the branches share one shuffle of it.
+    # Every branch reads ``n`` through the same test (``n > 0``, true for
+    # counts), so the optimiser keeps the (doc, term, n) aggregate intact in
+    # each branch and they share its shuffle: the input is tokenised once.
+    has = F.col(n) > 0
     doc_tot = counts.groupBy(doc).agg(F.sum(n).alias("__doc_total"))
-    term_df = counts.groupBy(term).agg(F.count(n).alias("__doc_freq"))
-    present = F.col(n).isNotNull()
-    n_docs = counts.agg(F.count_distinct(F.when(present, F.col(doc)))
-                        + F.coalesce(F.max(F.when(present, F.col(doc).isNull().cast("int"))), F.lit(0))
+    term_df = counts.groupBy(term).agg(F.count(F.when(has, F.lit(1))).alias("__doc_freq"))
+    n_docs = counts.agg(F.count_distinct(F.when(has, F.col(doc)))
+                        + F.coalesce(F.max(F.when(has, F.col(doc).isNull().cast("int"))), F.lit(0))
                         ).scalar()
     out = join_on(join_on(counts, doc_tot, [doc]), term_df, [term])
     out = out.withColumns({
