@@ -22,19 +22,20 @@ DOC_KEYS = ["doc_id", "lang", "source"]
 SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
 
 
-def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return load_table(spark, base, name, spread_key=SPREAD_KEYS.get(name))
+def table(spark: SparkSession, base: str, name: str, *, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` before tokenising or splitting its text."""
+    return load_table(spark, base, name, spread_key=SPREAD_KEYS.get(name) if spread else None)
 
 
 def doc_lines(spark: SparkSession, base: str, neighbours: dict | None = None) -> DataFrame:
     """``(doc_id, lang, source, line_no, line[, neighbours])``."""
-    docs = table(spark, base, "documents").select(*DOC_KEYS, "text")
+    docs = table(spark, base, "documents", spread=True).select(*DOC_KEYS, "text")
     return text_lines(docs, "text", neighbours=neighbours)
 
 
 def doc_tokens(spark: SparkSession, base: str) -> DataFrame:
     """``(doc_id, lang, source, tpos, word)``, ``tpos`` 1..n over the whole text."""
-    docs = table(spark, base, "documents").select(*DOC_KEYS, "text")
+    docs = table(spark, base, "documents", spread=True).select(*DOC_KEYS, "text")
     return unnest_tokens(docs, "text", "word", position="tpos")
 
 
@@ -45,7 +46,7 @@ def line_tokens(spark: SparkSession, base: str) -> DataFrame:
 
 def conv_lines(spark: SparkSession, base: str) -> DataFrame:
     """``(conv_id, turn, role, line_no, line)``."""
-    conv = table(spark, base, "conversations").select("conv_id", "turn", "role", "text")
+    conv = table(spark, base, "conversations", spread=True).select("conv_id", "turn", "role", "text")
     return text_lines(conv, "text")
 
 

@@ -266,7 +266,7 @@ def line_number(spark, base):
 
 
 def _docs_text(spark, base):
-    return _docs(spark, base).select("doc_id", "text")
+    return table(spark, base, "documents", spread=True).select("doc_id", "text")
 
 
 @register

@@ -48,7 +48,7 @@ def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename") ->
     place, so the line numbers follow the file. The file name comes from the
     file metadata without its directory (``list.files`` + ``gsub``).
     """
-    raw = (spark.read.option("wholetext", True).text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_name").alias(file_col), F.col("value").alias("text")))
     return text_lines(raw, "text", keep=[file_col], line_col="line", number_col="line_no")
 
