@@ -26,18 +26,32 @@ def text_lines(df: DataFrame, text_col: str = "text", *, keep=None,
     keep       -- columns carried to every line (default: all but the text).
     neighbours -- ``{name: k}`` extra columns holding the line ``k`` rows
                   before (k > 0) or after (k < 0) within the same text. They
-                  are read from the split array in place, so this costs no
-                  shuffle (NULL beyond the ends).
+                  are built as shifted copies of the split array before it
+                  is exploded, so this costs no shuffle (NULL beyond the
+                  ends).
+
+    The exploded rows never carry the whole array (that would copy the text
+    once per line).
     """
     keep = [c for c in df.columns if c != text_col] if keep is None else list(keep)
+    if not neighbours:
+        d = df.select(*keep, F.posexplode(split_lines(F.col(text_col))).alias("__pos", line_col))
+        return d.select(*keep, (F.col("__pos") + 1).alias(number_col), line_col)
     arr = "__lines"
     d = df.select(*keep, split_lines(F.col(text_col)).alias(arr))
-    d = d.select(*keep, arr, F.posexplode(arr).alias("__pos", line_col))
-    cols = [*keep, (F.col("__pos") + 1).alias(number_col), line_col]
-    for name, k in (neighbours or {}).items():
-        idx = F.col("__pos") + 1 - F.lit(k)
-        cols.append(F.when((idx >= 1) & (idx <= F.size(arr)),
-                           F.element_at(F.col(arr), idx.cast("int"))).alias(name))
+    n = F.size(arr)
+    fields = [F.col(arr).alias(line_col)]
+    for name, k in neighbours.items():
+        pad = F.array_repeat(F.lit(None).cast("string"), abs(k))
+        if k > 0:     # value k lines back: k NULLs, then the array without its last k
+            shifted = F.concat(pad, F.slice(arr, 1, F.greatest(n - abs(k), F.lit(0))))
+        else:         # value k lines ahead: the array from k+1 on, then k NULLs
+            shifted = F.concat(F.slice(arr, abs(k) + 1, F.greatest(n - abs(k), F.lit(0))), pad)
+        fields.append(F.slice(shifted, 1, n).alias(name))
+    zipped = F.arrays_zip(*fields)
+    d = d.select(*keep, F.posexplode(zipped).alias("__pos", "__z"))
+    cols = [*keep, (F.col("__pos") + 1).alias(number_col), F.col("__z")[line_col].alias(line_col)]
+    cols += [F.col("__z")[name].alias(name) for name in neighbours]
     return d.select(*cols)
 
 
