@@ -309,6 +309,9 @@ SQL: dict[str, str] = {
     "roles_per_conv": f"SELECT conv_id, {_nd('role')} AS n FROM {DIALOGUE} GROUP BY conv_id",
     "lines_per_role": f"""SELECT conv_id, role, {_nd('dialrank')} AS n_turns, count(*) AS n FROM {DIALOGUE}
         GROUP BY conv_id, role""",
+    "scene_sizes": f"""SELECT d.conv_id, c.nameshort, c.gender, {_nd('d.dialrank')} AS n_turns, count(*) AS n
+        FROM {DIALOGUE} d LEFT JOIN {CAST} c ON d.role IS NOT DISTINCT FROM c.speaker_clean
+        WHERE c.gender IS NOT NULL GROUP BY d.conv_id, c.nameshort, c.gender""",
     "words_per_role": f"""SELECT c.conv_id, c.role, c.n, fc.scene_code, fr.role_code,
                concat_ws('.', fc.scene_code, fr.role_code) AS label
         FROM (SELECT conv_id, role, count(*) AS n FROM {CONV_TOKENS} GROUP BY conv_id, role) c

@@ -614,6 +614,16 @@ def lines_per_role(spark, base):
     return dialogue.lines_per(_dialogue(spark, base), ["conv_id", "role"])
 
 
+@register
+def scene_sizes(spark, base):
+    """Q23: turns and lines per scene and cast member, cast members with a
+    known gender only."""
+    cast = FX.cast_table(spark).select("speaker_clean", "nameshort", "gender")
+    d = R.join_on(_dialogue(spark, base), cast, {"role": "speaker_clean"}, "left")
+    return (dialogue.lines_per(d, ["conv_id", "nameshort", "gender"]).where(F.col("gender").isNotNull())
+            .orderBy("conv_id", "nameshort"))
+
+
 @register
 def words_per_role(spark, base):
     lines = conv_lines(spark, base)
