@@ -61,6 +61,12 @@ def main():
             dpdf = rel.to_arrow_table()
             c1, r1 = rows_of(spdf)
             c2, r2 = rows_of(dpdf)
+            tmap = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                    "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                    "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
+            type_diff = {k: (v, dtypes.get(k)) for k, v in stypes.items() if tmap.get(v, v) != dtypes.get(k)}
+            if type_diff:
+                print(f"{name:22s} TYPES differ: {type_diff}", flush=True)
             ok = c1 == c2 and r1 == r2
             msg = "ok" if ok else "MISMATCH"
             extra = ""
