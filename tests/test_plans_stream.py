@@ -30,6 +30,11 @@ def test_no_single_partition_window_in_ordered_scans(spark):
         assert "SinglePartition" not in p, name
 
 
+def test_group_top_k_limits_before_shuffle(spark):
+    p = plan_text(queries()["topk_ties_group"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
 def test_column_pruning_reaches_scan(spark):
     p = plan_text(queries()["count_by"](spark, SF_SMALL))
     assert "ReadSchema: struct<lang:string>" in p
