@@ -122,6 +122,24 @@ def number_rows(df: DataFrame, part, order, name: str = "row_no", *,
                         group_total=group_total, block_size=block_size)
 
 
+def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_no", *,
+                      block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """``row_number()`` over the whole table ordered by ``(outer, inner_order...)``
+    (``mutate(rownumber = 1:nrow(x))`` on a table of many sequences).
+
+    Rows are numbered inside each ``outer`` sequence, the sequences' sizes
+    (one row each) are turned into offsets by a scan ordered by ``outer``,
+    and the offsets are joined back. No step sees the whole table in one
+    task, even when one sequence is most of it. ``outer`` must be integral.
+    """
+    inner = number_rows(df, [outer], inner_order, _P + "rin", group_total=_P + "nin", block_size=block_size)
+    sizes = inner.groupBy(outer).agg(F.max(_P + "nin").alias(_P + "nin"))
+    offsets = ordered_scan(sizes, [], [outer], running={_P + "off": (F.col(_P + "nin"), False)},
+                           block_size=block_size).select(outer, _P + "off")
+    out = inner.join(offsets, outer)
+    return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
+
+
 def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple]) -> DataFrame:
     """Add lag/lead columns on dense positions.
 
@@ -163,4 +181,4 @@ def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code",
     return coded.select(*part, level, name)
 
 
-__all__ = ["ordered_scan", "number_rows", "shift", "first_seen_code", "DEFAULT_BLOCK"]
+__all__ = ["ordered_scan", "number_rows", "nested_row_number", "shift", "first_seen_code", "DEFAULT_BLOCK"]

@@ -171,6 +171,8 @@ SQL: dict[str, str] = {
     "drop_dupes": "SELECT DISTINCT text, lang FROM documents",
     "line_number": f"""SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS rn
         FROM {DOC_LINES} WHERE length(line) >= {Q.BLANK_LEN}""",
+    "row_number_all": f"""SELECT conv_id, turn, line_no, row_number() OVER (ORDER BY conv_id, turn, line_no)
+        AS rownumber FROM {CONV_LINES}""",
     "rel_position": f"SELECT doc_id, tpos, word_position FROM {_rel_pos()}",
     "decile_counts": f"SELECT decile, word, n FROM {DECILE_COUNTS}",
     "lag_lead": f"""SELECT conv_id, turn, line_no, row_number() OVER w AS rownumber, lag(line, 1) OVER w AS prev1,

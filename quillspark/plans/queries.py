@@ -269,6 +269,13 @@ def _docs_text(spark, base):
     return table(spark, base, "documents", spread=True).select("doc_id", "text")
 
 
+@register
+def row_number_all(spark, base):
+    """N2: one running line number over all conversations."""
+    lines = conv_lines(spark, base).select("conv_id", "turn", "line_no")
+    return ordered.nested_row_number(lines, "conv_id", ["turn", "line_no"], "rownumber")
+
+
 @register
 def rel_position(spark, base):
     t = position.text_positions(_docs_text(spark, base), stop_words=FX.STOP_WORDS)

@@ -89,3 +89,10 @@ def test_first_seen_code(spark):
                                 (2, 1, "c")], "part int, ord int, lvl string")
     got = ordered.first_seen_code(df, ["part"], ["ord"], "lvl", "code", block_size=2)
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 2), (1, "b", 1), (1, "c", 3), (2, "c", 1)]
+
+
+def test_nested_row_number(spark):
+    df = make(spark, n_parts=4, n=9, seed=11)
+    got = ordered.nested_row_number(df, "part", ["ord"], "rn", block_size=2)
+    want = df.select("part", "ord", F.row_number().over(Window.orderBy("part", "ord")).alias("rn"))
+    assert sorted((r.part, r.ord, r.rn) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
