@@ -341,6 +341,14 @@ SQL: dict[str, str] = {
                count(*) FILTER (WHERE p.neg_pos = 'pos') AS pos
         FROM {CONV_TOKENS} t JOIN {NEGPOS} p ON t.word = p.word WHERE t.{NOT_STOP} GROUP BY t.conv_id)
         ORDER BY sentiment, conv_id""",
+    "sentiment_by_conv_ordered": f"""SELECT s.*, fc.scene_code FROM (
+        SELECT conv_id, neg, pos, pos - neg AS sentiment FROM (
+          SELECT t.conv_id, count(*) FILTER (WHERE p.neg_pos = 'neg') AS neg,
+                 count(*) FILTER (WHERE p.neg_pos = 'pos') AS pos
+          FROM {CONV_TOKENS} t JOIN {NEGPOS} p ON t.word = p.word WHERE t.{NOT_STOP} GROUP BY t.conv_id)) s
+        LEFT JOIN (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS scene_code
+                   FROM (SELECT DISTINCT conv_id FROM {CONV_LINES} WHERE conv_id IS NOT NULL)) fc
+        ON s.conv_id = fc.conv_id ORDER BY fc.scene_code""",
     "scene_at": f"""SELECT conv_id, turn, line_no, line FROM {CONV_LINES}
         WHERE conv_id = (SELECT conv_id FROM (SELECT DISTINCT conv_id FROM {CONV_LINES} WHERE conv_id IS NOT NULL)
                          ORDER BY conv_id LIMIT 1 OFFSET 4)""",

@@ -660,6 +660,15 @@ def sentiment_by_conv(spark, base):
     return sentiment.sentiment_by(tokens, lex, ["conv_id"], stop=_stop(spark))
 
 
+@register
+def sentiment_by_conv_ordered(spark, base):
+    """Q21, second form: scene sentiment listed in order of appearance."""
+    lines = conv_lines(spark, base)
+    codes = ordered.first_seen_code(lines, [], ["conv_id", "turn", "line_no"], "conv_id", "scene_code")
+    out = R.join_on(sentiment_by_conv(spark, base), codes, ["conv_id"], "left")
+    return R.arrange(out, "scene_code")
+
+
 @register
 def scene_at(spark, base):
     lines = conv_lines(spark, base).select("conv_id", "turn", "line_no", "line")
