@@ -18,8 +18,9 @@ DOC_KEYS = ["doc_id", "lang", "source"]
 
 
 # Text tables are spread over the cores when stored in few splits (the
-# driver's files hold one row group each).
-SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+# driver's files hold one row group each). The keys are unique per row, so
+# a conversation holding many turns is still spread.
+SPREAD_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "pages": ["page_id"]}
 
 
 def table(spark: SparkSession, base: str, name: str, *, spread: bool = False) -> DataFrame:

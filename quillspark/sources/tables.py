@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def load_table(spark: SparkSession, base: str, name: str, *, spread_key: str | None = None) -> DataFrame:
+def load_table(spark: SparkSession, base: str, name: str, *, spread_key=None) -> DataFrame:
     """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``).
 
-    With ``spread_key``, a table stored in fewer splits than the cluster has
-    cores (e.g. one large row group) is hash-partitioned on that key over all
+    With ``spread_key`` (a column or list of columns that is unique per row,
+    so no key can be hot), a table stored in fewer splits than the cluster
+    has cores (e.g. one large row group) is hash-partitioned on it over all
     cores before CPU-heavy text work. Large inputs already arrive in many
     splits and are left as read (no extra shuffle).
     """
@@ -21,12 +22,14 @@ def load_table(spark: SparkSession, base: str, name: str, *, spread_key: str | N
     return df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` over all cores if it has fewer
-    partitions than that; otherwise return it unchanged."""
+def spread(df: DataFrame, key) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` (a row-unique column or columns) over
+    all cores if it has fewer partitions than that; otherwise return it
+    unchanged."""
+    keys = [key] if isinstance(key, str) else list(key)
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
+        return df.repartition(cores, *keys)
     return df
 
 
