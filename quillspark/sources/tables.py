@@ -27,10 +27,12 @@ def spread(df: DataFrame, key) -> DataFrame:
     all cores if it has fewer partitions than that; otherwise return it
     unchanged."""
     keys = [key] if isinstance(key, str) else list(key)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *keys)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave as read
+        return df
+    return df.repartition(cores, *keys) if splits < cores else df
 
 
 def read_csv_header(spark: SparkSession, path: str, schema: StructType, *,
