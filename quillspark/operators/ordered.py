@@ -140,6 +140,28 @@ def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_n
     return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
 
 
+def alphabetical_code(df: DataFrame, level: str, name: str = "code", *, buckets: int | None = None) -> DataFrame:
+    """Codes of the distinct values of ``level`` in sorted order (1, 2, ...),
+    ``as.numeric(factor(x))`` with R's default (sorted) levels; NULL is no
+    level.
+
+    The distinct values are range-partitioned into sorted buckets; each
+    bucket numbers its values locally, the bucket sizes (one row per bucket)
+    become offsets, and local number + offset is the code. No step holds
+    all values in one task.
+    """
+    values = df.select(level).where(F.col(level).isNotNull()).distinct()
+    n = buckets or df.sparkSession.sparkContext.defaultParallelism
+    ranged = (values.repartitionByRange(n, F.col(level).asc())
+                    .withColumn(_P + "bucket", F.spark_partition_id()))
+    w = Window.partitionBy(_P + "bucket").orderBy(F.col(level).asc())
+    local = ranged.withColumn(_P + "local", F.row_number().over(w))
+    sizes = local.groupBy(_P + "bucket").agg(F.count(F.lit(1)).alias(_P + "size"))
+    offsets = ordered_scan(sizes, [], [_P + "bucket"], running={_P + "off": (F.col(_P + "size"), False)})
+    out = local.join(offsets.select(_P + "bucket", _P + "off"), _P + "bucket")
+    return out.select(level, (F.col(_P + "off") + F.col(_P + "local")).alias(name))
+
+
 def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple]) -> DataFrame:
     """Add lag/lead columns on dense positions.
 
@@ -181,4 +203,4 @@ def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code",
     return coded.select(*part, level, name)
 
 
-__all__ = ["ordered_scan", "number_rows", "nested_row_number", "shift", "first_seen_code", "DEFAULT_BLOCK"]
+__all__ = ["ordered_scan", "number_rows", "nested_row_number", "alphabetical_code", "shift", "first_seen_code", "DEFAULT_BLOCK"]

@@ -224,6 +224,8 @@ SQL: dict[str, str] = {
         FROM lineitem GROUP BY 1, 2""",
     "level_code": """SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY ft) AS code
         FROM (SELECT conv_id, role, min(turn) AS ft FROM conversations WHERE role IS NOT NULL GROUP BY 1, 2)""",
+    "alpha_code": f"""SELECT word, dense_rank() OVER (ORDER BY word) AS code
+        FROM (SELECT DISTINCT word FROM {DOC_TOKENS} WHERE word IS NOT NULL)""",
     "reorder_by_mean": """SELECT p_brand, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE)
         / count(p_retailprice) AS mean FROM part GROUP BY p_brand ORDER BY mean, p_brand""",
     "word_counts": f"""SELECT lang, word, count(*) AS n FROM {DOC_TOKENS} WHERE {NOT_STOP}
@@ -256,6 +258,10 @@ SQL: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM {_sel_base()} m WHERE m.toxic = 1 AND m.doc_id = s.doc_id)""",
     "subject_counts": f"""SELECT subject, count(*) AS n FROM {CATALOGUE} WHERE has_text GROUP BY subject
         ORDER BY n DESC, subject""",
+    "subject_counts_period": """SELECT s.o_orderpriority AS subject, count(*) AS n
+        FROM (SELECT o.o_orderkey AS work_id FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+              WHERE c.c_name IN (SELECT c_name FROM customer WHERE c_nationkey < 15 AND c_nationkey > 5)) w
+        LEFT JOIN orders s ON w.work_id = s.o_orderkey GROUP BY 1 ORDER BY n DESC, subject""",
     "cooccurrence": f"SELECT member_a, member_b, n FROM {BRAND_PAIRS}",
     "cooccurrence_share": f"""SELECT pr.member_a, pr.member_b, pr.n, t.n_a, pr.n / t.n_a AS share
         FROM {BRAND_PAIRS} pr LEFT JOIN (SELECT p_brand, count(*) AS n_a FROM {BRAND_MEMBERS} GROUP BY p_brand) t

@@ -456,6 +456,12 @@ def level_code(spark, base):
     return ordered.first_seen_code(conv, ["conv_id"], ["turn"], "role", "code")
 
 
+@register
+def alpha_code(spark, base):
+    """codes of the distinct words in sorted (byte) order."""
+    return ordered.alphabetical_code(doc_tokens(spark, base), "word", "code")
+
+
 @register
 def reorder_by_mean(spark, base):
     part = table(spark, base, "part")
@@ -545,6 +551,20 @@ def subject_counts(spark, base):
     return catalog.subject_counts(subjects, meta, id_col="doc_id", has_text_col="has_text")
 
 
+@register
+def subject_counts_period(spark, base):
+    """Q10, period form: works (orders) of authors (customers) "born"
+    (nation key) strictly between 5 and 15, by subject (order priority)."""
+    orders = table(spark, base, "orders").select(F.col("o_orderkey").alias("work_id"), "o_custkey",
+                                                 F.col("o_orderpriority").alias("subject"))
+    cust = table(spark, base, "customer").select("c_custkey", F.col("c_name").alias("author"),
+                                                 F.col("c_nationkey").alias("birthdate"))
+    meta = R.join_on(orders.select("work_id", "o_custkey"), cust.select("c_custkey", "author"),
+                     {"o_custkey": "c_custkey"})
+    return catalog.subject_counts(orders.select("work_id", "subject"), meta, id_col="work_id",
+                                  authors=cust.select("author", "birthdate"), born=(5, 15))
+
+
 @register
 def cooccurrence(spark, base):
     return _brand_pairs(spark, base)

@@ -96,3 +96,10 @@ def test_nested_row_number(spark):
     got = ordered.nested_row_number(df, "part", ["ord"], "rn", block_size=2)
     want = df.select("part", "ord", F.row_number().over(Window.orderBy("part", "ord")).alias("rn"))
     assert sorted((r.part, r.ord, r.rn) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_alphabetical_code(spark):
+    words = "pear apple fig apple kiwi banana date cherry fig".split()
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
+    got = ordered.alphabetical_code(df, "w", "code", buckets=3)
+    assert sorted(tuple(r) for r in got.collect()) == [(w, i) for i, w in enumerate(sorted(set(words)), 1)]
