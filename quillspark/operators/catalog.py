@@ -12,7 +12,7 @@ from quillspark.operators.counts import count_by
 from quillspark.operators.relational import anti, join_on, semi_in
 
 
-def select_works(meta: DataFrame, subjects: DataFrame | None = None, *, id_col: str = "gutenberg_id",
+def select_works(meta: DataFrame, subjects: DataFrame | None = None, *, id_col: str = "work_id",
                  subject_col: str = "subject", subject_pattern: str | None = None,
                  subject_equals: str | None = None, author_col: str = "author",
                  author_patterns: Sequence[str] = (), language: str | None = None,
@@ -43,7 +43,7 @@ def select_works(meta: DataFrame, subjects: DataFrame | None = None, *, id_col:
     return base
 
 
-def subject_counts(subjects: DataFrame, meta: DataFrame | None = None, *, id_col: str = "gutenberg_id",
+def subject_counts(subjects: DataFrame, meta: DataFrame | None = None, *, id_col: str = "work_id",
                    subject_col: str = "subject", has_text_col: str | None = None,
                    authors: DataFrame | None = None, author_col: str = "author",
                    birth_col: str = "birthdate", born: tuple | None = None) -> DataFrame:

@@ -162,29 +162,45 @@ def alphabetical_code(df: DataFrame, level: str, name: str = "code", *, buckets:
     return out.select(level, (F.col(_P + "off") + F.col(_P + "local")).alias(name))
 
 
-def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple]) -> DataFrame:
-    """Add lag/lead columns on dense positions.
+def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple], *,
+          block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Add lag/lead columns on dense positions (1..n per sequence).
 
     shifts -- ``{new_name: (source_column, k)}``; ``k > 0`` is ``lag(col, k)``
     (value from ``pos - k``), ``k < 0`` is ``lead(col, -k)``. Missing
     neighbours give NULL.
+
+    Rows are cut into blocks of ``block_size`` positions; the few rows next
+    to a block edge are copied into the neighbouring block as a halo, so one
+    window per block sees every neighbour it needs. One shuffle of the table
+    (plus the halo), and a long sequence is spread over its blocks.
     """
     part = list(part)
-    kind = _P + "kind"
-    base = df.withColumn(kind, F.lit(0))
-    moved = [df.select(*part, (F.col(pos) + F.lit(k)).alias(pos), F.lit(k).alias(kind),
-                       F.col(src).alias(name))
-             for name, (src, k) in shifts.items()]
-    u = base
-    for m in moved:
-        u = u.unionByName(m, allowMissingColumns=True)
-    others = [c for c in df.columns if c not in part and c != pos]
-    aggs = [F.first(F.when(F.col(kind) == 0, F.col(c)), ignorenulls=True).alias(c) for c in others]
-    aggs += [F.first(F.when(F.col(kind) == k, F.col(name)), ignorenulls=True).alias(name)
-             for name, (_, k) in shifts.items()]
-    aggs.append(F.max((F.col(kind) == 0).cast("int")).alias(_P + "self"))
-    g = u.groupBy(*part, pos).agg(*aggs).where(F.col(_P + "self") == 1)
-    return g.select(*df.columns, *shifts.keys())
+    back = max([k for _, k in shifts.values() if k > 0], default=0)
+    ahead = max([-k for _, k in shifts.values() if k < 0], default=0)
+    if max(back, ahead) >= block_size:
+        raise ValueError("shift distance must be smaller than the block size")
+    blk, halo = _P + "blk", _P + "halo"
+    b = F.floor(F.col(pos) / F.lit(block_size))
+    off = F.col(pos) - b * F.lit(block_size)
+    sources = sorted({src for src, _ in shifts.values()})
+    base = df.withColumns({blk: b, halo: F.lit(False)})
+    parts = [base]
+    edge_cols = [*part, pos, *[c for c in sources if c not in part and c != pos]]
+    if back:
+        parts.append(df.where(off >= block_size - back)
+                       .select(*edge_cols, (b + 1).alias(blk), F.lit(True).alias(halo)))
+    if ahead:
+        parts.append(df.where(off < ahead)
+                       .select(*edge_cols, (b - 1).alias(blk), F.lit(True).alias(halo)))
+    u = parts[0]
+    for extra in parts[1:]:
+        u = u.unionByName(extra, allowMissingColumns=True)
+    w = Window.partitionBy(F.struct(*[F.col(c) for c in part], F.col(blk))).orderBy(pos)
+    cols = [F.lag(src, k).over(w).alias(name) if k > 0 else F.lead(src, -k).over(w).alias(name)
+            for name, (src, k) in shifts.items()]
+    out = u.select("*", *cols).where(~F.col(halo))
+    return out.select(*df.columns, *shifts.keys())
 
 
 def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code", *,

@@ -30,7 +30,7 @@ def add_neighbours(lines: DataFrame, part: Sequence[str], order: Sequence[str],
                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Number rows densely per sequence (``pos``) and add lag/lead columns."""
     d = number_rows(lines, part, order, pos, block_size=block_size)
-    return shift(d, part, pos, {name: (line, k) for name, k in shifts.items()})
+    return shift(d, part, pos, {name: (line, k) for name, k in shifts.items()}, block_size=block_size)
 
 
 def mark_segments(lines: DataFrame, part, order, *, start: Column, end: Column,
@@ -139,7 +139,7 @@ def number_turns(dialogues: DataFrame, part, order, *, speaker: str = "speaker_c
     ``turnswitch``.
     """
     d = number_rows(dialogues, part, order, "rownumber", group_total="__n", block_size=block_size)
-    d = shift(d, part, "rownumber", {"__next": (speaker, -1)})
+    d = shift(d, part, "rownumber", {"__next": (speaker, -1)}, block_size=block_size)
     sw = F.col(speaker) != F.col("__next")
     d = d.withColumn("turnswitch", if_else_na(sw, "turnswitch"))
     d = d.withColumn("turnswitch", if_else(F.col("rownumber") == F.col("__n"), "turnswitch",

@@ -55,16 +55,20 @@ def text_lines(df: DataFrame, text_col: str = "text", *, keep=None,
     return d.select(*cols)
 
 
-def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename",
+               neighbours: dict | None = None) -> DataFrame:
     """Read every text file under ``path`` as lines, blank lines kept.
 
     Each file is read whole (one task per file, ``wholetext``) and split in
-    place, so the line numbers follow the file. The file name comes from the
-    file metadata without its directory (``list.files`` + ``gsub``).
+    place, so the line numbers follow the file and neighbouring lines
+    (``neighbours``, see ``text_lines``) come without a shuffle. The file
+    name comes from the file metadata without its directory (``list.files``
+    + ``gsub``).
     """
     raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_name").alias(file_col), F.col("value").alias("text")))
-    return text_lines(raw, "text", keep=[file_col], line_col="line", number_col="line_no")
+    return text_lines(raw, "text", keep=[file_col], line_col="line", number_col="line_no",
+                      neighbours=neighbours)
 
 
 __all__ = ["split_lines", "text_lines", "read_lines"]

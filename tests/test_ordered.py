@@ -74,10 +74,12 @@ def test_whole_table_sequence(spark):
     assert sorted((r.ord, r.rn, r.n) for r in got.collect()) == [(i, i, 20) for i in range(1, 21)]
 
 
-def test_shift_lag_lead(spark):
+@pytest.mark.parametrize("block", [3, 4, 1000])
+def test_shift_lag_lead(spark, block):
     df = spark.createDataFrame([(1, i, f"l{i}") for i in range(1, 5)] + [(2, 1, "m1")],
                                "part int, pos int, line string")
-    got = ordered.shift(df, ["part"], "pos", {"p1": ("line", 1), "p2": ("line", 2), "n1": ("line", -1)})
+    got = ordered.shift(df, ["part"], "pos", {"p1": ("line", 1), "p2": ("line", 2), "n1": ("line", -1)},
+                        block_size=block)
     rows = sorted(tuple(r) for r in got.collect())
     assert rows == [(1, 1, "l1", None, None, "l2"), (1, 2, "l2", "l1", None, "l3"),
                     (1, 3, "l3", "l2", "l1", "l4"), (1, 4, "l4", "l3", "l2", None),
@@ -103,3 +105,12 @@ def test_alphabetical_code(spark):
     df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
     got = ordered.alphabetical_code(df, "w", "code", buckets=3)
     assert sorted(tuple(r) for r in got.collect()) == [(w, i) for i, w in enumerate(sorted(set(words)), 1)]
+
+
+def test_shift_matches_window_on_long_sequence(spark):
+    df = spark.range(1, 301).select(F.lit(1).alias("part"), F.col("id").cast("int").alias("pos"),
+                                    (F.col("id") * 7 % 13).cast("string").alias("v"))
+    got = ordered.shift(df, ["part"], "pos", {"a": ("v", 2), "b": ("v", -3)}, block_size=8)
+    w = Window.partitionBy("part").orderBy("pos")
+    want = df.select("part", "pos", "v", F.lag("v", 2).over(w).alias("a"), F.lead("v", 3).over(w).alias("b"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())

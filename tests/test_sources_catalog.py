@@ -57,11 +57,11 @@ def catalogue(spark):
         [(1, "Tarzan", "Burroughs, Edgar Rice", "en", True), (2, "Tarzan II", "Burroughs, Edgar Rice", "en", True),
          (3, "Crusoe", "Defoe, Daniel", "en", True), (4, "Crusoe fr", "Defoe, Daniel", "fr", True),
          (5, "No text", "Defoe, Daniel", "en", False), (6, "Anon", None, "en", True)],
-        "gutenberg_id int, title string, author string, language string, has_text boolean")
+        "work_id int, title string, author string, language string, has_text boolean")
     subjects = spark.createDataFrame([(1, "Tarzan (Fictitious character)"), (2, "Tarzan (Fictitious character)"),
                                       (2, "Apes -- Fiction"), (3, "Crusoe, Robinson"), (4, "Crusoe, Robinson"),
                                       (5, "Crusoe, Robinson"), (6, "Apes -- Fiction")],
-                                     "gutenberg_id int, subject string")
+                                     "work_id int, subject string")
     authors = spark.createDataFrame([("Burroughs, Edgar Rice", 1875), ("Defoe, Daniel", 1660), (None, 1700)],
                                     "author string, birthdate int")
     return meta, subjects, authors
@@ -70,12 +70,12 @@ def catalogue(spark):
 def test_select_works_and_minus(spark):
     meta, subjects, _ = catalogue(spark)
     apes = catalog.select_works(meta, subjects, subject_pattern="Apes", language="en")
-    assert sorted(r.gutenberg_id for r in apes.collect()) == [2, 6]
+    assert sorted(r.work_id for r in apes.collect()) == [2, 6]
     tarzan = catalog.select_works(meta, subjects, subject_pattern="Tarzan", language="en")
     rest = catalog.select_works(meta, subjects, subject_pattern="Apes", language="en", minus=tarzan)
-    assert [r.gutenberg_id for r in rest.collect()] == [6]
+    assert [r.work_id for r in rest.collect()] == [6]
     defoe = catalog.select_works(meta, author_patterns=["Defoe", "Daniel"], language="en")
-    assert [r.gutenberg_id for r in defoe.collect()] == [3]
+    assert [r.work_id for r in defoe.collect()] == [3]
 
 
 def test_subject_counts_period(spark):
