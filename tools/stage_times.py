@@ -26,7 +26,8 @@ def main() -> None:
     base, names = sys.argv[1], sys.argv[2:]
     logdir = tempfile.mkdtemp(prefix="qs-eventlog-")
     spark = get_session("local[8]", app="quillspark-stages", shuffle_partitions=16,
-                        extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir})
+                        extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir,
+                               "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     marks = []
     for name in names:
         spark.sparkContext.setJobGroup(name, name)
@@ -35,7 +36,9 @@ def main() -> None:
         marks.append((name, t0, time.time()))
     spark.stop()
     stages, job_group = [], {}
-    for path in glob.glob(os.path.join(logdir, "*")):
+    for path in glob.glob(os.path.join(logdir, "**", "*"), recursive=True):
+        if os.path.isdir(path):
+            continue
         with open(path) as f:
             for line in f:
                 ev = json.loads(line)
