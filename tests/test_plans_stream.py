@@ -1,5 +1,7 @@
 """Plan checks and a streaming run on the driver's smallest tables."""
 
+import contextlib
+import io
 import os
 import time
 
@@ -11,7 +13,10 @@ from quillspark.streaming import stream_word_counts
 
 
 def plan_text(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_no_python_udf_and_broadcast_anti_join(spark):
