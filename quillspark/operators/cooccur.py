@@ -34,13 +34,13 @@ def cooccurrence(df: DataFrame, context: Sequence[str], member: str, *,
     context = list(context)
     m = members_of(df, context, member).where(F.col(member).isNotNull())
     sizes = m.groupBy(*context).agg(F.count(F.lit(1)).alias("__size"))
-    m = m.join(sizes, context)
+    m = join_on(m, sizes, context)          # NULL context keys match (dplyr joins)
     m = m.withColumn("__s", F.ceil(F.col("__size") / F.lit(chunk)).cast("int"))
     m = m.withColumn("__c", F.pmod(F.xxhash64(member), F.col("__s")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("__s") - 1))
     left = m.select(*context, F.col("__c").alias("__p"), every.alias("__q"), F.col(member).alias(a))
     right = m.select(*context, every.alias("__p"), F.col("__c").alias("__q"), F.col(member).alias(b))
-    pairs = left.join(right, [*context, "__p", "__q"]).where(F.col(a) != F.col(b))
+    pairs = join_on(left, right, [*context, "__p", "__q"]).where(F.col(a) != F.col(b))
     return pairs.groupBy(a, b).agg(F.count(F.lit(1)).alias(name))
 
 

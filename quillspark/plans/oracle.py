@@ -114,6 +114,23 @@ def _fill(col: str, part: str, order: str) -> str:
     return f"last_value({col} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order} {UPTO}) AS {col}"
 
 
+ANNOTATED = f"""(SELECT * FROM (
+        SELECT doc_id, line_no, line, {_fill('akt', 'doc_id', 'line_no')}, {_fill('scene', 'doc_id', 'line_no')},
+               {_fill('speaker', 'doc_id', 'line_no')}, {_fill('scene_description', 'doc_id', 'line_no')}
+        FROM (SELECT doc_id, line_no, line, akt, scene, speaker,
+                CASE WHEN (NOT {_blank('prev1')} AND {_blank('line')} AND {_blank('next1')}) THEN 'scene_descr_end'
+                     WHEN NOT (NOT {_blank('prev1')} AND {_blank('line')} AND {_blank('next1')}) THEN sd1 END
+                  AS scene_description
+              FROM (SELECT *, CASE WHEN NOT {_blank('line')} AND {_blank('prev1')} AND {_blank('prev2')}
+                                        AND scene IS NOT NULL THEN 'scene_descr_begin' END AS sd1
+                    FROM (SELECT doc_id, line_no, line, prev1, prev2, next1,
+                            CASE WHEN coalesce(regexp_matches(line, {_s(Q.ACT_PATTERN)}), false) THEN line END AS akt,
+                            regexp_replace(CASE WHEN coalesce(contains(line, {_s(Q.SCENE_LITERAL)}), false)
+                                                THEN line END, 'tion', 'TION') AS scene,
+                            CASE WHEN NOT {_blank('line')} AND {_blank('prev1')} THEN line END AS speaker
+                          FROM {DOC_NB}))))
+        WHERE akt IS NOT NULL AND scene_description <> 'scene_descr_begin')"""
+
 CATALOGUE = """(SELECT d.doc_id, d.lang AS language, b.quality = 1 AS has_text, b.toxic, d.source AS subject
  FROM documents d JOIN labels b ON d.doc_id = b.doc_id)"""
 
@@ -277,22 +294,19 @@ SQL: dict[str, str] = {
         SELECT doc_id, line_no, line, {_fill('is_text', 'doc_id', 'line_no')} FROM (
           SELECT doc_id, line_no, line, CASE WHEN {_blank('next1')} THEN 'text' END AS is_text FROM {DOC_NB}))
         WHERE is_text IS NULL""",
-    "annotate_structure": f"""SELECT doc_id, line_no, akt, scene, speaker, scene_description FROM (
-        SELECT doc_id, line_no, {_fill('akt', 'doc_id', 'line_no')}, {_fill('scene', 'doc_id', 'line_no')},
-               {_fill('speaker', 'doc_id', 'line_no')}, {_fill('scene_description', 'doc_id', 'line_no')}
-        FROM (SELECT doc_id, line_no, akt, scene, speaker,
-                CASE WHEN (NOT {_blank('prev1')} AND {_blank('line')} AND {_blank('next1')}) THEN 'scene_descr_end'
-                     WHEN NOT (NOT {_blank('prev1')} AND {_blank('line')} AND {_blank('next1')}) THEN sd1 END
-                  AS scene_description
-              FROM (SELECT *, CASE WHEN NOT {_blank('line')} AND {_blank('prev1')} AND {_blank('prev2')}
-                                        AND scene IS NOT NULL THEN 'scene_descr_begin' END AS sd1
-                    FROM (SELECT doc_id, line_no, line, prev1, prev2, next1,
-                            CASE WHEN coalesce(regexp_matches(line, {_s(Q.ACT_PATTERN)}), false) THEN line END AS akt,
-                            regexp_replace(CASE WHEN coalesce(contains(line, {_s(Q.SCENE_LITERAL)}), false)
-                                                THEN line END, 'tion', 'TION') AS scene,
-                            CASE WHEN NOT {_blank('line')} AND {_blank('prev1')} THEN line END AS speaker
-                          FROM {DOC_NB}))))
-        WHERE akt IS NOT NULL AND scene_description <> 'scene_descr_begin'""",
+    "annotate_structure": f"""SELECT doc_id, line_no, akt, scene, speaker, scene_description FROM {ANNOTATED}""",
+    "play_network": rf"""WITH d AS (
+          SELECT doc_id, akt, scene,
+                 regexp_replace(regexp_replace(speaker, '\(.*', ''), '^\s+|\s+$', '', 'g') AS speaker_clean,
+                 CASE WHEN line = speaker THEN '' WHEN NOT (line = speaker) THEN line END AS line2
+          FROM {ANNOTATED}),
+        m AS (SELECT DISTINCT doc_id, akt, scene, speaker_clean FROM d
+              WHERE NOT regexp_matches(speaker_clean, 'Akt') AND NOT regexp_matches(speaker_clean, 'Scene')
+                AND NOT (line2 = '') AND speaker_clean IS NOT NULL)
+        SELECT a.speaker_clean AS member_a, b.speaker_clean AS member_b, count(*) AS n
+        FROM m a JOIN m b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.akt IS NOT DISTINCT FROM b.akt
+             AND a.scene IS NOT DISTINCT FROM b.scene AND a.speaker_clean <> b.speaker_clean
+        GROUP BY 1, 2""",
     "clean_speakers": rf"""SELECT conv_id, turn, line_no, speaker_clean, activity, nameshort, gender FROM (
         SELECT s.*, c.nameshort, c.gender,
                CASE WHEN s.line = s.speaker THEN '' WHEN NOT (s.line = s.speaker) THEN s.line END AS line2

@@ -606,6 +606,18 @@ def annotate_structure(spark, base):
     return d.select("doc_id", "line_no", "akt", "scene", "speaker", "scene_description")
 
 
+@register
+def play_network(spark, base):
+    """The play pipeline end to end: structure marks, speaker clean-up, and
+    the network of speakers sharing a scene (documents as plays)."""
+    lines = _doc_lines_nb(spark, base)
+    d = structure.annotate_structure(lines, ["doc_id"], ["line_no"], act_pattern=ACT_PATTERN,
+                                     scene_literal=SCENE_LITERAL, scene_fixes=SCENE_FIXES,
+                                     is_blank=lambda c: F.length(c) < BLANK_LEN)
+    d = structure.clean_speakers(d, None)
+    return cooccur.cooccurrence(d, ["doc_id", "akt", "scene"], "speaker_clean")
+
+
 @register
 def clean_speakers(spark, base):
     lines = conv_lines(spark, base).withColumn("speaker", F.col("role"))
