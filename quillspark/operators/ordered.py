@@ -60,16 +60,16 @@ def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
     fill_down, fill_up = list(fill_down), list(fill_up)
     blk, key = _P + "blk", _P + "key"
 
-    d = df.withColumn(blk, F.floor(F.col(order[0]) / F.lit(block_size)))
-    d = d.withColumn(key, F.struct(*[F.col(c) for c in part], F.col(blk)))
+    blk_expr = F.floor(F.col(order[0]) / F.lit(block_size))
+    d = df.select("*", blk_expr.alias(blk),
+                  F.struct(*[F.col(c) for c in part], blk_expr.alias(blk)).alias(key),
+                  *[_lit(val).alias(_P + "v_" + name) for name, (val, _) in running.items()])
 
     w = Window.partitionBy(key).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
 
     # window pass inside each block; running sums are inclusive here
-    for name, (val, _) in running.items():
-        d = d.withColumn(_P + "v_" + name, _lit(val))
     local = [F.coalesce(F.sum(_P + "v_" + n).over(upto), F.lit(0)).alias(_P + "r_" + n) for n in running]
     local += [F.last(c, ignorenulls=True).over(upto).alias(_P + "d_" + c) for c in fill_down]
     local += [F.first(c, ignorenulls=True).over(after).alias(_P + "u_" + c) for c in fill_up]

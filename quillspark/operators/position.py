@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import decile_of, tokens_of
 from quillspark.operators.counts import count_by
 from quillspark.operators.ordered import DEFAULT_BLOCK, number_rows
-from quillspark.operators.relational import bounded_broadcast
+from quillspark.operators.relational import broadcast_small
 from quillspark.operators.tokens import remove_stopwords
 from quillspark.operators.weights import tf_idf, top_k_ties
 
@@ -86,7 +86,8 @@ def sentiment_by_decile(tokens: DataFrame, scores: DataFrame, part, order,
 
 def decile_scores(c: DataFrame, scores: DataFrame, word: str = "word", score: str = "score") -> DataFrame:
     """``inner_join(scores) %>% group_by(decile) %>% summarize(sum(score*n)/sum(n))``."""
-    j = c.join(bounded_broadcast(scores.select(word, score)), word)
+    lex = scores.select(word, score) if isinstance(scores, DataFrame) else scores
+    j = c.join(broadcast_small(c.sparkSession, lex, f"`{word}` string, `{score}` double"), word)
     return (j.groupBy("decile")
              .agg((F.sum(F.col(score) * F.col("n")) / F.sum("n")).alias(score)))
 

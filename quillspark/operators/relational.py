@@ -22,6 +22,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_small(spark, data, schema, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A lookup table (stop list, lexicon) ready to join.
+
+    ``data`` is a DataFrame (broadcast after ``bounded_broadcast``'s check) or
+    local rows -- a list of words or of tuples -- whose size is known in the
+    driver, so no check job runs.
+    """
+    if isinstance(data, DataFrame):
+        return bounded_broadcast(data, max_rows)
+    from quillspark.sources.tables import make_table
+    rows = [r if isinstance(r, tuple) else (r,) for r in data]
+    t = make_table(spark, rows, schema)
+    return F.broadcast(t) if len(rows) <= max_rows else t
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mapping[str, str],
             how: str = "inner", *, null_safe: bool = True) -> DataFrame:
     """Equi-join on named keys; ``{left: right}`` maps differently named keys.
@@ -114,5 +129,5 @@ def first_n(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(col).asc_nulls_last()).limit(n)
 
 
-__all__ = ["bounded_broadcast", "join_on", "natural_join", "semi_in", "anti", "arrange",
+__all__ = ["bounded_broadcast", "broadcast_small", "join_on", "natural_join", "semi_in", "anti", "arrange",
            "union_labelled", "union_by_name", "pivot_fill", "first_n", "MAX_BROADCAST_ROWS"]

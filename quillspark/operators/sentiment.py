@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import after_delim, before_delim, floor_div
-from quillspark.operators.relational import arrange, bounded_broadcast, union_by_name, union_labelled
+from quillspark.operators.relational import arrange, broadcast_small, union_by_name, union_labelled
 from quillspark.operators.tokens import remove_stopwords, unnest_tokens
 
 
-def _lexicon_hits(tokens: DataFrame, lexicon: DataFrame, stop: DataFrame | None, word: str) -> DataFrame:
+def _lexicon_hits(tokens: DataFrame, lexicon, stop, word: str, category: str) -> DataFrame:
+    """Tokens (stop words out) joined to a lexicon given as a DataFrame or as
+    ``(word, category)`` rows."""
     t = remove_stopwords(tokens, stop, word)
-    return t.join(bounded_broadcast(lexicon), word)
+    lex = broadcast_small(tokens.sparkSession, lexicon, f"`{word}` string, `{category}` string")
+    return t.join(lex, word)
 
 
 def _spread_counts(keys, cat: str, values: Sequence[str]):
@@ -23,35 +26,35 @@ def _spread_counts(keys, cat: str, values: Sequence[str]):
     return [F.count(F.when(F.col(cat) == v, F.lit(1))).alias(v) for v in values]
 
 
-def sentiment_arc(tokens: DataFrame, lexicon: DataFrame, work: Sequence[str], line: str = "line_no", *,
+def sentiment_arc(tokens: DataFrame, lexicon, work: Sequence[str], line: str = "line_no", *,
                   width: int = 80, stop: DataFrame | None = None, word: str = "word",
                   category: str = "sentiment", negative: str = "negative",
                   positive: str = "positive") -> DataFrame:
     """Q4: lexicon hits per (work, line bucket of ``width``), one column per
     polarity, and ``sentiment = positive - negative``."""
-    hits = _lexicon_hits(tokens, lexicon, stop, word)
+    hits = _lexicon_hits(tokens, lexicon, stop, word, category)
     out = (hits.groupBy(*work, floor_div(line, width).alias("index"))
                .agg(*_spread_counts(work, category, [negative, positive])))
     return out.withColumn("sentiment", F.col(positive) - F.col(negative))
 
 
-def sentiment_signed(tokens: DataFrame, lexicon: DataFrame, work: Sequence[str], line: str = "line_no", *,
+def sentiment_signed(tokens: DataFrame, lexicon, work: Sequence[str], line: str = "line_no", *,
                      width: int = 80, stop: DataFrame | None = None, word: str = "word",
                      category: str = "sentiment", negative: str = "negative") -> DataFrame:
     """Q5: long form of the arc, counts of the negative category negated."""
-    hits = _lexicon_hits(tokens, lexicon, stop, word)
+    hits = _lexicon_hits(tokens, lexicon, stop, word, category)
     c = (hits.groupBy(*work, floor_div(line, width).alias("index"), category)
              .agg(F.count(F.lit(1)).alias("n")))
     cond = F.col(category) == negative
     return c.withColumn("n", F.when(cond, -F.col("n")).when(~cond, F.col("n")))
 
 
-def sentiment_by(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str], *,
+def sentiment_by(tokens: DataFrame, lexicon, keys: Sequence[str], *,
                  stop: DataFrame | None = None, word: str = "word", category: str = "neg_pos",
                  negative: str = "neg", positive: str = "pos") -> DataFrame:
     """Q21: lexicon hits per key, spread by polarity, ``sentiment = pos - neg``,
     lowest first."""
-    hits = _lexicon_hits(tokens, lexicon, stop, word)
+    hits = _lexicon_hits(tokens, lexicon, stop, word, category)
     out = hits.groupBy(*keys).agg(*_spread_counts(keys, category, [negative, positive]))
     out = out.withColumn("sentiment", F.col(positive) - F.col(negative))
     return arrange(out, "sentiment", *keys)

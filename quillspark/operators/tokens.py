@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import tokens_of
-from quillspark.operators.relational import bounded_broadcast
+from quillspark.operators.relational import broadcast_small
 
 
 def unnest_tokens(df: DataFrame, text_col: str, out: str = "word", *,
@@ -26,16 +26,20 @@ def unnest_tokens(df: DataFrame, text_col: str, out: str = "word", *,
     return d.select(*cols)
 
 
-def remove_stopwords(tokens: DataFrame, stop: DataFrame | None, word: str = "word",
+def remove_stopwords(tokens: DataFrame, stop, word: str = "word",
                      stop_word: str = "word") -> DataFrame:
     """``anti_join(stop_words, by = "word")``; ``stop=None`` keeps all tokens.
 
-    The stop list is broadcast after a size check, so the token table is not
-    shuffled for the anti join.
+    ``stop`` is a DataFrame with a ``stop_word`` column or a list of words.
+    The stop list is broadcast (after a size check, or by its known length),
+    so the token table is not shuffled for the anti join.
     """
     if stop is None:
         return tokens
-    s = bounded_broadcast(stop.select(F.col(stop_word).alias("__sw")).where(F.col("__sw").isNotNull()))
+    if isinstance(stop, DataFrame):
+        stop = stop.select(F.col(stop_word).alias("__sw"))
+    s = broadcast_small(tokens.sparkSession, stop, "__sw string")
+    s = s.where(F.col("__sw").isNotNull())
     return tokens.join(s, tokens[word] == s["__sw"], "left_anti")
 
 

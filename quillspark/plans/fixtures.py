@@ -7,6 +7,8 @@ the same words.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+
+from quillspark.sources.tables import make_table
 from pyspark.sql.types import (
     IntegerType, StringType, StructField, StructType,
 )
@@ -37,30 +39,35 @@ FIRST_NAMES = [("red", 1850, 30, 10), ("red", 1950, 0, 90), ("blue", 1860, 5, 40
 NAME_YEARS = (1800, 1900)
 
 
+def polarity_rows(negative: str = "negative", positive: str = "positive"):
+    """``(word, category)`` rows of the polarity fixture."""
+    return [(w, positive) for w in POSITIVE] + [(w, negative) for w in NEGATIVE]
+
+
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    return make_table(spark, [(w,) for w in STOP_WORDS], "word string")
 
 
 def polarity(spark: SparkSession, negative: str = "negative", positive: str = "positive",
              column: str = "sentiment") -> DataFrame:
     rows = [(w, positive) for w in POSITIVE] + [(w, negative) for w in NEGATIVE]
-    return spark.createDataFrame(rows, f"word string, {column} string")
+    return make_table(spark, rows, f"word string, {column} string")
 
 
 def scores(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SCORES.items()), "word string, score double")
+    return make_table(spark, list(SCORES.items()), "word string, score double")
 
 
 def cast_table(spark: SparkSession) -> DataFrame:
     schema = StructType([StructField(c, StringType()) for c in
                          ("name", "gender", "speaker_clean", "nameshort")])
-    return spark.createDataFrame(CAST, schema)
+    return make_table(spark, CAST, schema)
 
 
 def first_names(spark: SparkSession) -> DataFrame:
     schema = StructType([StructField("name", StringType()), StructField("year", IntegerType()),
                          StructField("female", IntegerType()), StructField("male", IntegerType())])
-    return spark.createDataFrame(FIRST_NAMES, schema)
+    return make_table(spark, FIRST_NAMES, schema)
 
 
 def sql_values(rows, names) -> str:
@@ -75,6 +82,6 @@ def sql_values(rows, names) -> str:
     return f"(SELECT * FROM (VALUES {body}) AS v({', '.join(names)}))"
 
 
-__all__ = ["STOP_WORDS", "POSITIVE", "NEGATIVE", "SCORES", "CAST", "SPEAKER_ALIASES",
+__all__ = ["polarity_rows", "STOP_WORDS", "POSITIVE", "NEGATIVE", "SCORES", "CAST", "SPEAKER_ALIASES",
            "FIRST_NAMES", "NAME_YEARS", "stop_words", "polarity", "scores", "cast_table",
            "first_names", "sql_values"]

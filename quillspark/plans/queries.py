@@ -51,7 +51,8 @@ def register(fn: Query) -> Query:
 
 
 def _stop(spark):
-    return FX.stop_words(spark)
+    """The stop list as local words: broadcast by its known size."""
+    return FX.STOP_WORDS
 
 
 def _docs(spark, base):
@@ -499,19 +500,19 @@ def tf_idf(spark, base):
 
 @register
 def sentiment_arc(spark, base):
-    return sentiment.sentiment_arc(line_tokens(spark, base), FX.polarity(spark), ["doc_id"], "line_no",
+    return sentiment.sentiment_arc(line_tokens(spark, base), FX.polarity_rows(), ["doc_id"], "line_no",
                                    width=ARC_WIDTH, stop=_stop(spark))
 
 
 @register
 def sentiment_signed(spark, base):
-    return sentiment.sentiment_signed(line_tokens(spark, base), FX.polarity(spark), ["doc_id"], "line_no",
+    return sentiment.sentiment_signed(line_tokens(spark, base), FX.polarity_rows(), ["doc_id"], "line_no",
                                       width=ARC_WIDTH, stop=_stop(spark))
 
 
 @register
 def sentiment_decile(spark, base):
-    return position.decile_scores(_decile_counts(spark, base), FX.scores(spark))
+    return position.decile_scores(_decile_counts(spark, base), list(FX.SCORES.items()))
 
 
 @register
@@ -688,7 +689,7 @@ def build_lexicon(spark, base):
 @register
 def sentiment_by_conv(spark, base):
     tokens = unnest_tokens(conv_lines(spark, base), "line", "word")
-    lex = FX.polarity(spark, negative="neg", positive="pos", column="neg_pos")
+    lex = FX.polarity_rows("neg", "pos")
     return sentiment.sentiment_by(tokens, lex, ["conv_id"], stop=_stop(spark))
 
 

@@ -64,8 +64,30 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def make_table(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small table built in code (``tibble``/``data.frame``)."""
-    return spark.createDataFrame(rows, schema)
+    """A small table built in code (``tibble``/``data.frame``).
+
+    It is an inline SQL ``VALUES`` table with the given schema, i.e. a local
+    relation held in the driver: Spark knows its size without running a job,
+    and joins can broadcast it directly.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = [f.name for f in schema.fields]
+    if not rows:
+        return spark.createDataFrame([], schema)
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return repr(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"`{n}`" for n in names)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 __all__ = ["spread", "load_table", "read_csv_header", "read_tsv", "write_csv", "make_table"]
