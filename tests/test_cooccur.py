@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.operators import cooccur
 
@@ -39,3 +40,11 @@ def test_pairs_symmetric_and_share(spark):
     verts = sorted(r.name for r in cooccur.graph_vertices(cooccur.cooccurrence(df, ["ctx"], "m"),
                                                            "member_a", "member_b").collect())
     assert verts == ["a", "b", "c"]
+
+
+def test_hot_context_in_chunks(spark):
+    # a single context with 300 members and chunk 40: 8 chunks per side, 64
+    # join groups of at most ~40 x 40 members; still every ordered pair once
+    df = spark.createDataFrame([(1, f"m{i}") for i in range(300)], "ctx int, m string")
+    got = cooccur.cooccurrence(df, ["ctx"], "m", chunk=40)
+    assert got.count() == 300 * 299 and got.agg(F.max("n")).first()[0] == 1

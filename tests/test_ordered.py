@@ -114,3 +114,15 @@ def test_shift_matches_window_on_long_sequence(spark):
     w = Window.partitionBy("part").orderBy("pos")
     want = df.select("part", "pos", "v", F.lag("v", 2).over(w).alias("a"), F.lead("v", 3).over(w).alias("b"))
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_hot_sequence_is_spread_over_tasks(spark):
+    # one sequence holding every row: its blocks land in different partitions
+    df = spark.range(1, 2001).select(F.lit(7).alias("part"), F.col("id").cast("int").alias("ord"))
+    got = ordered.number_rows(df, ["part"], ["ord"], "rn", block_size=50)
+    parts = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+    assert got.agg(F.max("rn")).first()[0] == 2000
+    sh = ordered.shift(got, ["part"], "rn", {"prev": ("ord", 1)}, block_size=50)
+    assert sh.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert sh.where(F.col("prev") != F.col("ord") - 1).count() == 0
