@@ -44,9 +44,13 @@ def cooccurrence(df: DataFrame, context: Sequence[str], member: str, *,
     return pairs.groupBy(a, b).agg(F.count(F.lit(1)).alias(name))
 
 
-def context_counts(df: DataFrame, context: Sequence[str], member: str, name: str = "n") -> DataFrame:
-    """Contexts per member (``totalscenes``)."""
+def context_counts(df: DataFrame, context: Sequence[str], member: str, name: str = "n", *,
+                   drop_null: bool = False) -> DataFrame:
+    """Contexts per member (``totalscenes``); NULL is a member of its own
+    unless ``drop_null``."""
     m = members_of(df, context, member)
+    if drop_null:
+        m = m.where(F.col(member).isNotNull())
     return m.groupBy(member).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -56,7 +60,9 @@ def cooccurrence_share(df: DataFrame, context: Sequence[str], member: str, *,
     """Q12: pair count over the contexts of the first member (``n / n_a``),
     kept where it exceeds ``min_share``."""
     pairs = cooccurrence(df, context, member, a=a, b=b, chunk=chunk)
-    totals = context_counts(df, context, member, "n_a").withColumnRenamed(member, a)
+    # NULL members never head a pair; dropping them here as in
+    # ``cooccurrence`` lets both branches share one distinct of the input
+    totals = context_counts(df, context, member, "n_a", drop_null=True).withColumnRenamed(member, a)
     out = join_on(pairs, totals, [a], "left")
     out = out.withColumn("share", F.col("n") / F.col("n_a"))
     return out if min_share is None else out.where(F.col("share") > min_share)
