@@ -140,26 +140,49 @@ def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_n
     return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
 
 
+def sorted_row_number(df: DataFrame, part, order, name: str = "row_no", *,
+                      buckets: int | None = None) -> DataFrame:
+    """``row_number()`` per ``part`` by any sortable ``order`` (rows unique
+    on part + order), with no assumption on how the order values are spread.
+
+    The rows are range-partitioned on ``(part, order)`` into sorted buckets;
+    each bucket numbers its rows per sequence, the (sequence, bucket) sizes
+    -- one row each -- become offsets through a block scan over the bucket
+    index, and local number + offset is the row number. A sequence with a
+    third of the rows is spread over many buckets.
+    """
+    part, order = list(part), list(order)
+    n = buckets or df.sparkSession.sparkContext.defaultParallelism
+    bucket, local = _P + "bucket", _P + "local"
+    ranged = (df.repartitionByRange(n, *[F.col(c).asc() for c in part + order])
+                .withColumn(bucket, F.spark_partition_id()))
+    w = Window.partitionBy(bucket, *part).orderBy(*[F.col(c).asc() for c in order])
+    numbered = ranged.withColumn(local, F.row_number().over(w))
+    sizes = numbered.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias(_P + "size"))
+    offsets = ordered_scan(sizes, part, [bucket], running={_P + "off": (F.col(_P + "size"), False)})
+    out = join_keys(numbered, offsets.select(*part, bucket, _P + "off"), [*part, bucket])
+    return out.select(*df.columns, (F.col(_P + "off") + F.col(local)).alias(name))
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner equi-join on shared key names, NULL matching NULL."""
+    r = right.select(*[F.col(k).alias(_P + "r_" + k) for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[_P + "r_" + k])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond).drop(*[_P + "r_" + k for k in keys])
+
+
 def alphabetical_code(df: DataFrame, level: str, name: str = "code", *, buckets: int | None = None) -> DataFrame:
     """Codes of the distinct values of ``level`` in sorted order (1, 2, ...),
     ``as.numeric(factor(x))`` with R's default (sorted) levels; NULL is no
-    level.
-
-    The distinct values are range-partitioned into sorted buckets; each
-    bucket numbers its values locally, the bucket sizes (one row per bucket)
-    become offsets, and local number + offset is the code. No step holds
-    all values in one task.
+    level. Distinct values are numbered by ``sorted_row_number``: no step
+    holds all values in one task.
     """
     values = df.select(level).where(F.col(level).isNotNull()).distinct()
-    n = buckets or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (values.repartitionByRange(n, F.col(level).asc())
-                    .withColumn(_P + "bucket", F.spark_partition_id()))
-    w = Window.partitionBy(_P + "bucket").orderBy(F.col(level).asc())
-    local = ranged.withColumn(_P + "local", F.row_number().over(w))
-    sizes = local.groupBy(_P + "bucket").agg(F.count(F.lit(1)).alias(_P + "size"))
-    offsets = ordered_scan(sizes, [], [_P + "bucket"], running={_P + "off": (F.col(_P + "size"), False)})
-    out = local.join(offsets.select(_P + "bucket", _P + "off"), _P + "bucket")
-    return out.select(level, (F.col(_P + "off") + F.col(_P + "local")).alias(name))
+    return sorted_row_number(values, [], [level], name, buckets=buckets)
 
 
 def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple], *,
@@ -215,8 +238,8 @@ def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code",
                .agg(F.min(F.struct(*[F.col(c) for c in order])).alias(_P + "first")))
     okeys = [_P + "o_" + c for c in order]
     first = first.select(*part, level, *[F.col(_P + "first")[c].alias(k) for c, k in zip(order, okeys)])
-    coded = number_rows(first, part, okeys, name, block_size=block_size)
+    coded = sorted_row_number(first, part, okeys, name)
     return coded.select(*part, level, name)
 
 
-__all__ = ["ordered_scan", "number_rows", "nested_row_number", "alphabetical_code", "shift", "first_seen_code", "DEFAULT_BLOCK"]
+__all__ = ["ordered_scan", "number_rows", "nested_row_number", "sorted_row_number", "alphabetical_code", "shift", "first_seen_code", "DEFAULT_BLOCK"]

@@ -126,3 +126,14 @@ def test_hot_sequence_is_spread_over_tasks(spark):
     sh = ordered.shift(got, ["part"], "rn", {"prev": ("ord", 1)}, block_size=50)
     assert sh.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     assert sh.where(F.col("prev") != F.col("ord") - 1).count() == 0
+
+
+def test_sorted_row_number_any_order(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1, 2, None]), f"k{rnd.randint(0, 10**6):07d}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "part int, key string, i int").dropDuplicates(["part", "key"])
+    got = ordered.sorted_row_number(df, ["part"], ["key", "i"], "rn", buckets=5)
+    want = df.select("part", "key", "i", F.row_number().over(Window.partitionBy("part").orderBy("key", "i")).alias("rn"))
+    key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
+    assert sorted((tuple(r) for r in got.select("part", "key", "i", "rn").collect()), key=key) == \
+        sorted((tuple(r) for r in want.collect()), key=key)
