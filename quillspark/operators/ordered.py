@@ -43,9 +43,12 @@ def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
                  fill_down: Iterable[str] = (),
                  fill_up: Iterable[str] = (),
                  group_total: str | None = None,
-                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                 block_size: int = DEFAULT_BLOCK, bounded_order: bool = True) -> DataFrame:
     """Running sums and fills along an ordered sequence, block-parallel.
 
+    With ``bounded_order=False`` the order may be any sortable columns with
+    any spread of values: rows are first numbered by ``sorted_row_number``.
+
     running     -- ``{name: (value_column, inclusive)}``: cumulative sum of the
                    value over rows before (and, if inclusive, at) each row;
                    0 for an empty prefix.
@@ -56,6 +59,12 @@ def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
     group_total -- name of a column holding the row count of the sequence.
     """
     part, order = list(part), list(order)
+    if not bounded_order:
+        # number the rows first (any sort key), then scan on the number
+        numbered = sorted_row_number(df, part, order, _P + "pos")
+        out = ordered_scan(numbered, part, [_P + "pos"], running=running, fill_down=fill_down,
+                           fill_up=fill_up, group_total=group_total, block_size=block_size)
+        return out.drop(_P + "pos")
     running = dict(running or {})
     fill_down, fill_up = list(fill_down), list(fill_up)
     blk, key = _P + "blk", _P + "key"

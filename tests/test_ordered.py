@@ -137,3 +137,13 @@ def test_sorted_row_number_any_order(spark):
     key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
     assert sorted((tuple(r) for r in got.select("part", "key", "i", "rn").collect()), key=key) == \
         sorted((tuple(r) for r in want.collect()), key=key)
+
+
+def test_scan_with_unbounded_order(spark):
+    # every row shares the first order value: blocks come from row numbers
+    df = spark.createDataFrame([(1, 0, i, None if i % 3 else f"v{i}") for i in range(50)],
+                               "part int, o1 int, o2 int, v string")
+    got = ordered.ordered_scan(df, ["part"], ["o1", "o2"], fill_down=["v"], running={"n": (F.lit(1), True)},
+                               block_size=4, bounded_order=False)
+    rows = sorted((r.o2, r.v, r.n) for r in got.collect())
+    assert rows == [(i, f"v{i - i % 3}", i + 1) for i in range(50)]
