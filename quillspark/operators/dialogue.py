@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import paste
 from quillspark.operators.counts import count_by, distinct_and_rows, n_distinct
-from quillspark.operators.ordered import DEFAULT_BLOCK, first_seen_code
+from quillspark.operators.ordered import first_seen_code
 from quillspark.operators.relational import arrange, join_on
 from quillspark.operators.tokens import unnest_tokens
 
@@ -34,19 +34,19 @@ def lines_per(dialogues: DataFrame, keys: Sequence[str], turn: str = "dialrank")
     return distinct_and_rows(dialogues, keys, turn, "n_turns", "n")
 
 
-def level_codes(df: DataFrame, levels: Mapping[str, str], order: Sequence[str], part: Sequence[str] = (),
-                *, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+def level_codes(df: DataFrame, levels: Mapping[str, str], order: Sequence[str],
+                part: Sequence[str] = ()) -> DataFrame:
     """Join first-appearance codes for each ``{level_column: code_column}``."""
     out = df
     for level, code in levels.items():
-        codes = first_seen_code(df, part, order, level, code, block_size=block_size)
+        codes = first_seen_code(df, part, order, level, code)
         out = join_on(out, codes, [*part, level], "left")
     return out
 
 
 def words_per(dialogues: DataFrame, keys: Sequence[str], *, line: str = "line",
               levels: Mapping[str, str] | None = None, order: Sequence[str] = (),
-              label: str = "label", block_size: int = DEFAULT_BLOCK) -> DataFrame:
+              label: str = "label") -> DataFrame:
     """Q19: word tokens per group; with ``levels`` each listed key also gets
     its code by first appearance in ``order`` and the codes are joined into a
     dotted ``label``; rows sorted by the codes."""
@@ -54,18 +54,17 @@ def words_per(dialogues: DataFrame, keys: Sequence[str], *, line: str = "line",
     out = count_by(tokens, keys)
     if levels:
         for level, code in levels.items():
-            codes = first_seen_code(dialogues, [], order, level, code, block_size=block_size)
+            codes = first_seen_code(dialogues, [], order, level, code)
             out = join_on(out, codes, [level], "left")
         out = out.withColumn(label, paste(*levels.values(), sep="."))
         out = arrange(out, *levels.values(), *keys)
     return out
 
 
-def nth_level(df: DataFrame, level: str, k: int, order: Sequence[str], part: Sequence[str] = (), *,
-              block_size: int = DEFAULT_BLOCK) -> DataFrame:
+def nth_level(df: DataFrame, level: str, k: int, order: Sequence[str], part: Sequence[str] = ()) -> DataFrame:
     """P12/Q22: rows whose ``level`` is the k-th distinct value in order of
     first appearance (``filter(x == unique(x)[k])``), per ``part``."""
-    codes = first_seen_code(df, part, order, level, "__code", block_size=block_size)
+    codes = first_seen_code(df, part, order, level, "__code")
     codes = codes.where(F.col("__code") == k).drop("__code")
     return join_on(df, codes, [*part, level], "left_semi")
 

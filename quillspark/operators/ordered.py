@@ -235,8 +235,7 @@ def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple], *,
     return out.select(*df.columns, *shifts.keys())
 
 
-def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code", *,
-                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
+def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code") -> DataFrame:
     """Level code by first appearance: ``as.numeric(factor(x, levels=unique(x)))``.
 
     Returns one row per (part, level) with the code. NULL is no level (R's

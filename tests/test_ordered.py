@@ -89,7 +89,7 @@ def test_shift_lag_lead(spark, block):
 def test_first_seen_code(spark):
     df = spark.createDataFrame([(1, 1, "b"), (1, 2, "a"), (1, 3, "b"), (1, 4, None), (1, 5, "c"),
                                 (2, 1, "c")], "part int, ord int, lvl string")
-    got = ordered.first_seen_code(df, ["part"], ["ord"], "lvl", "code", block_size=2)
+    got = ordered.first_seen_code(df, ["part"], ["ord"], "lvl", "code")
     assert sorted(tuple(r) for r in got.collect()) == [(1, "a", 2), (1, "b", 1), (1, "c", 3), (2, "c", 1)]
 
 
