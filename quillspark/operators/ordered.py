@@ -149,25 +149,47 @@ def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_n
     return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
 
 
+# Sample rows per bucket used to place the bucket bounds, and the most
+# buckets one numbering uses.
+SAMPLE_PER_BUCKET = 32
+MAX_BUCKETS = 512
+
+
 def sorted_row_number(df: DataFrame, part, order, name: str = "row_no", *,
                       buckets: int | None = None) -> DataFrame:
     """``row_number()`` per ``part`` by any sortable ``order`` (rows unique
     on part + order), with no assumption on how the order values are spread.
 
-    The rows are range-partitioned on ``(part, order)`` into sorted buckets;
-    each bucket numbers its rows per sequence, the (sequence, bucket) sizes
-    -- one row each -- become offsets through a block scan over the bucket
-    index, and local number + offset is the row number. A sequence with a
-    third of the rows is spread over many buckets.
+    Rows are cut into sorted buckets by bounds taken from a sample that
+    depends only on the data (rows whose key hash falls in one residue
+    class, about ``SAMPLE_PER_BUCKET`` per bucket), sorted once in a scalar
+    subquery. The bucket of a row is then a pure function of its key, so
+    every branch and every recomputation agrees on it. Each bucket numbers
+    its rows per sequence in a window, the (sequence, bucket) sizes -- one
+    row each -- become offsets through a block scan over the bucket index,
+    and local number + offset is the row number. A sequence with a third
+    of the rows is spread over many buckets.
     """
     part, order = list(part), list(order)
-    n = buckets or df.sparkSession.sparkContext.defaultParallelism
+    # each row compares its key with every bound, so the bucket count is capped
+    n = buckets or min(df.sparkSession.sparkContext.defaultParallelism, MAX_BUCKETS)
     bucket, local = _P + "bucket", _P + "local"
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc() for c in part + order])
-                .withColumn(bucket, F.spark_partition_id()))
+    key = F.struct(*[F.col(c) for c in part + order])
+    total = df.agg(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.lit(1), F.floor(total / F.lit(n * SAMPLE_PER_BUCKET)))
+    sample = df.where(F.pmod(F.xxhash64(*[F.col(c) for c in part + order]), every) == 0)
+    step = F.greatest(F.lit(1), F.floor(F.size("__s") / F.lit(n)))
+    bounds = (sample.agg(F.sort_array(F.collect_list(key)).alias("__s"))
+                    .select(F.filter("__s", lambda x, i: ((i + 1) % step == 0) & (i > 0)).alias("__b"))
+                    .scalar())
+    # the bounds become a column first (a subquery may not sit inside a
+    # higher-order function), then each row counts the bounds below its key
+    with_bucket = (df.withColumn(_P + "bounds", bounds)
+                     .withColumn(bucket, F.size(F.filter(_P + "bounds", lambda b: b <= key)))
+                     .drop(_P + "bounds"))
     w = Window.partitionBy(bucket, *part).orderBy(*[F.col(c).asc() for c in order])
-    numbered = ranged.withColumn(local, F.row_number().over(w))
-    sizes = numbered.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias(_P + "size"))
+    numbered = with_bucket.withColumn(local, F.row_number().over(w))
+    sizes = with_bucket.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias(_P + "size"))
     offsets = ordered_scan(sizes, part, [bucket], running={_P + "off": (F.col(_P + "size"), False)})
     out = join_keys(numbered, offsets.select(*part, bucket, _P + "off"), [*part, bucket])
     return out.select(*df.columns, (F.col(_P + "off") + F.col(local)).alias(name))
