@@ -45,8 +45,8 @@ def text_positions(df: DataFrame, text_col: str = "text", *, stop_words=None, ke
         stop_words = list(stop_words)
         if len(stop_words) > MAX_INLINE_STOP:
             raise ValueError("stop list too long to inline; use relative_position on a token table")
-        stop = F.array(*[F.lit(w) for w in stop_words])
-        toks = F.filter(toks, lambda t: ~F.array_contains(stop, t["w"]))
+        # ``isin`` over many literals becomes a hash-set lookup (InSet)
+        toks = F.filter(toks, lambda t: ~t["w"].isin(*stop_words))
     d = df.select(*keep, toks.alias("__toks"))
     d = d.select(*keep, F.size("__toks").alias("__n"), F.posexplode("__toks").alias("__r", "__t"))
     return d.select(*keep, F.col("__t")["p"].alias(position), F.col("__t")["w"].alias(word),

@@ -147,3 +147,10 @@ def test_scan_with_unbounded_order(spark):
                                block_size=4, bounded_order=False)
     rows = sorted((r.o2, r.v, r.n) for r in got.collect())
     assert rows == [(i, f"v{i - i % 3}", i + 1) for i in range(50)]
+
+
+def test_sorted_row_number_independent_of_partitioning(spark):
+    df = spark.range(0, 500).select((F.col("id") % 3).alias("part"), (F.col("id") * 7919 % 1000).alias("o"))
+    a = ordered.sorted_row_number(df.repartition(3), ["part"], ["o"], "rn", buckets=4)
+    b = ordered.sorted_row_number(df.repartition(11, "o"), ["part"], ["o"], "rn", buckets=4)
+    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
