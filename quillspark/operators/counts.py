@@ -57,5 +57,19 @@ def compare_vocab(a: DataFrame, b: DataFrame, a_name: str, b_name: str,
     return share_of_total(both, [a_name, b_name])
 
 
-__all__ = ["count_by", "n_distinct", "distinct_and_rows", "share_of_total",
+def compare_groups(tokens: DataFrame, group: str, a_value, b_value, a_name: str, b_name: str, *,
+                   stop=None, word: str = "word") -> DataFrame:
+    """Q2 for two groups of one token table (e.g. two languages or genders):
+    both counts come from one aggregation over one pass of the tokens, then
+    the words used by both groups get their share of each side's shared
+    vocabulary. Same result as ``compare_vocab`` on the two filtered counts."""
+    t = remove_stopwords(tokens.where(F.col(group).isin(a_value, b_value)), stop, word)
+    both = (t.groupBy(word)
+             .agg(F.count(F.when(F.col(group) == a_value, F.lit(1))).alias(a_name),
+                  F.count(F.when(F.col(group) == b_value, F.lit(1))).alias(b_name))
+             .where((F.col(a_name) > 0) & (F.col(b_name) > 0)))
+    return share_of_total(both, [a_name, b_name])
+
+
+__all__ = ["compare_groups", "count_by", "n_distinct", "distinct_and_rows", "share_of_total",
            "word_counts", "compare_vocab"]

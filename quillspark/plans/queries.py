@@ -480,9 +480,8 @@ def word_counts(spark, base):
 
 @register
 def compare_vocab(spark, base):
-    en = _lang_counts(spark, base, "en", _stop(spark))
-    de = _lang_counts(spark, base, "de", _stop(spark))
-    return counts.compare_vocab(en, de, "share_en", "share_de")
+    return counts.compare_groups(doc_tokens(spark, base), "lang", "en", "de", "share_en", "share_de",
+                                 stop=_stop(spark))
 
 
 def _lang_word_counts(spark, base):

@@ -48,3 +48,13 @@ def test_shares_and_n_distinct(spark):
     df = spark.createDataFrame([("g", 1), ("g", None), ("g", 1), ("h", 2)], "g string, v int")
     nd = {r.g: (r.n_distinct, r.n) for r in counts.distinct_and_rows(df, ["g"], "v").collect()}
     assert nd == {"g": (2, 3), "h": (1, 1)}
+
+
+def test_compare_groups_equals_compare_vocab(spark):
+    t = spark.createDataFrame([("x", "a"), ("x", "b"), ("x", "b"), ("y", "b"), ("y", "c"), ("y", "a"), ("y", "a"),
+                               ("z", "a")], "g string, word string")
+    one = counts.compare_groups(t, "g", "x", "y", "X", "Y")
+    cx = counts.count_by(t.where(F.col("g") == "x"), ["word"])
+    cy = counts.count_by(t.where(F.col("g") == "y"), ["word"])
+    two = counts.compare_vocab(cx, cy, "X", "Y")
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in two.collect())
