@@ -15,7 +15,8 @@ TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events", "natio
           "documents", "pages", "labels", "conversations"]
 NAMES = ["word_counts", "tf_idf", "top_terms", "sentiment_arc", "sentiment_decile", "tfidf_decile",
          "cooccurrence_share", "number_turns", "annotate_structure", "segment_trim", "fill_up", "lag_lead",
-         "words_per_role", "build_lexicon", "name_profile", "select_works", "pivot_fill", "weighted_mean"]
+         "words_per_role", "build_lexicon", "name_profile", "select_works", "pivot_fill", "weighted_mean",
+         "compare_vocab", "alpha_code", "play_network", "row_number_all", "subject_counts_period", "scene_sizes"]
 
 
 def norm(v):
