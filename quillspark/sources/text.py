@@ -56,15 +56,29 @@ def text_lines(df: DataFrame, text_col: str = "text", *, keep=None,
 
 
 def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename",
-               neighbours: dict | None = None) -> DataFrame:
+               neighbours: dict | None = None, whole_files: bool = True) -> DataFrame:
     """Read every text file under ``path`` as lines, blank lines kept.
 
-    Each file is read whole (one task per file, ``wholetext``) and split in
-    place, so the line numbers follow the file and neighbouring lines
-    (``neighbours``, see ``text_lines``) come without a shuffle. The file
-    name comes from the file metadata without its directory (``list.files``
-    + ``gsub``).
+    ``whole_files`` (default): each file is read whole (one task per file,
+    ``wholetext``) and split in place, so the line numbers follow the file
+    and neighbouring lines (``neighbours``, see ``text_lines``) come without
+    a shuffle. For files too large to be one row, ``whole_files=False``
+    reads them line by line in splits and numbers the lines by file, split
+    offset and position inside the split with a block scan (one block per
+    split); add neighbours then with ``operators.structure.add_neighbours``.
+    The file name comes from the file metadata without its directory
+    (``list.files`` + ``gsub``).
     """
+    if not whole_files:
+        from quillspark.operators.ordered import number_rows
+        raw = spark.read.text(path).select(
+            F.col("_metadata.file_name").alias(file_col),
+            F.col("_metadata.file_block_start").alias("__split"),
+            F.monotonically_increasing_id().alias("__seq"),     # read order inside the split
+            F.col("value").alias("line"))
+        numbered = number_rows(raw, [file_col], ["__split", "__seq"], "line_no",
+                               block_size=1)                    # one block per split
+        return numbered.select(file_col, F.col("line_no").cast("int").alias("line_no"), "line")
     raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_name").alias(file_col), F.col("value").alias("text")))
     return text_lines(raw, "text", keep=[file_col], line_col="line", number_col="line_no",

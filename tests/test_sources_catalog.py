@@ -115,3 +115,23 @@ def test_relational_helpers(spark):
     assert [r.x for r in srt.collect()] == [2, 1, None]
     assert [r.x for r in R.arrange(srt, "x").collect()] == [1, 2, None]
     assert F is not None
+
+
+def test_read_lines_in_splits(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "big")
+    os.makedirs(d)
+    lines = [("" if i % 7 == 0 else f"line {i} " + "x" * (i % 13)) for i in range(1, 1501)]
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(os.path.join(d, "b.txt"), "w") as f:
+        f.write("only\nthree\nlines")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")      # many splits per file
+    try:
+        got = read_lines(spark, d, whole_files=False)
+        rows = sorted((r.filename, r.line_no, r.line) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = sorted([("a.txt", i, t) for i, t in enumerate(lines, 1)] +
+                  [("b.txt", 1, "only"), ("b.txt", 2, "three"), ("b.txt", 3, "lines")])
+    assert rows == want
