@@ -135,3 +135,13 @@ def test_read_lines_in_splits(spark, tmpdir_path):
     want = sorted([("a.txt", i, t) for i, t in enumerate(lines, 1)] +
                   [("b.txt", 1, "only"), ("b.txt", 2, "three"), ("b.txt", 3, "lines")])
     assert rows == want
+
+
+def test_read_lines_with_neighbours(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "nb")
+    os.makedirs(d)
+    with open(os.path.join(d, "p.txt"), "w") as f:
+        f.write("a\n\nb\nc\n")
+    got = sorted(tuple(r) for r in read_lines(spark, d, neighbours={"prev1": 1, "prev2": 2, "next1": -1}).collect())
+    assert got == [("p.txt", 1, "a", None, None, ""), ("p.txt", 2, "", "a", None, "b"),
+                   ("p.txt", 3, "b", "", "a", "c"), ("p.txt", 4, "c", "b", "", None)]
