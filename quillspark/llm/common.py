@@ -68,6 +68,17 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def gaps(extra=()) -> np.ndarray:
+    """Bytes that separate words: ASCII white space and ``extra``."""
+    out = _SPACE.copy()
+    out[list(extra)] = True
+    return out
+
+
+#: ASCII control, space and punctuation bytes: all but digits and letters.
+NOT_ALNUM = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
+
+
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of an Arrow string column (null: empty)."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -91,15 +102,19 @@ def word_spans(data: np.ndarray, off: np.ndarray, separator=_SPACE):
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table=_LOWER) -> np.ndarray:
-    """64-bit hash of each span after the byte table (A-Z lowered), independent of place."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lo, hi = int(starts[0]), int(ends[-1])
-    power, inverse = _pow(hi - lo + 1)
-    run = np.zeros(hi - lo + 1, np.uint64)
-    np.cumsum(table[data[lo:hi]] * power[:-1], out=run[1:], dtype=np.uint64)
-    s, e = starts - lo, ends - lo
-    return mix((run[e] - run[s]) * inverse[s] + (e - s).astype(np.uint64))
+    """64-bit hash of each span after the byte table (A-Z lowered), independent
+    of place. Spans come in order; long stretches are taken in steps."""
+    out, i = np.zeros(len(starts), np.uint64), 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = len(starts) if ends[-1] - lo <= 2 * SEGMENT else max(i + 1, int(np.searchsorted(ends, lo + 2 * SEGMENT, side="right")))
+        power, inverse = _pow(int(ends[j - 1]) - lo + 1)
+        run = np.zeros(len(power), np.uint64)
+        np.cumsum(table[data[lo:int(ends[j - 1])]] * power[:-1], out=run[1:], dtype=np.uint64)
+        s, e = starts[i:j] - lo, ends[i:j] - lo
+        out[i:j] = mix((run[e] - run[s]) * inverse[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
 
 
 def segments(off: np.ndarray, most: int = SEGMENT):
@@ -112,29 +127,11 @@ def segments(off: np.ndarray, most: int = SEGMENT):
 
 
 def row_words(data: np.ndarray, off: np.ndarray, i: int, j: int, separator=_SPACE, table=_LOWER):
-    """Of rows i..j: word hashes in order, and per row the index of its first
-    word (with a closing entry). A row longer than ``SEGMENT`` is hashed in
-    pieces cut at white space, so memory stays bounded by the longest word."""
+    """Of rows i..j: word hashes in order, per row the index of its first word
+    (with a closing entry), and the words' starts and ends."""
     o = off[i:j + 1]
-    if j - i > 1 or o[-1] - o[0] <= 2 * SEGMENT:
-        s, e = word_spans(data, o, separator)
-        return word_hashes(data, s, e, table), np.searchsorted(s, o), s, e
-    parts, starts, ends, lo, hi = [], [], [], int(o[0]), int(o[1])
-    while lo < hi:
-        cut_at = min(lo + SEGMENT, hi)
-        while cut_at < hi:
-            gap = np.flatnonzero(separator[data[cut_at:min(cut_at + 4096, hi)]])
-            if len(gap):
-                cut_at += int(gap[0])
-                break
-            cut_at = min(cut_at + 4096, hi)
-        s, e = word_spans(data, np.array([lo, cut_at], np.int64), separator)
-        parts.append(word_hashes(data, s, e, table))
-        starts.append(s)
-        ends.append(e)
-        lo = cut_at
-    h = np.concatenate(parts)
-    return h, np.array([0, len(h)]), np.concatenate(starts), np.concatenate(ends)
+    s, e = word_spans(data, o, separator)
+    return word_hashes(data, s, e, table), np.searchsorted(s, o), s, e
 
 
 # ---------------------------------------------------------------- components
@@ -169,3 +166,26 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def small_side(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Marks the narrow, materialised side of a join for broadcast if a count
+    shows it to be small; beyond that the join shuffles."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+_shipped: set = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Gives the executors' Python this package, once per application."""
+    import shutil
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="llm-code-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(sc.applicationId)
+    return spark
