@@ -2,9 +2,9 @@
 
 Rows that share a key (an inverted list, a block of a fingerprint) are
 candidates of each other. Short lists become pairs; lists that are too long to
-be paired stay lists. Pairs and lists are gathered into groups, and groups are
-cut into squares of two chunks of bounded weight, so that a group of any size
-is compared whole, by many tasks.
+be paired stay lists (``kind`` 1: u is the list, v a member). Pairs and lists
+are gathered into groups, and groups are cut into squares of two chunks of
+bounded weight, so that a group of any size is compared whole, by many tasks.
 """
 
 from __future__ import annotations
@@ -14,57 +14,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MET = "kind byte, u long, v long, m int, both boolean"
+MET = "kind byte, u long, v long, m int"
 
 
-def pairs_of_runs(batches, most: int, percent: int, share: float):
-    """Pairs of each token's list, from batches (token, id, size, mixed)
-    sorted by token. Lists longer than ``most`` come out as lists, not as pairs."""
-    def emit(kind, u, v, m, both):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind, np.int8)), pa.array(u), pa.array(v), pa.array(m), pa.array(both)],
-                                          names=["kind", "u", "v", "m", "both"])
-
-    def listed(token, cls):
-        z = np.zeros(len(cls), np.int32)
-        return emit(1, token, cls, z, z > 0)
-
-    kept, length = None, 0  # the list at the end of a batch may go on; its length so far
+def pairs_of_runs(batches, most: int, percent: int):
+    """Pairs of each key's list, from batches (key, id, size) sorted by key;
+    sizes must be within ``percent`` of each other, m is the smaller. Lists
+    longer than ``most`` come out as lists, however many batches they span."""
+    kept, length, streamed = None, 0, None  # the list at the end of a batch may go on; its length if it is being streamed
     for b in batches:
-        t, c, n, x = (np.asarray(b.column(k)) for k in range(4))
+        t, c, n = (np.asarray(b.column(k)) for k in range(3))
         if kept is not None:
-            t, c, n, x = (np.concatenate(y) for y in zip(kept, (t, c, n, x)))
+            t, c, n = (np.concatenate(y) for y in zip(kept, (t, c, n)))
         kept = None
         if not len(t):
             continue
         at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
         end = np.append(at[1:], len(t))
-        last = at[-1]
-        if length and end[0] - at[0] + length > most:  # the first list goes on beyond its bound
-            yield listed(t[:end[0]], c[:end[0]])
+        if length and t[0] == streamed:
+            yield _listed(t[:end[0]], c[:end[0]])
             if len(at) == 1:
-                length += end[0]
                 continue
             at, end = at[1:], end[1:]
-        length = 0
-        if len(t) - last > most:  # too long already: streamed from now on
-            yield listed(t[last:], c[last:])
-            length = len(t) - last
+        length, last = 0, at[-1]
+        if len(t) - last > most:  # streamed from now on
+            yield _listed(t[last:], c[last:])
+            length, streamed = len(t) - last, t[last]
         else:
-            kept = (t[last:], c[last:], n[last:], x[last:])
-        at, end = at[:-1], end[:-1]
-        yield from _pairs(t, c, n, x, at, end, most, percent, emit, listed)
+            kept = (t[last:], c[last:], n[last:])
+        yield from _pairs(t, c, n, at[:-1], end[:-1], most, percent)
     if kept is not None:
-        t, c, n, x = kept
-        yield from _pairs(t, c, n, x, np.array([0]), np.array([len(t)]), most, percent, emit, listed)
+        yield from _pairs(*kept, np.array([0]), np.array([len(kept[0])]), most, percent)
+
+
+def _met(kind, u, v, m):
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(u), kind, np.int8)), pa.array(u), pa.array(v), pa.array(m)], names=["kind", "u", "v", "m"])
+
+
+def _listed(key, ids):
+    return _met(1, key, ids, np.zeros(len(ids), np.int32))
 
 
-def _pairs(t, c, n, x, at, end, most, percent, emit, listed):
+def _pairs(t, c, n, at, end, most, percent):
     size = end - at
     for k in np.unique(size[size > 1]):
         starts = at[size == k]
         if k > most:
             rows = (starts[:, None] + np.arange(k)).ravel()
-            yield listed(t[rows], c[rows])
+            yield _listed(t[rows], c[rows])
             continue
         i, j = np.triu_indices(k, 1)
         for lot in np.array_split(starts, max(1, len(starts) * len(i) // 500_000)):
@@ -73,7 +70,7 @@ def _pairs(t, c, n, x, at, end, most, percent, emit, listed):
             ok = (c[p] != c[q]) & (100 * low.astype(np.int64) >= percent * high.astype(np.int64))
             p, q = p[ok], q[ok]
             if len(p):
-                yield emit(0, np.minimum(c[p], c[q]), np.maximum(c[p], c[q]), np.minimum(n[p], n[q]), x[p] & x[q])
+                yield _met(0, np.minimum(c[p], c[q]), np.maximum(c[p], c[q]), np.minimum(n[p], n[q]))
 
 
 def runs_of(batches, columns: int):
@@ -96,24 +93,24 @@ def runs_of(batches, columns: int):
         yield key, held
 
 
-def cells(met: DataFrame, weights: DataFrame, bound: int, lists: DataFrame | None = None) -> DataFrame:
-    """``(cell, id, side)``: what to compare with what.
-
-    ``met(kind, u, v)`` has candidate pairs (kind 0) and members v of lists u
-    (kind 1); ``lists(list, id)`` has further members; ``weights(id, weight)``.
-    A pair meets in the group of the smallest partner of its smaller end, so
-    the pairs of a clique share one group. Within a cell sides 0 meet sides 1,
-    and sides 2 meet each other.
-    """
-    pairs = met.where("kind = 0").select("u", "v")
+def pair_groups(pairs: DataFrame) -> DataFrame:
+    """``(grp, id)`` from ``pairs(u, v)``: a pair meets in the group of the
+    smallest partner of its smaller end, so the pairs of a clique share one."""
     low = (pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min("v").alias("m"))
            .select("u", F.least("u", "m").alias("m")))
-    named = lambda c, kind: F.xxhash64(c, F.lit(kind)).alias("grp")
-    members = pairs.join(low, "u").select(named("m", "pair"), F.explode(F.array("u", "v")).alias("id")).union(
-        met.where("kind = 1").select(named("u", "list"), F.col("v").alias("id")))
-    if lists is not None:
-        members = members.union(lists.select(named("list", "list"), "id"))
-    members = members.distinct().join(weights, "id")
+    return pairs.join(low, "u").select(F.xxhash64("m", F.lit("pair")).alias("grp"), F.explode(F.array("u", "v")).alias("id"))
+
+
+def list_groups(lists: DataFrame) -> DataFrame:
+    """``(grp, id)`` from ``lists(list, id)``."""
+    return lists.select(F.xxhash64("list", F.lit("list")).alias("grp"), "id")
+
+
+def squares(grouped: DataFrame, bound: int) -> DataFrame:
+    """``(cell, id, side)`` from ``grouped(grp, id, weight)``: each group in
+    squares of two chunks of about ``bound`` weight. Within a cell sides 0
+    meet sides 1, and sides 2 meet each other."""
+    members = grouped.groupBy("grp", "id").agg(F.max("weight").alias("weight"))
     size = members.groupBy("grp").agg(F.ceil(F.sum("weight") / bound).alias("chunks"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = members.join(size, "grp").withColumn("i", F.pmod(F.xxhash64("id"), F.col("chunks")))
     members = members.select("grp", "id", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("j"))

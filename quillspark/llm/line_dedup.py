@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.cells import MET, cells, pairs_of_runs, runs_of
+from quillspark.llm.cells import MET, list_groups, pair_groups, pairs_of_runs, runs_of, squares
 from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, small_side, text_buffers
 
 BLOCKS, BITS, SIMILAR, MOST, CELL = 8, 28, 0.9, 32, 500
@@ -178,7 +178,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(docs: DataFrame) -> DataFrame:
-    """``(key, h, n, x)``: blocks of distinct lines, as keys to meet under."""
+    """``(key, h)``: blocks of distinct lines, as keys to meet under."""
     def run(batches):
         seen: set = set()
         for b in batches:
@@ -210,12 +210,13 @@ def block_keys(docs: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``(id, component)`` of line hashes that are linked to another."""
     def meet(batches):
-        return pairs_of_runs((_four(b) for b in batches), MOST, 0, 0)
+        one = lambda b: pa.array(np.ones(b.num_rows, np.int32))
+        return pairs_of_runs((pa.RecordBatch.from_arrays([*b.columns, one(b)], names=["key", "h", "n"]) for b in batches), MOST, 0)
 
     met = block_keys(docs).repartition("key").sortWithinPartitions("key").mapInArrow(meet, MET).select("kind", "u", "v").distinct()
     met = cut(met)
-    members = cut(cells(met, met.select(F.explode(F.when(F.col("kind") == 0, F.array("u", "v")).otherwise(F.array("v"))).alias("id")).distinct()
-                        .withColumn("weight", F.lit(1)), CELL))
+    grouped = pair_groups(met.where("kind = 0").select("u", "v")).union(list_groups(met.where("kind = 1").select(F.col("u").alias("list"), F.col("v").alias("id"))))
+    members = cut(squares(grouped.withColumn("weight", F.lit(1)), CELL))
     where = lines.join(small_side(cut(members.select(F.col("id").alias("h")).distinct())), "h").groupBy("h").agg(F.min(F.struct("k", "line_no")).alias("at"))
     want = cut(where.groupBy(F.col("at.k").alias("k")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h")).alias("lines")))
 
@@ -246,11 +247,6 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return components(sets.mapInArrow(search, "u long, v long"))
 
 
-def _four(b):
-    n = b.num_rows
-    return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.ones(n, np.int32)), pa.array(np.zeros(n, bool))], names=["a", "b", "c", "d"])
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(id_col, text_col).alias("k"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 

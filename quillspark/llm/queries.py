@@ -33,7 +33,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights of their sources."""
     from quillspark.llm import mixing
 
-    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shards")
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

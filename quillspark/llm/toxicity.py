@@ -2,7 +2,8 @@
 
 Voters are words of a lexicon and patterns (a word, or a word's first four or
 five bytes) that in labelled training rows come up in toxic documents and
-hardly elsewhere. A generative label model looks at the voters' votes alone: by
+hardly elsewhere, as many of them as it takes to reach every toxic row twice. A
+generative label model looks at the voters' votes alone: by
 EM it estimates how often each votes on toxic and on other documents, and how
 far voters agree beyond that; voters that move together share their weight. Its
 posteriors are the targets of a linear classifier, and that classifier scores
@@ -97,27 +98,61 @@ def mine(labelled: DataFrame, n_toxic: int, most: int) -> np.ndarray:
     return np.array(got.column(0), dtype=np.int64).view(np.uint64)
 
 
-def label_model(v: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
+def choose(v: np.ndarray, toxic: np.ndarray, least: float, cover: int = 2) -> np.ndarray:
+    """Voters that together reach the toxic rows ``cover`` times: the one that
+    adds most comes next, until none adds ``least`` rows."""
+    need, hits, out = np.full(int(toxic.sum()), cover), v[toxic].copy(), []
+    while len(out) < v.shape[1]:
+        gain = ((need > 0) @ hits)
+        best = int(gain.argmax())
+        if gain[best] < max(least, 1):
+            break
+        out.append(best)
+        need = need - hits[:, best]
+        hits[:, best] = 0
+    return np.array(sorted(out), int)
+
+
+def kinds_of(v: np.ndarray, least: float = 0.1) -> np.ndarray:
+    """Group of each voter: voters that come up together are of one kind."""
+    corr = np.corrcoef(v + 1e-12 * np.arange(len(v))[:, None] / max(1, len(v)), rowvar=False).reshape(v.shape[1], -1)
+    kind = np.arange(v.shape[1])
+    for i, j in np.argwhere(np.triu(corr > least, 1)):
+        kind[kind == kind[j]] = kind[i]
+    return np.unique(kind, return_inverse=True)[1]
+
+
+def label_model(v: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of each row of the 0/1 vote matrix, and each voter's share of
-    weight after its correlations."""
+    weight after its correlations.
+
+    Toxic rows are of several kinds (insults of one language go together), so
+    the model is a mixture of one clean class and a toxic class for each kind
+    of voter. EM finds how often each voter votes in each class. Halfway,
+    agreement that the classes don't explain divides the voters' weight.
+    """
+    n, m = v.shape
+    kind = kinds_of(v)
+    k = kind.max() + 1
     some = v.any(axis=1)
-    p = np.where(some, 0.9, 0.02)
-    share = np.ones(v.shape[1])
+    q = np.full((n, k + 1), 0.02 / k)  # class 0 is the clean one
+    q[np.arange(n), 1 + np.argmax(np.stack([v[:, kind == c].sum(axis=1) for c in range(k)], axis=1), axis=1)] += np.where(some, 0.88, 0)
+    q[:, 0] = 1 - q[:, 1:].sum(axis=1)
+    share = np.ones(m)
     for step in range(rounds):
-        on, off = p.sum() + 1, (1 - p).sum() + 1
-        hit, false = (v.T @ p + 0.05) / on, (v.T @ (1 - p) + 0.05) / off
-        gain = np.log(hit) - np.log(false)
-        silent = np.log((p[~some].sum() + 0.05) / on) - np.log(((1 - p[~some]).sum() + 0.05) / off)
-        odds = np.log(on / off) + np.where(some, v @ (share * gain), silent)
-        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if step == rounds // 2:  # agreement of voters that the class doesn't explain
-            rest = v - np.outer(p, hit) - np.outer(1 - p, false)
+        size = q.sum(axis=0) + 1
+        rate = (q.T @ v + 0.05) / (size[:, None] + 0.1)
+        odds = np.log(size / size.sum()) + (v * share) @ np.log(rate).T + ((1 - v) * share) @ np.log(1 - rate).T
+        q = np.exp(odds - odds.max(axis=1, keepdims=True))
+        q /= q.sum(axis=1, keepdims=True)
+        if step == rounds // 2:
+            rest = v - q @ rate
             cov = rest.T @ rest
             scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             corr = np.maximum(cov / np.outer(scale, scale), 0)
             np.fill_diagonal(corr, 0)
             share = 1 / (1 + np.where(corr > 0.2, corr, 0).sum(axis=1))
-    return p, share
+    return 1 - q[:, 0], share
 
 
 def fit_linear(x: np.ndarray, p: np.ndarray, penalty: float = 0.5, rounds: int = 25) -> np.ndarray:
@@ -158,22 +193,31 @@ def fit(docs: DataFrame, labels: DataFrame, *, most: int = FIT, voters: int = VO
             row, voter, times = votes(b.column(0), words)
             at = np.searchsorted(row, np.arange(b.num_rows + 1))
             cut_up = lambda a: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(a.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([cut_up(voter), cut_up(times)], names=["voter", "times"])
+            yield pa.RecordBatch.from_arrays([cut_up(voter), cut_up(times), b.column(1)], names=["voter", "times", "toxic"])
 
-    got = rows.select("text").mapInArrow(vote, "voter array<int>, times array<int>").limit(2 * most).toArrow()
-    voter, times = got.column("voter").to_pylist(), got.column("times").to_pylist()
+    got = rows.mapInArrow(vote, "voter array<int>, times array<int>, toxic int").limit(2 * most).toArrow()  # one row per labelled row
+    voter, times, toxic = got.column("voter").to_pylist(), got.column("times").to_pylist(), np.array(got.column("toxic")) == 1
     if not any(voter):
         return words, np.concatenate([np.full(len(words), 4.0), [0.0, -2.0]])
     row = np.repeat(np.arange(len(voter)), [len(x) for x in voter])
     x = matrix(len(voter), row, np.array([y for z in voter for y in z], int), np.array([y for z in times for y in z], float), len(words))
+    if toxic.any():
+        used = choose(x[:, :-1], toxic, LEAST_SHARE / 2 * n_toxic)
+        words, x = words[used], matrix(len(voter), *_only(row, voter, times, used), len(used))
     p, share = label_model(x[:, :-1])
-    scaled = x.copy()
-    scaled[:, :-1] *= share  # correlated voters share their weight in the classifier too
-    w = fit_linear(scaled, p)
+    x[:, :-1] *= share  # correlated voters share their weight in the classifier too
+    w = fit_linear(x, p)
     w[:-2] *= share
     return words, w
 
 
+def _only(row, voter, times, used):
+    """Votes of the chosen voters, renumbered."""
+    voter, times = np.array([y for z in voter for y in z], int), np.array([y for z in times for y in z], float)
+    ok = np.isin(voter, used)
+    return row[ok], np.searchsorted(used, voter[ok]), times[ok]
+
+
 def score(docs: DataFrame, model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every document."""
     words, w = model
