@@ -42,11 +42,15 @@ def contains_fixed(col, literal: str) -> Column:
 def replace_first(col, pattern: str, replacement: str) -> Column:
     """Replace only the first regex match (``str_replace``).
 
-    The lazy prefix group keeps everything before the first match; the
-    replacement is taken literally.
+    The value is cut at the first match, so the pattern keeps its own groups
+    and flags; the replacement is taken literally. A match of nothing at all
+    puts the replacement in front.
     """
-    rep = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(_c(col), F.lit(f"(?s)^(.*?)(?:{pattern})"), F.lit("$1" + rep))
+    c = _c(col)
+    parts = F.split(c, pattern, 2)
+    empty = c.rlike(pattern) & (F.regexp_extract(c, pattern, 0) == "")
+    return (F.when(empty, F.concat(F.lit(replacement), c))
+             .when(F.size(parts) == 2, F.concat(F.get(parts, F.lit(0)), F.lit(replacement), F.get(parts, F.lit(1)))).otherwise(c))
 
 
 def replace_all(col, pattern: str, replacement: str) -> Column:
@@ -77,8 +81,8 @@ def after_delim(col, delim: str) -> Column:
 
 
 def paste(*cols, sep: str = ".") -> Column:
-    """Join values with ``sep`` (``paste``/``interaction``)."""
-    return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
+    """Join values with ``sep`` (``paste``/``interaction``); NULL shows as ``NA``."""
+    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("NA")) for c in cols])
 
 
 def floor_div(col, width: int) -> Column:

@@ -29,7 +29,7 @@ def select_works(meta: DataFrame, subjects: DataFrame | None = None, *, id_col:
             s = s.where(str_detect(subject_col, subject_pattern))
         if subject_equals is not None:
             s = s.where(F.col(subject_col) == subject_equals)
-        base = s.join(meta, id_col)
+        base = join_on(s, meta, [id_col])
     else:
         base = meta
     for p in author_patterns:
@@ -62,7 +62,7 @@ def subject_counts(subjects: DataFrame, meta: DataFrame | None = None, *, id_col
     else:
         rows = subjects
         if meta is not None and has_text_col:
-            rows = rows.join(meta.where(F.col(has_text_col) == F.lit(True)).select(id_col), id_col)
+            rows = join_on(rows, meta.where(F.col(has_text_col) == F.lit(True)).select(id_col), [id_col])
     return count_by(rows, [subject_col], sort=True)
 
 

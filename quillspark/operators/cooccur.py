@@ -27,21 +27,37 @@ def cooccurrence(df: DataFrame, context: Sequence[str], member: str, *,
 
     Same as the self join of distinct (context, member) rows on the context,
     ``filter(a != b)`` and ``count(a, b)``: both directions are listed and
-    NULL members take no part. Each context is joined chunk by chunk
-    (``ceil(size / chunk)`` chunks per side), and pair counts are partially
-    aggregated right after the join, before any shuffle.
+    NULL members take no part. Pairs are made in one direction only (``a < b``)
+    and mirrored after counting. Each context's members are cut into chunks by
+    hash and squares of chunks are joined, so a context with very many members
+    is spread over many tasks; pair counts are partially aggregated right
+    after the join, before any shuffle.
     """
     context = list(context)
     m = members_of(df, context, member).where(F.col(member).isNotNull())
-    sizes = m.groupBy(*context).agg(F.count(F.lit(1)).alias("__size"))
+    sizes = m.groupBy(*context).agg(F.count(F.lit(1)).alias("__size")).where(F.col("__size") > 1)
     m = join_on(m, sizes, context)          # NULL context keys match (dplyr joins)
     m = m.withColumn("__s", F.ceil(F.col("__size") / F.lit(chunk)).cast("int"))
     m = m.withColumn("__c", F.pmod(F.xxhash64(member), F.col("__s")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("__s") - 1))
-    left = m.select(*context, F.col("__c").alias("__p"), every.alias("__q"), F.col(member).alias(a))
-    right = m.select(*context, every.alias("__p"), F.col("__c").alias("__q"), F.col(member).alias(b))
-    pairs = join_on(left, right, [*context, "__p", "__q"]).where(F.col(a) != F.col(b))
-    return pairs.groupBy(a, b).agg(F.count(F.lit(1)).alias(name))
+    m = m.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__s") - 1)))
+    square = [*context, F.least("__c", "__o").alias("__p"), F.greatest("__c", "__o").alias("__q")]
+    # the two sides are one table: the shuffle is made once
+    left = m.select(*square, F.col("__c").alias("__c"), F.col(member).alias(a))
+    right = left.select(*context, "__p", "__q", F.col("__c").alias("__d"), F.col(a).alias(b))
+    # in a square of two chunks only members of different chunks meet
+    pairs = join_on(left, right, [*context, "__p", "__q"]).where(
+        (F.col(a) < F.col(b)) & ((F.col("__p") == F.col("__q")) | (F.col("__c") != F.col("__d"))))
+    counted = pairs.groupBy(a, b).agg(F.count(F.lit(1)).alias(name))
+    both = F.explode(F.array(F.struct(F.col(a).alias("x"), F.col(b).alias("y")), F.struct(F.col(b).alias("x"), F.col(a).alias("y"))))
+    return counted.select(both.alias("__e"), name).select(F.col("__e.x").alias(a), F.col("__e.y").alias(b), name)
+
+
+def network_vertices(df: DataFrame, context: Sequence[str], member: str, name: str = "name") -> DataFrame:
+    """R3: members that share a context with another member, each once --
+    the vertices of the co-occurrence network, without making its edges."""
+    m = members_of(df, context, member).where(F.col(member).isNotNull())
+    shared = m.groupBy(*context).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    return join_on(m, shared, list(context), "left_semi").select(F.col(member).alias(name)).distinct()
 
 
 def context_counts(df: DataFrame, context: Sequence[str], member: str, name: str = "n", *,
@@ -75,4 +91,4 @@ def graph_vertices(edges: DataFrame, src: str, dst: str, name: str = "name") ->
 
 
 __all__ = ["members_of", "cooccurrence", "context_counts", "cooccurrence_share",
-           "graph_vertices", "DEFAULT_CHUNK"]
+           "graph_vertices", "network_vertices", "DEFAULT_CHUNK"]

@@ -8,11 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import paste
-from quillspark.operators.counts import count_by, distinct_and_rows, n_distinct
+from quillspark.functions.text import paste, tokens_of
+from quillspark.operators.counts import distinct_and_rows, n_distinct
 from quillspark.operators.ordered import first_seen_code
 from quillspark.operators.relational import arrange, join_on
-from quillspark.operators.tokens import unnest_tokens
+from quillspark.session import cut_lineage
 
 
 def turns_per(dialogues: DataFrame, keys: Sequence[str], turn: str = "dialrank",
@@ -34,31 +34,27 @@ def lines_per(dialogues: DataFrame, keys: Sequence[str], turn: str = "dialrank")
     return distinct_and_rows(dialogues, keys, turn, "n_turns", "n")
 
 
-def level_codes(df: DataFrame, levels: Mapping[str, str], order: Sequence[str],
-                part: Sequence[str] = ()) -> DataFrame:
-    """Join first-appearance codes for each ``{level_column: code_column}``."""
-    out = df
-    for level, code in levels.items():
-        codes = first_seen_code(df, part, order, level, code)
-        out = join_on(out, codes, [*part, level], "left")
-    return out
-
-
 def words_per(dialogues: DataFrame, keys: Sequence[str], *, line: str = "line",
               levels: Mapping[str, str] | None = None, order: Sequence[str] = (),
               label: str = "label") -> DataFrame:
     """Q19: word tokens per group; with ``levels`` each listed key also gets
     its code by first appearance in ``order`` and the codes are joined into a
-    dotted ``label``; rows sorted by the codes."""
-    tokens = unnest_tokens(dialogues.select(*keys, line), line, "word", position=None)
-    out = count_by(tokens, keys)
-    if levels:
-        for level, code in levels.items():
-            codes = first_seen_code(dialogues, [], order, level, code)
-            out = join_on(out, codes, [level], "left")
-        out = out.withColumn(label, paste(*levels.values(), sep="."))
-        out = arrange(out, *levels.values(), *keys)
-    return out
+    dotted ``label``; rows sorted by the codes.
+
+    One aggregation counts the words and finds where each group first
+    appears; the codes come from that small table.
+    """
+    first = [F.min(F.struct(*[F.col(c) for c in order])).alias("__at")] if levels else []
+    groups = dialogues.groupBy(*keys).agg(F.sum(F.size(tokens_of(line))).alias("n"), *first)
+    if not levels:
+        return groups.where(F.col("n") > 0)
+    groups = cut_lineage(groups)
+    at = groups.select(*keys, *[F.col("__at")[c].alias(f"__{c}") for c in order])
+    out = groups.where(F.col("n") > 0).drop("__at")
+    for level, code in levels.items():
+        out = join_on(out, first_seen_code(at, [], [f"__{c}" for c in order], level, code), [level], "left")
+    out = out.withColumn(label, paste(*levels.values(), sep="."))
+    return arrange(out, *levels.values(), *keys)
 
 
 def nth_level(df: DataFrame, level: str, k: int, order: Sequence[str], part: Sequence[str] = ()) -> DataFrame:
@@ -69,4 +65,16 @@ def nth_level(df: DataFrame, level: str, k: int, order: Sequence[str], part: Seq
     return join_on(df, codes, [*part, level], "left_semi")
 
 
-__all__ = ["turns_per", "participants_per", "lines_per", "level_codes", "words_per", "nth_level"]
+def scene_at(lines: DataFrame, act_no: int, scene_no: int, order: Sequence[str], *, act: str = "akt",
+             scene: str = "scene", part: Sequence[str] = ()) -> DataFrame:
+    """Q22: the rows of the ``act_no``-th act and the ``scene_no``-th scene
+    (``filter(act == unique(act)[i], scene == unique(scene)[j])``). Both count
+    by first appearance over the whole text, the scene not within its act."""
+    out = lines
+    for level, k in ((act, act_no), (scene, scene_no)):
+        codes = first_seen_code(lines, part, order, level, "__code")
+        out = join_on(out, codes.where(F.col("__code") == k).drop("__code"), [*part, level], "left_semi")
+    return out
+
+
+__all__ = ["turns_per", "participants_per", "lines_per", "words_per", "nth_level", "scene_at"]

@@ -6,21 +6,17 @@ so every function here takes explicit keys:
 
 * ``part``  -- columns naming one sequence (a work, a conversation); may be
   empty, then the whole table is one sequence;
-* ``order`` -- columns ordering rows inside a sequence, unique per sequence.
-  The first one must be integral and hold a bounded number of rows per value
-  (a line number, a turn number).
+* ``order`` -- integral columns ordering rows inside a sequence, unique per
+  sequence.
 
 A plain ``Window.partitionBy(part).orderBy(order)`` puts a whole sequence in
-one task. Here a sequence is cut into blocks of ``block_size`` consecutive
-values of ``order[0]``: the window runs per block, a small per-block summary
-(one row per block) is scanned per sequence, and the carry is joined back on
-the block key. A sequence holding a third of all rows is therefore spread
-over many tasks, while for ordinary sequences (one block) the plan is one
-shuffle plus a join with a tiny side.
-
-``shift`` (lag/lead) needs dense positions 1..n; it moves each row to its
-neighbours' keys and regroups on ``(part, pos)``, again one evenly spread
-shuffle.
+one task. Here the rows of a sequence are cut into blocks: a block holds
+``block_size`` consecutive values of the last order column under one value of
+the others, so never more than ``block_size`` rows. One window pass per block
+does the local work; one summary row per block is scanned in the same way, by
+blocks of the next order column, up to a scan over a sequence's coarsest
+blocks; what each block inherits is joined back. The summaries are taken from
+the shuffled rows, so the table is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -29,6 +25,10 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
+
+from quillspark.operators.relational import join_on
+from quillspark.session import cut_lineage
 
 DEFAULT_BLOCK = 1 << 16
 _P = "__qs_"
@@ -38,90 +38,198 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def _last(arr: Column, k: int) -> Column:
+    """The last ``k`` elements."""
+    return F.slice(arr, F.greatest(F.size(arr) - (k - 1), F.lit(1)), k)
+
+
+class _Scan:
+    """What is carried along a sequence, as columns of block summaries.
+
+    s_ sums, c_ counts of changes with f_/l_ first and last value, d_/u_ last
+    and first non-NULL value, t_/h_ last and first few values, n_ row counts.
+    """
+
+    def __init__(self, running, changes, down, up, lags, leads, total):
+        self.running, self.changes, self.down, self.up, self.lags, self.leads, self.total = running, changes, down, up, lags, leads, total
+
+    def fold(self, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+        """One row per ``key`` from summary rows with their local prefixes."""
+        at = F.struct(*[F.col(c) for c in order])
+        aggs = [F.sum(_P + "s_" + n).alias(_P + "s_" + n) for n in self.running]
+        for n in self.changes:
+            aggs += [F.sum(F.col(_P + "c_" + n) + F.col(_P + "e_" + n)).alias(_P + "c_" + n),
+                     F.min_by(_P + "f_" + n, at).alias(_P + "f_" + n), F.max_by(_P + "l_" + n, at).alias(_P + "l_" + n)]
+        aggs += [F.max_by(F.coalesce(_P + "d_" + c, _P + "pd_" + c), at).alias(_P + "d_" + c) for c in self.down]
+        aggs += [F.min_by(F.coalesce(_P + "u_" + c, _P + "pu_" + c), at).alias(_P + "u_" + c) for c in self.up]
+        aggs += [F.max_by(_last(F.concat(_P + "pt_" + c, _P + "t_" + c), k), at).alias(_P + "t_" + c) for c, k in self.lags.items()]
+        aggs += [F.min_by(F.slice(F.concat(_P + "h_" + c, _P + "ph_" + c), 1, k), at).alias(_P + "h_" + c) for c, k in self.leads.items()]
+        aggs.append(F.sum(_P + "n_").alias(_P + "n_"))
+        return rows.groupBy(key).agg(*aggs)
+
+    def prefixes(self, rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+        """Adds what stands before (p.. of s, c, d, t) and after (u, h) each summary row of a key."""
+        w = (Window.partitionBy(*key) if key else Window.partitionBy()).orderBy(*order)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        after = w.rowsBetween(1, Window.unboundedFollowing)
+        for n in self.changes:
+            edge = F.lag(_P + "l_" + n, 1).over(w)["v"] != F.col(_P + "f_" + n)["v"]
+            rows = rows.withColumn(_P + "e_" + n, F.coalesce(edge.cast("long"), F.lit(0)))
+        cols = [F.coalesce(F.sum(_P + "s_" + n).over(before), F.lit(0)).alias(_P + "ps_" + n) for n in self.running]
+        cols += [(F.coalesce(F.sum(F.col(_P + "c_" + n) + F.col(_P + "e_" + n)).over(before), F.lit(0)) + F.col(_P + "e_" + n)).alias(_P + "pc_" + n)
+                 for n in self.changes]
+        cols += [F.last(_P + "d_" + c, ignorenulls=True).over(before).alias(_P + "pd_" + c) for c in self.down]
+        cols += [F.first(_P + "u_" + c, ignorenulls=True).over(after).alias(_P + "pu_" + c) for c in self.up]
+        cols += [_last(F.flatten(F.collect_list(_P + "t_" + c).over(w.rowsBetween(-k, -1))), k).alias(_P + "pt_" + c) for c, k in self.lags.items()]
+        cols += [F.slice(F.flatten(F.collect_list(_P + "h_" + c).over(w.rowsBetween(1, k))), 1, k).alias(_P + "ph_" + c) for c, k in self.leads.items()]
+        return rows.select("*", *cols)
+
+    def carried(self) -> list[str]:
+        return ([_P + "ps_" + n for n in self.running] + [_P + "pc_" + n for n in self.changes] + [_P + "pd_" + c for c in self.down]
+                + [_P + "pu_" + c for c in self.up] + [_P + "pt_" + c for c in self.lags] + [_P + "ph_" + c for c in self.leads]
+                + ([_P + "total"] if self.total else []))
+
+    def inherit(self, rows: DataFrame, key: str, carry: DataFrame) -> DataFrame:
+        """Joins a coarser level's carry to the prefixes of its members."""
+        up = {c: _P + "o" + c for c in self.carried()}
+        j = rows.join(carry.select(key, *[F.col(c).alias(a) for c, a in up.items()]), key)
+        mine = lambda kind, n: (F.col(_P + kind + n), F.col(up[_P + kind + n]))
+        new = {}
+        for n in self.running:
+            new[_P + "ps_" + n] = sum(mine("ps_", n))
+        for n in self.changes:
+            new[_P + "pc_" + n] = sum(mine("pc_", n))
+        for c in self.down:
+            new[_P + "pd_" + c] = F.coalesce(*mine("pd_", c))
+        for c in self.up:
+            new[_P + "pu_" + c] = F.coalesce(*mine("pu_", c))
+        for c, k in self.lags.items():
+            a, b = mine("pt_", c)
+            new[_P + "pt_" + c] = _last(F.concat(b, a), k)
+        for c, k in self.leads.items():
+            new[_P + "ph_" + c] = F.slice(F.concat(*mine("ph_", c)), 1, k)
+        if self.total:
+            new[_P + "total"] = F.col(up[_P + "total"])
+        return j.withColumns(new).drop(*up.values())
+
+
 def ordered_scan(df: DataFrame, part: Iterable[str], order: Iterable[str], *,
                  running: Mapping[str, tuple] | None = None,
-                 fill_down: Iterable[str] = (),
-                 fill_up: Iterable[str] = (),
-                 group_total: str | None = None,
-                 block_size: int = DEFAULT_BLOCK, bounded_order: bool = True) -> DataFrame:
-    """Running sums and fills along an ordered sequence, block-parallel.
-
-    With ``bounded_order=False`` the order may be any sortable columns with
-    any spread of values: rows are first numbered by ``sorted_row_number``.
+                 changes: Mapping[str, str] | None = None,
+                 fill_down: Iterable[str] = (), fill_up: Iterable[str] = (),
+                 shifts: Mapping[str, tuple] | None = None,
+                 group_total: str | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Running sums, fills and neighbours along an ordered sequence, block-parallel.
 
     running     -- ``{name: (value_column, inclusive)}``: cumulative sum of the
                    value over rows before (and, if inclusive, at) each row;
                    0 for an empty prefix.
+    changes     -- ``{name: column}``: how often the column's value has differed
+                   from the row before, up to the row (a NULL differs from none).
     fill_down   -- columns replaced by the last non-NULL value at or before
                    the row (``na.locf``); leading NULLs stay NULL.
     fill_up     -- columns replaced by the first non-NULL value at or after
                    the row (``na.locf(fromLast=TRUE)``).
+    shifts      -- ``{name: (column, k)}``: the column's value ``k`` rows before
+                   (k > 0) or after (k < 0), NULL beyond the ends.
     group_total -- name of a column holding the row count of the sequence.
     """
     part, order = list(part), list(order)
-    if not bounded_order:
-        # number the rows first (any sort key), then scan on the number
-        numbered = sorted_row_number(df, part, order, _P + "pos")
-        out = ordered_scan(numbered, part, [_P + "pos"], running=running, fill_down=fill_down,
-                           fill_up=fill_up, group_total=group_total, block_size=block_size)
-        return out.drop(_P + "pos")
-    running = dict(running or {})
+    running, changes, shifts = dict(running or {}), dict(changes or {}), dict(shifts or {})
     fill_down, fill_up = list(fill_down), list(fill_up)
-    blk, key = _P + "blk", _P + "key"
+    far = lambda sign: {c: max(sign * k for s, k in shifts.values() if s == c and sign * k > 0)
+                        for c in {s for s, k in shifts.values() if sign * k > 0}}
+    scan = _Scan(list(running), list(changes), fill_down, fill_up, far(1), far(-1), group_total is not None)
 
-    blk_expr = F.floor(F.col(order[0]) / F.lit(block_size))
-    d = df.select("*", blk_expr.alias(blk),
-                  F.struct(*[F.col(c) for c in part], blk_expr.alias(blk)).alias(key),
-                  *[_lit(val).alias(_P + "v_" + name) for name, (val, _) in running.items()])
+    # keys from fine to coarse; level 0 holds rows, the others block summaries
+    block = [F.floor(F.col(c) / F.lit(block_size)) for c in order]
+    fields = [F.col(c).alias(f"p{k}") for k, c in enumerate(part)]
+    keys = [F.struct(*fields, *[F.col(c).alias(f"o{k}") for k, c in enumerate(order[:j])], block[j].alias("b")) for j in reversed(range(len(order)))]
 
-    w = Window.partitionBy(key).orderBy(*order)
+    d = df.select("*", keys[0].alias(_P + "k0"), *[_lit(v).alias(_P + "v_" + n) for n, (v, _) in running.items()])
+    w = Window.partitionBy(_P + "k0").orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-
-    # window pass inside each block; running sums are inclusive here
+    onwards = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     local = [F.coalesce(F.sum(_P + "v_" + n).over(upto), F.lit(0)).alias(_P + "r_" + n) for n in running]
-    local += [F.last(c, ignorenulls=True).over(upto).alias(_P + "d_" + c) for c in fill_down]
-    local += [F.first(c, ignorenulls=True).over(after).alias(_P + "u_" + c) for c in fill_up]
+    local += [F.coalesce((F.lag(c, 1).over(w) != F.col(c)).cast("long"), F.lit(0)).alias(_P + "x_" + n) for n, c in changes.items()]
+    local += [F.last(c, ignorenulls=True).over(upto).alias(_P + "ld_" + c) for c in fill_down]
+    local += [F.first(c, ignorenulls=True).over(onwards).alias(_P + "lu_" + c) for c in fill_up]
+    local += [(F.lag(c, k) if k > 0 else F.lead(c, -k)).over(w).alias(_P + "z_" + n) for n, (c, k) in shifts.items()]
+    local.append(F.row_number().over(w).alias(_P + "i"))
+    local.append(F.count(F.lit(1)).over(Window.partitionBy(_P + "k0")).alias(_P + "m"))
     d = d.select("*", *local)
-
-    # One row per block, aggregated from the window's input columns so the
-    # partial aggregation runs before the shuffle. Ordering by a single
-    # column keeps the aggregation buffers primitive (hash aggregation).
-    at = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    aggs = [F.sum(_P + "v_" + n).alias(_P + "bs_" + n) for n in running]
-    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(_P + "bd_" + c) for c in fill_down]
-    aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(_P + "bu_" + c) for c in fill_up]
-    aggs.append(F.count(F.lit(1)).alias(_P + "bn"))
-    blocks = d.groupBy(key, *part, blk).agg(*aggs)
-
-    wb = (Window.partitionBy(*part) if part else Window).orderBy(blk)
-    carry = [F.col(key)]
-    carry += [F.coalesce(F.sum(_P + "bs_" + n).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0)).alias(_P + "o_" + n) for n in running]
-    carry += [F.last(_P + "bd_" + c, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
-              .alias(_P + "cd_" + c) for c in fill_down]
-    carry += [F.first(_P + "bu_" + c, ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing))
-              .alias(_P + "cu_" + c) for c in fill_up]
-    if group_total:
-        wt = Window.partitionBy(*part) if part else Window.partitionBy()
-        carry.append(F.sum(_P + "bn").over(wt).alias(_P + "tot"))
-    carry_df = blocks.select(*carry)
-
-    out = d.join(carry_df, key, "inner")
-    new_cols = {}
+    if changes:
+        d = d.select("*", *[F.sum(_P + "x_" + n).over(upto).alias(_P + "y_" + n) for n in changes])
+
+    # block summaries, from the same shuffled rows: the last aggregate names
+    # every column, so both branches ask for one and the same shuffle
+    i, m = F.col(_P + "i"), F.col(_P + "m")
+    few = lambda c, cond: F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct(i.alias("i"), F.col(c).alias("v"))))),
+                                      lambda x: F.struct(x["v"].alias("v")))
+    aggs = [F.coalesce(F.sum(_P + "v_" + n), F.lit(0)).alias(_P + "s_" + n) for n in running]
+    for n, c in changes.items():
+        aggs += [F.max(_P + "y_" + n).alias(_P + "c_" + n), F.min_by(F.struct(F.col(c).alias("v")), i).alias(_P + "f_" + n),
+                 F.max_by(F.struct(F.col(c).alias("v")), i).alias(_P + "l_" + n)]
+    aggs += [F.max_by(_P + "ld_" + c, i).alias(_P + "d_" + c) for c in fill_down]
+    aggs += [F.min_by(_P + "lu_" + c, i).alias(_P + "u_" + c) for c in fill_up]
+    aggs += [few(c, i > m - k).alias(_P + "t_" + c) for c, k in scan.lags.items()]
+    aggs += [few(c, i <= k).alias(_P + "h_" + c) for c, k in scan.leads.items()]
+    every = [F.col(f.name) for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    aggs += [F.count(F.lit(1)).alias(_P + "n_"), F.max(F.xxhash64(*every)).alias(_P + "all")]
+    level = d.groupBy(_P + "k0").agg(*aggs).where(F.col(_P + "all").isNotNull()).drop(_P + "all")  # never null: keeps the aggregate
+
+    # up: prefixes of summaries within ever coarser keys
+    levels = []
+    for j in range(1, len(order) + 1):
+        k, below = f"{_P}k{j}", f"{_P}k{j - 1}"
+        at = len(order) - j  # the order column whose blocks make this level's rows
+        level = level.select("*", F.col(below)["b"].alias(_P + "b"))
+        if j < len(order):
+            prior = F.col(below)[f"o{at - 1}"]
+            key = F.struct(*[F.col(below)[f"p{q}"].alias(f"p{q}") for q in range(len(part))],
+                           *[F.col(below)[f"o{q}"].alias(f"o{q}") for q in range(at - 1)], F.floor(prior / F.lit(block_size)).alias("b"))
+            level = level.select("*", key.alias(k), prior.alias(_P + "a"))
+            by, within = [k], [_P + "a", _P + "b"]
+        else:
+            level = level.select("*", *[F.col(below)[f"p{q}"].alias(f"{_P}p{q}") for q in range(len(part))])
+            by, within = [f"{_P}p{q}" for q in range(len(part))], [_P + "b"]
+        level = scan.prefixes(level, by, within)
+        if j == len(order):
+            if group_total:
+                level = level.withColumn(_P + "total", F.sum(_P + "n_").over(Window.partitionBy(*by)))
+        levels.append((below, level))
+        if j < len(order):
+            level = scan.fold(level, k, within)
+    # down: each level inherits from the coarser one
+    below, carry = levels.pop()
+    while levels:
+        finer, rows = levels.pop()
+        carry, below = scan.inherit(rows, below, carry), finer
+    out = d.join(carry.select(_P + "k0", *scan.carried()), _P + "k0")
+
+    new = {}
     for n, (_, inclusive) in running.items():
-        local_sum = F.col(_P + "r_" + n) if inclusive else F.col(_P + "r_" + n) - F.coalesce(
-            F.col(_P + "v_" + n), F.lit(0))
-        new_cols[n] = local_sum + F.col(_P + "o_" + n)
+        own = F.col(_P + "r_" + n) if inclusive else F.col(_P + "r_" + n) - F.coalesce(F.col(_P + "v_" + n), F.lit(0))
+        new[n] = own + F.col(_P + "ps_" + n)
+    for n in changes:
+        new[n] = F.col(_P + "y_" + n) + F.col(_P + "pc_" + n)
     for c in fill_down:
-        new_cols[c] = F.coalesce(F.col(_P + "d_" + c), F.col(_P + "cd_" + c))
+        new[c] = F.coalesce(_P + "ld_" + c, _P + "pd_" + c)
     for c in fill_up:
-        new_cols[c] = F.coalesce(F.col(_P + "u_" + c), F.col(_P + "cu_" + c))
+        new[c] = F.coalesce(_P + "lu_" + c, _P + "pu_" + c)
+    for n, (c, k) in shifts.items():
+        if k > 0:
+            over = F.get(_P + "pt_" + c, F.size(_P + "pt_" + c) - (F.lit(k + 1) - i))["v"]
+            new[n] = F.when(i > k, F.col(_P + "z_" + n)).otherwise(over)
+        elif k < 0:
+            over = F.get(_P + "ph_" + c, F.lit(-k - 1) - (m - i))["v"]
+            new[n] = F.when(m - i >= -k, F.col(_P + "z_" + n)).otherwise(over)
+        else:
+            new[n] = F.col(c)
     if group_total:
-        new_cols[group_total] = F.col(_P + "tot")
-    out = out.withColumns(new_cols)
-    keep = [c for c in df.columns] + [c for c in new_cols if c not in df.columns]
-    return out.select(*keep)
+        new[group_total] = F.col(_P + "total")
+    keep = [c for c in df.columns] + [c for c in new if c not in df.columns]
+    return out.withColumns(new).select(*keep)
 
 
 def number_rows(df: DataFrame, part, order, name: str = "row_no", *,
@@ -131,130 +239,70 @@ def number_rows(df: DataFrame, part, order, name: str = "row_no", *,
                         group_total=group_total, block_size=block_size)
 
 
-def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_no", *,
-                      block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """``row_number()`` over the whole table ordered by ``(outer, inner_order...)``
-    (``mutate(rownumber = 1:nrow(x))`` on a table of many sequences).
-
-    Rows are numbered inside each ``outer`` sequence, the sequences' sizes
-    (one row each) are turned into offsets by a scan ordered by ``outer``,
-    and the offsets are joined back. No step sees the whole table in one
-    task, even when one sequence is most of it. ``outer`` must be integral.
-    """
-    inner = number_rows(df, [outer], inner_order, _P + "rin", group_total=_P + "nin", block_size=block_size)
-    sizes = inner.groupBy(outer).agg(F.max(_P + "nin").alias(_P + "nin"))
-    offsets = ordered_scan(sizes, [], [outer], running={_P + "off": (F.col(_P + "nin"), False)},
-                           block_size=block_size).select(outer, _P + "off")
-    out = inner.join(offsets, outer)
-    return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
+def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple], *,
+          block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Lag/lead columns by the order column ``pos``: ``{new_name:
+    (source_column, k)}``; ``k > 0`` is ``lag(col, k)``, ``k < 0`` is
+    ``lead(col, -k)``, NULL beyond the ends; any distance."""
+    return ordered_scan(df, part, [pos], shifts=shifts, block_size=block_size)
 
 
-# Sample rows per bucket used to place the bucket bounds, and the most
-# buckets one numbering uses.
-SAMPLE_PER_BUCKET = 32
-MAX_BUCKETS = 512
+def _ranged(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` sorted over all partitions by Spark's range partitioning, with
+    the partition (``__qs_pid``) and the place in it (``__qs_idx``). The
+    result is written to the shared folder, so every use of it sees the same
+    partitions."""
+    d = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_P + "seq", F.monotonically_increasing_id())
+    d = cut_lineage(d)
+    return d.select(*df.columns, F.shiftright(_P + "seq", 33).alias(_P + "pid"), F.col(_P + "seq").bitwiseAND((1 << 33) - 1).alias(_P + "idx"))
 
 
-def sorted_row_number(df: DataFrame, part, order, name: str = "row_no", *,
-                      buckets: int | None = None) -> DataFrame:
+def sorted_row_number(df: DataFrame, part, order, name: str = "row_no") -> DataFrame:
     """``row_number()`` per ``part`` by any sortable ``order`` (rows unique
     on part + order), with no assumption on how the order values are spread.
 
-    Rows are cut into sorted buckets by bounds taken from a sample that
-    depends only on the data (rows whose key hash falls in one residue
-    class, about ``SAMPLE_PER_BUCKET`` per bucket), sorted once in a scalar
-    subquery. The bucket of a row is then a pure function of its key, so
-    every branch and every recomputation agrees on it. Each bucket numbers
-    its rows per sequence in a window, the (sequence, bucket) sizes -- one
-    row each -- become offsets through a block scan over the bucket index,
-    and local number + offset is the row number. A sequence with a third
-    of the rows is spread over many buckets.
+    Meant for small distinct tables (levels, first appearances): the rows are
+    range-partitioned on part + order, and a row's number is its place in the
+    partition plus the sizes of the sequence's earlier partitions.
     """
     part, order = list(part), list(order)
-    # each row compares its key with every bound, so the bucket count is capped
-    n = buckets or min(df.sparkSession.sparkContext.defaultParallelism, MAX_BUCKETS)
-    bucket, local = _P + "bucket", _P + "local"
-    key = F.struct(*[F.col(c) for c in part + order])
-    total = df.agg(F.count(F.lit(1))).scalar()
-    every = F.greatest(F.lit(1), F.floor(total / F.lit(n * SAMPLE_PER_BUCKET)))
-    sample = df.where(F.pmod(F.xxhash64(*[F.col(c) for c in part + order]), every) == 0)
-    step = F.greatest(F.lit(1), F.floor(F.size("__s") / F.lit(n)))
-    bounds = (sample.agg(F.sort_array(F.collect_list(key)).alias("__s"))
-                    .select(F.filter("__s", lambda x, i: ((i + 1) % step == 0) & (i > 0)).alias("__b"))
-                    .scalar())
-    # the bounds become a column first (a subquery may not sit inside a
-    # higher-order function), then each row counts the bounds below its key
-    with_bucket = (df.withColumn(_P + "bounds", bounds)
-                     .withColumn(bucket, F.size(F.filter(_P + "bounds", lambda b: b <= key)))
-                     .drop(_P + "bounds"))
-    w = Window.partitionBy(bucket, *part).orderBy(*[F.col(c).asc() for c in order])
-    numbered = with_bucket.withColumn(local, F.row_number().over(w))
-    sizes = with_bucket.groupBy(*part, bucket).agg(F.count(F.lit(1)).alias(_P + "size"))
-    offsets = ordered_scan(sizes, part, [bucket], running={_P + "off": (F.col(_P + "size"), False)})
-    out = join_keys(numbered, offsets.select(*part, bucket, _P + "off"), [*part, bucket])
-    return out.select(*df.columns, (F.col(_P + "off") + F.col(local)).alias(name))
-
-
-def join_keys(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner equi-join on shared key names, NULL matching NULL."""
-    r = right.select(*[F.col(k).alias(_P + "r_" + k) for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[_P + "r_" + k])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond).drop(*[_P + "r_" + k for k in keys])
-
-
-def alphabetical_code(df: DataFrame, level: str, name: str = "code", *, buckets: int | None = None) -> DataFrame:
-    """Codes of the distinct values of ``level`` in sorted order (1, 2, ...),
-    ``as.numeric(factor(x))`` with R's default (sorted) levels; NULL is no
-    level. Distinct values are numbered by ``sorted_row_number``: no step
-    holds all values in one task.
-    """
-    values = df.select(level).where(F.col(level).isNotNull()).distinct()
-    return sorted_row_number(values, [], [level], name, buckets=buckets)
+    pid, idx, start, off = _P + "pid", _P + "idx", _P + "start", _P + "off"
+    d = _ranged(df, part + order)
+    sizes = d.groupBy(*part, pid).agg(F.count(F.lit(1)).alias(_P + "size"), F.min(idx).alias(start))
+    earlier = Window.partitionBy(*part).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = sizes.select(*part, pid, start, F.coalesce(F.sum(_P + "size").over(earlier), F.lit(0)).alias(off))
+    out = join_on(d, sizes, [*part, pid])
+    return out.select(*df.columns, (F.col(off) + F.col(idx) - F.col(start) + 1).alias(name))
 
 
-def shift(df: DataFrame, part, pos: str, shifts: Mapping[str, tuple], *,
-          block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Add lag/lead columns on dense positions (1..n per sequence).
+def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_no", *,
+                      block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """``row_number()`` over the whole table ordered by ``(outer, inner_order...)``
+    (``mutate(rownumber = 1:nrow(x))`` on a table of many sequences).
+
+    Rows are numbered inside each ``outer`` sequence. The sequences' sizes
+    (one row each) are range-partitioned on ``outer`` and summed up within the
+    partitions; one row per partition is summed up over them. A NULL ``outer``
+    is a sequence of its own, the first.
+    """
+    inner = number_rows(df, [outer], inner_order, _P + "rin", block_size=block_size)
+    sizes = _ranged(df.groupBy(outer).agg(F.count(F.lit(1)).alias(_P + "nin")), [outer])
+    pid = _P + "pid"
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = sizes.groupBy(pid).agg(F.sum(_P + "nin").alias(_P + "sum"))
+    whole = whole.select(pid, F.coalesce(F.sum(_P + "sum").over(earlier(Window.orderBy(pid))), F.lit(0)).alias(_P + "base"))  # one row per partition
+    within = F.coalesce(F.sum(_P + "nin").over(earlier(Window.partitionBy(pid).orderBy(_P + "idx"))), F.lit(0))
+    offsets = sizes.withColumn(_P + "off", within).join(whole, pid).select(outer, (F.col(_P + "off") + F.col(_P + "base")).alias(_P + "off"))
+    out = join_on(inner, offsets, [outer])
+    return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
 
-    shifts -- ``{new_name: (source_column, k)}``; ``k > 0`` is ``lag(col, k)``
-    (value from ``pos - k``), ``k < 0`` is ``lead(col, -k)``. Missing
-    neighbours give NULL.
 
-    Rows are cut into blocks of ``block_size`` positions; the few rows next
-    to a block edge are copied into the neighbouring block as a halo, so one
-    window per block sees every neighbour it needs. One shuffle of the table
-    (plus the halo), and a long sequence is spread over its blocks.
+def alphabetical_code(df: DataFrame, level: str, name: str = "code") -> DataFrame:
+    """Codes of the distinct values of ``level`` in sorted order (1, 2, ...),
+    ``as.numeric(factor(x))`` with R's default (sorted) levels; NULL is no
+    level. No step holds all values in one task.
     """
-    part = list(part)
-    back = max([k for _, k in shifts.values() if k > 0], default=0)
-    ahead = max([-k for _, k in shifts.values() if k < 0], default=0)
-    if max(back, ahead) >= block_size:
-        raise ValueError("shift distance must be smaller than the block size")
-    blk, halo = _P + "blk", _P + "halo"
-    b = F.floor(F.col(pos) / F.lit(block_size))
-    off = F.col(pos) - b * F.lit(block_size)
-    sources = sorted({src for src, _ in shifts.values()})
-    base = df.withColumns({blk: b, halo: F.lit(False)})
-    parts = [base]
-    edge_cols = [*part, pos, *[c for c in sources if c not in part and c != pos]]
-    if back:
-        parts.append(df.where(off >= block_size - back)
-                       .select(*edge_cols, (b + 1).alias(blk), F.lit(True).alias(halo)))
-    if ahead:
-        parts.append(df.where(off < ahead)
-                       .select(*edge_cols, (b - 1).alias(blk), F.lit(True).alias(halo)))
-    u = parts[0]
-    for extra in parts[1:]:
-        u = u.unionByName(extra, allowMissingColumns=True)
-    w = Window.partitionBy(F.struct(*[F.col(c) for c in part], F.col(blk))).orderBy(pos)
-    cols = [F.lag(src, k).over(w).alias(name) if k > 0 else F.lead(src, -k).over(w).alias(name)
-            for name, (src, k) in shifts.items()]
-    out = u.select("*", *cols).where(~F.col(halo))
-    return out.select(*df.columns, *shifts.keys())
+    return sorted_row_number(df.select(level).where(F.col(level).isNotNull()).distinct(), [], [level], name)
 
 
 def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import decile_of, tokens_of
 from quillspark.operators.counts import count_by
 from quillspark.operators.ordered import DEFAULT_BLOCK, number_rows
-from quillspark.operators.relational import broadcast_small
+from quillspark.operators.relational import lookup
 from quillspark.operators.tokens import remove_stopwords
 from quillspark.operators.weights import tf_idf, top_k_ties
 
@@ -22,10 +22,6 @@ def relative_position(df: DataFrame, part: Sequence[str], order: Sequence[str],
     return d.withColumn(name, F.col("__rn") / F.col("__n")).drop("__rn", "__n")
 
 
-# Largest stop list handled inside the row (it becomes a literal array).
-MAX_INLINE_STOP = 2000
-
-
 def text_positions(df: DataFrame, text_col: str = "text", *, stop_words=None, keep=None,
                    word: str = "word", position: str = "tpos",
                    name: str = "word_position") -> DataFrame:
@@ -37,16 +33,16 @@ def text_positions(df: DataFrame, text_col: str = "text", *, stop_words=None, ke
     whole), its tokens never need to meet again: the stop words are dropped
     from the token array, ranks are array indexes and ``n()`` the array size.
     No shuffle, no window. ``position`` keeps the token's index in the full
-    text. ``stop_words`` is a small word list (at most ``MAX_INLINE_STOP``).
+    text. ``stop_words`` is a word list of any length, held as a set in the
+    plan; a stop *table* goes through ``relative_position`` on a token table.
     """
     keep = [c for c in df.columns if c != text_col] if keep is None else list(keep)
     toks = F.transform(tokens_of(text_col), lambda w, i: F.struct((i + 1).alias("p"), w.alias("w")))
     if stop_words:
-        stop_words = list(stop_words)
-        if len(stop_words) > MAX_INLINE_STOP:
-            raise ValueError("stop list too long to inline; use relative_position on a token table")
-        # ``isin`` over many literals becomes a hash-set lookup (InSet)
-        toks = F.filter(toks, lambda t: ~t["w"].isin(*stop_words))
+        # ``isin`` over many literals becomes a hash-set lookup (InSet); a
+        # token is never NULL, so NULL in the list matches none
+        words = [w for w in stop_words if w is not None]
+        toks = F.filter(toks, lambda t: ~t["w"].isin(*words))
     d = df.select(*keep, toks.alias("__toks"))
     d = d.select(*keep, F.size("__toks").alias("__n"), F.posexplode("__toks").alias("__r", "__t"))
     return d.select(*keep, F.col("__t")["p"].alias(position), F.col("__t")["w"].alias(word),
@@ -87,7 +83,7 @@ def sentiment_by_decile(tokens: DataFrame, scores: DataFrame, part, order,
 def decile_scores(c: DataFrame, scores: DataFrame, word: str = "word", score: str = "score") -> DataFrame:
     """``inner_join(scores) %>% group_by(decile) %>% summarize(sum(score*n)/sum(n))``."""
     lex = scores.select(word, score) if isinstance(scores, DataFrame) else scores
-    j = c.join(broadcast_small(c.sparkSession, lex, f"`{word}` string, `{score}` double"), word)
+    j = c.join(lookup(c.sparkSession, lex, f"`{word}` string, `{score}` double"), word)
     return (j.groupBy("decile")
              .agg((F.sum(F.col(score) * F.col("n")) / F.sum("n")).alias(score)))
 
@@ -107,5 +103,5 @@ def decile_top_terms(c: DataFrame, word: str = "word", *, min_n: int = 30, k: in
 
 
 __all__ = ["text_positions", "text_decile_counts", "decile_scores", "decile_top_terms",
-           "MAX_INLINE_STOP", "relative_position", "with_decile", "decile_counts", "sentiment_by_decile",
+           "relative_position", "with_decile", "decile_counts", "sentiment_by_decile",
            "top_terms_by_decile"]

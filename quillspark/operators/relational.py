@@ -7,34 +7,15 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a data-derived side may be broadcast. The count is
-# checked before hinting; above it the join stays a shuffle join (and AQE may
-# still broadcast it from runtime sizes).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count is checked to be small.
-
-    The check reads at most ``max_rows + 1`` rows of the small side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_small(spark, data, schema, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A lookup table (stop list, lexicon) ready to join.
-
-    ``data`` is a DataFrame (broadcast after ``bounded_broadcast``'s check) or
-    local rows -- a list of words or of tuples -- whose size is known in the
-    driver, so no check job runs.
+def lookup(spark, data, schema) -> DataFrame:
+    """A lookup table (stop list, lexicon) ready to join: a DataFrame as it
+    is, or local rows -- a list of words or of tuples. No hint is given: a
+    side that is small by its statistics is broadcast, any other is shuffled.
     """
     if isinstance(data, DataFrame):
-        return bounded_broadcast(data, max_rows)
+        return data
     from quillspark.sources.tables import make_table
-    rows = [r if isinstance(r, tuple) else (r,) for r in data]
-    t = make_table(spark, rows, schema)
-    return F.broadcast(t) if len(rows) <= max_rows else t
+    return make_table(spark, [r if isinstance(r, tuple) else (r,) for r in data], schema)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mapping[str, str],
@@ -129,5 +110,5 @@ def first_n(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(col).asc_nulls_last()).limit(n)
 
 
-__all__ = ["bounded_broadcast", "broadcast_small", "join_on", "natural_join", "semi_in", "anti", "arrange",
-           "union_labelled", "union_by_name", "pivot_fill", "first_n", "MAX_BROADCAST_ROWS"]
+__all__ = ["lookup", "join_on", "natural_join", "semi_in", "anti", "arrange",
+           "union_labelled", "union_by_name", "pivot_fill", "first_n"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import after_delim, before_delim, floor_div
-from quillspark.operators.relational import arrange, broadcast_small, union_by_name, union_labelled
+from quillspark.operators.relational import arrange, lookup, union_by_name, union_labelled
 from quillspark.operators.tokens import remove_stopwords, unnest_tokens
 
 
@@ -16,7 +16,7 @@ def _lexicon_hits(tokens: DataFrame, lexicon, stop, word: str, category: str) ->
     """Tokens (stop words out) joined to a lexicon given as a DataFrame or as
     ``(word, category)`` rows."""
     t = remove_stopwords(tokens, stop, word)
-    lex = broadcast_small(tokens.sparkSession, lexicon, f"`{word}` string, `{category}` string")
+    lex = lookup(tokens.sparkSession, lexicon, f"`{word}` string, `{category}` string")
     return t.join(lex, word)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import (
     contains_fixed, grepl, if_else, if_else_na, replace_first, str_detect, str_extract, trim_ws,
 )
-from quillspark.operators.ordered import DEFAULT_BLOCK, number_rows, ordered_scan, shift
+from quillspark.operators.ordered import DEFAULT_BLOCK, ordered_scan
 from quillspark.operators.relational import join_on
 
 NEIGHBOURS = {"prev1": 1, "prev2": 2, "next1": -1}
@@ -29,8 +29,8 @@ def add_neighbours(lines: DataFrame, part: Sequence[str], order: Sequence[str],
                    pos: str = "rownumber", shifts: Mapping[str, int] = NEIGHBOURS,
                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """Number rows densely per sequence (``pos``) and add lag/lead columns."""
-    d = number_rows(lines, part, order, pos, block_size=block_size)
-    return shift(d, part, pos, {name: (line, k) for name, k in shifts.items()}, block_size=block_size)
+    return ordered_scan(lines, part, order, running={pos: (F.lit(1), True)},
+                        shifts={name: (line, k) for name, k in shifts.items()}, block_size=block_size)
 
 
 def mark_segments(lines: DataFrame, part, order, *, start: Column, end: Column,
@@ -61,7 +61,7 @@ def _blank(col: Column) -> Column:
 
 
 def annotate_structure(lines: DataFrame, part, order, *, line: str = "line",
-                       act_pattern: str = "Akt", scene_literal: str = "Scene.",
+                       act_pattern: str, scene_literal: str,
                        scene_fixes: Mapping[str, str] | None = None,
                        is_blank: Callable[[Column], Column] = _blank,
                        prev1: str = "prev1", prev2: str = "prev2", next1: str = "next1",
@@ -100,7 +100,7 @@ def annotate_structure(lines: DataFrame, part, order, *, line: str = "line",
 
 def clean_speakers(dialogues: DataFrame, cast: DataFrame | None = None, *, speaker: str = "speaker",
                    line: str = "line", aliases: Mapping[str, str] | None = None,
-                   anchored: bool = True, drop_patterns: Sequence[str] = ("Akt", "Scene"),
+                   anchored: bool = True, drop_patterns: Sequence[str],
                    cast_key: str = "speaker_clean") -> DataFrame:
     """Q15: split a stage direction off the speaker, trim, map aliases, join
     the cast table, blank speaker lines and drop heading and empty lines.
@@ -136,16 +136,15 @@ def number_turns(dialogues: DataFrame, part, order, *, speaker: str = "speaker_c
     the last row of the sequence; every row gets the number of the turn end
     at or after it (1, 2, ...). NULL speakers never end a turn themselves
     (the comparison is NULL), as in R. Adds ``rownumber`` (dense 1..n) and
-    ``turnswitch``.
+    ``turnswitch``. One scan finds the row numbers, the next speakers and how
+    often the speaker has changed so far, which is the turn id less one.
     """
-    d = number_rows(dialogues, part, order, "rownumber", group_total="__n", block_size=block_size)
-    d = shift(d, part, "rownumber", {"__next": (speaker, -1)}, block_size=block_size)
+    d = ordered_scan(dialogues, part, order, running={"rownumber": (F.lit(1), True)}, changes={"__before": speaker},
+                     shifts={"__next": (speaker, -1)}, group_total="__n", block_size=block_size)
     sw = F.col(speaker) != F.col("__next")
     d = d.withColumn("turnswitch", if_else_na(sw, "turnswitch"))
     d = d.withColumn("turnswitch", if_else(F.col("rownumber") == F.col("__n"), "turnswitch",
                                            F.col("turnswitch")))
-    ends = F.coalesce((F.col("turnswitch") == "turnswitch").cast("int"), F.lit(0))
-    d = ordered_scan(d, part, ["rownumber"], running={"__before": (ends, False)}, block_size=block_size)
     return d.withColumn(name, F.col("__before") + 1).drop("__before", "__next", "__n")
 
 

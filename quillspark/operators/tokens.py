@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import tokens_of
-from quillspark.operators.relational import broadcast_small
+from quillspark.operators.relational import lookup
 
 
 def unnest_tokens(df: DataFrame, text_col: str, out: str = "word", *,
@@ -26,32 +26,19 @@ def unnest_tokens(df: DataFrame, text_col: str, out: str = "word", *,
     return d.select(*cols)
 
 
-# Longest word list removed by an inline set lookup instead of a join.
-INLINE_STOP_MAX = 10_000
-
-
 def remove_stopwords(tokens: DataFrame, stop, word: str = "word",
                      stop_word: str = "word") -> DataFrame:
     """``anti_join(stop_words, by = "word")``; ``stop=None`` keeps all tokens.
 
-    ``stop`` is a DataFrame with a ``stop_word`` column or a list of words.
-    A list of up to ``INLINE_STOP_MAX`` words becomes a set-membership
-    filter; otherwise the stop list is broadcast (after a size check, or by
-    its known length), so the token table is never shuffled for it.
+    ``stop`` is a DataFrame with a ``stop_word`` column or a list of words of
+    any length. NULL in the list removes NULL tokens, as joins match NA to NA.
     """
     if stop is None:
         return tokens
-    if not isinstance(stop, DataFrame):
-        words = [w for w in stop if w is not None]
-        if len(words) <= INLINE_STOP_MAX:
-            # a word list known in the driver: a plain filter with a hash-set
-            # lookup inside generated code, no join and no broadcast
-            return tokens.where(F.col(word).isNull() | ~F.col(word).isin(*words))
     if isinstance(stop, DataFrame):
         stop = stop.select(F.col(stop_word).alias("__sw"))
-    s = broadcast_small(tokens.sparkSession, stop, "__sw string")
-    s = s.where(F.col("__sw").isNotNull())
-    return tokens.join(s, tokens[word] == s["__sw"], "left_anti")
+    s = lookup(tokens.sparkSession, stop, "__sw string")
+    return tokens.join(s, tokens[word].eqNullSafe(s["__sw"]), "left_anti")
 
 
 __all__ = ["unnest_tokens", "remove_stopwords"]

@@ -7,7 +7,6 @@ the same name in ``quillspark.plans.queries``; parameters come from there.
 
 from __future__ import annotations
 
-from quillspark.functions.text import TOKEN_PATTERN
 from quillspark.plans import fixtures as FX
 from quillspark.plans import queries as Q
 
@@ -16,7 +15,8 @@ def _s(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-PAT = _s(TOKEN_PATTERN)
+# Fixed value: what a token is (see the README), written down a second time.
+PAT = _s(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*")
 STOP = f"(SELECT word FROM {FX.sql_values([(w,) for w in FX.STOP_WORDS], ['word'])})"
 POLARITY = FX.sql_values([(w, "positive") for w in FX.POSITIVE] + [(w, "negative") for w in FX.NEGATIVE],
                          ["word", "sentiment"])
@@ -48,6 +48,15 @@ CONV_TOKENS = f"""(SELECT conv_id, turn, role, line_no, unnest(regexp_extract_al
 
 NOT_STOP = f"word NOT IN {STOP}"
 
+WORK_POS = f"""(SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, line_no, tpos)
+        / count(*) OVER (PARTITION BY conv_id) AS word_position
+ FROM (SELECT conv_id, turn, line_no, unnest(toks) AS word, CAST(unnest(generate_series(1, len(toks))) AS INTEGER) AS tpos
+       FROM (SELECT conv_id, turn, line_no, regexp_extract_all(lower(line), {PAT}) AS toks FROM {CONV_LINES}))
+ WHERE {NOT_STOP})"""
+
+WORK_DECILES = f"""(SELECT ceil(word_position * 10) / 10 AS decile, word, count(*) AS n
+ FROM {WORK_POS} GROUP BY 1, 2)"""
+
 DOC_NB = f"""(SELECT doc_id, line_no, line, lag(line, 1) OVER w AS prev1, lag(line, 2) OVER w AS prev2,
         lead(line, 1) OVER w AS next1
  FROM {DOC_LINES} WINDOW w AS (PARTITION BY doc_id ORDER BY line_no))"""
@@ -372,6 +381,46 @@ SQL: dict[str, str] = {
     "scene_at": f"""SELECT conv_id, turn, line_no, line FROM {CONV_LINES}
         WHERE conv_id = (SELECT conv_id FROM (SELECT DISTINCT conv_id FROM {CONV_LINES} WHERE conv_id IS NOT NULL)
                          ORDER BY conv_id LIMIT 1 OFFSET 4)""",
+    "stop_table_counts": f"""SELECT lang, word, count(*) AS n FROM {DOC_TOKENS} t WHERE NOT EXISTS (
+        SELECT 1 FROM (SELECT unnest(regexp_extract_all(lower(text), {PAT})) AS w FROM benchmark) b WHERE b.w = t.word)
+        GROUP BY lang, word""",
+    "rel_position_works": f"SELECT conv_id, turn, line_no, tpos, word, word_position FROM {WORK_POS}",
+    "sentiment_decile_works": f"""SELECT c.decile, sum(s.score * c.n) / sum(c.n) AS score
+        FROM {WORK_DECILES} c JOIN {SCORES} s ON c.word = s.word GROUP BY c.decile""",
+    "tfidf_decile_works": f"""SELECT decile, word, n, round(tf_idf, {Q.LN_DIGITS}) AS tf_idf FROM (
+        SELECT *, rank() OVER (ORDER BY tf_idf DESC) AS rk FROM {_tfidf(WORK_DECILES, 'word', 'decile')}
+        WHERE n > {Q.MIN_N_DECILE}) WHERE rk <= {Q.TOP_K}""",
+    "compare_tables": f"""SELECT word, a / sum(a) OVER () AS share_conv, b / sum(b) OVER () AS share_items FROM (
+        SELECT x.word, x.n AS a, y.n AS b
+        FROM (SELECT word, count(*) AS n FROM {CONV_TOKENS} WHERE {NOT_STOP} GROUP BY word) x
+        JOIN (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), {PAT})) AS word FROM benchmark)
+              WHERE {NOT_STOP} GROUP BY word) y ON x.word = y.word)""",
+    "select_works_author": "SELECT p_partkey AS work_id, p_name AS author FROM part WHERE p_size > 10"
+        + "".join(f" AND regexp_matches(p_name, {_s(p)})" for p in Q.AUTHOR_PATTERNS),
+    "body_lines": f"""SELECT doc_id, line_no, line FROM (
+        SELECT doc_id, line_no, line, {_fill('is_text', 'doc_id', 'line_no')} FROM (
+          SELECT doc_id, line_no, line, CASE WHEN {_blank('next1')} THEN 'text' END AS is_text FROM {DOC_NB}))
+        WHERE is_text = 'text'""",
+    "scene_pick": f"""WITH d AS (SELECT doc_id, line_no, line, akt, scene FROM {ANNOTATED}),
+        a AS (SELECT doc_id, akt, row_number() OVER (PARTITION BY doc_id ORDER BY min(line_no)) AS k FROM d WHERE akt IS NOT NULL GROUP BY 1, 2),
+        s AS (SELECT doc_id, scene, row_number() OVER (PARTITION BY doc_id ORDER BY min(line_no)) AS k FROM d WHERE scene IS NOT NULL GROUP BY 1, 2)
+        SELECT d.* FROM d JOIN a ON a.doc_id = d.doc_id AND a.akt = d.akt AND a.k = 2
+        JOIN s ON s.doc_id = d.doc_id AND s.scene = d.scene AND s.k = 2""",
+    "words_per_scene": f"""WITH d AS (SELECT doc_id, line_no, line, akt, scene, row_number() OVER (ORDER BY doc_id, line_no) AS rn FROM {ANNOTATED}),
+        a AS (SELECT akt, row_number() OVER (ORDER BY min(rn)) AS act_code FROM d WHERE akt IS NOT NULL GROUP BY akt),
+        s AS (SELECT scene, row_number() OVER (ORDER BY min(rn)) AS scene_code FROM d WHERE scene IS NOT NULL GROUP BY scene),
+        c AS (SELECT akt, scene, CAST(sum(len(regexp_extract_all(lower(line), {PAT}))) AS BIGINT) AS n FROM d GROUP BY akt, scene)
+        SELECT c.akt, c.scene, c.n, a.act_code, s.scene_code,
+               concat(coalesce(CAST(a.act_code AS VARCHAR), 'NA'), '.', coalesce(CAST(s.scene_code AS VARCHAR), 'NA')) AS label
+        FROM c LEFT JOIN a ON a.akt = c.akt LEFT JOIN s ON s.scene = c.scene WHERE c.n > 0""",
+    "speakers_per_scene": f"SELECT doc_id, akt, scene, {_nd('speaker')} AS n FROM {ANNOTATED} GROUP BY doc_id, akt, scene",
+    "lines_per_scene": f"""WITH d AS (SELECT doc_id, akt, scene, speaker, line_no, row_number() OVER w AS rn, count(*) OVER (PARTITION BY doc_id) AS nn,
+                 lead(speaker) OVER w AS nxt FROM {ANNOTATED} WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+        t AS (SELECT *, 1 + coalesce(sum(CASE WHEN speaker <> nxt THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY rn
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dialrank FROM d)
+        SELECT doc_id, akt, scene, speaker, {_nd('dialrank')} AS n_turns, count(*) AS n FROM t GROUP BY doc_id, akt, scene, speaker""",
+    "first_seen_source": """SELECT source, row_number() OVER (ORDER BY min(doc_id)) AS code FROM documents
+        WHERE source IS NOT NULL GROUP BY source""",
 }
 
 

@@ -37,6 +37,9 @@ ACT_PATTERN = "^(The|Le|Die|El) "
 SCENE_LITERAL = "ing."
 SCENE_FIXES = {"tion": "TION"}
 REPLACE_PATTERN = "th[a-z]"
+DROP_SPEAKERS = ("Akt", "Scene")
+# Words that stand for authors in the catalogue selection.
+AUTHOR_PATTERNS = ("^[a-e]", "e")
 # ln() of the JVM and of C libraries may differ in the last bit; values
 # built on it are reported rounded to this many decimals.
 LN_DIGITS = 12
@@ -85,7 +88,7 @@ def read_lines(spark, base):
 @register
 def attach_meta(spark, base):
     lines = doc_lines(spark, base).select("doc_id", "line_no")
-    meta = R.bounded_broadcast(_labels(spark, base).select("doc_id", "quality"))
+    meta = _labels(spark, base).select("doc_id", "quality")
     return R.join_on(lines, meta, ["doc_id"])
 
 
@@ -267,7 +270,7 @@ def line_number(spark, base):
 
 
 def _docs_text(spark, base):
-    return table(spark, base, "documents", spread=True).select("doc_id", "text")
+    return table(spark, base, "documents").select("doc_id", "text")
 
 
 @register
@@ -392,7 +395,7 @@ def _brand_pairs(spark, base):
 
 @register
 def graph_vertices(spark, base):
-    return cooccur.graph_vertices(_brand_pairs(spark, base), "member_a", "member_b")
+    return cooccur.network_vertices(_brand_lines(spark, base), ["l_orderkey"], "p_brand")
 
 
 # ---- scalar functions ------------------------------------------------------
@@ -614,14 +617,15 @@ def play_network(spark, base):
     d = structure.annotate_structure(lines, ["doc_id"], ["line_no"], act_pattern=ACT_PATTERN,
                                      scene_literal=SCENE_LITERAL, scene_fixes=SCENE_FIXES,
                                      is_blank=lambda c: F.length(c) < BLANK_LEN)
-    d = structure.clean_speakers(d, None)
+    d = structure.clean_speakers(d, None, drop_patterns=DROP_SPEAKERS)
     return cooccur.cooccurrence(d, ["doc_id", "akt", "scene"], "speaker_clean")
 
 
 @register
 def clean_speakers(spark, base):
     lines = conv_lines(spark, base).withColumn("speaker", F.col("role"))
-    d = structure.clean_speakers(lines, FX.cast_table(spark), aliases=FX.SPEAKER_ALIASES)
+    d = structure.clean_speakers(lines, FX.cast_table(spark), aliases=FX.SPEAKER_ALIASES,
+                                 drop_patterns=DROP_SPEAKERS)
     return d.select("conv_id", "turn", "line_no", "speaker_clean", "activity", "nameshort", "gender")
 
 
@@ -707,6 +711,108 @@ def scene_at(spark, base):
     return dialogue.nth_level(lines, "conv_id", 5, ["conv_id", "turn", "line_no"])
 
 
+# ---- general paths: tables as stop lists, works of many rows, two levels -----
+
+@register
+def stop_table_counts(spark, base):
+    """J6 against a stop *table*: words that no benchmark item holds."""
+    stop = unnest_tokens(table(spark, base, "benchmark").select("text"), "text", "word", position=None).distinct()
+    return counts.count_by(remove_stopwords(doc_tokens(spark, base), stop), ["lang", "word"])
+
+
+WORK_ORDER = ["turn", "line_no", "tpos"]
+
+
+def _work_tokens(spark, base):
+    """Tokens of works that are many rows: conversations, line by line."""
+    lines = conv_lines(spark, base).select("conv_id", "turn", "line_no", "line")
+    return unnest_tokens(lines, "line", "word", position="tpos")
+
+
+@register
+def rel_position_works(spark, base):
+    t = remove_stopwords(_work_tokens(spark, base), FX.stop_words(spark))
+    return position.relative_position(t, ["conv_id"], WORK_ORDER)
+
+
+@register
+def sentiment_decile_works(spark, base):
+    return position.sentiment_by_decile(_work_tokens(spark, base), FX.scores(spark), ["conv_id"], WORK_ORDER,
+                                        FX.stop_words(spark))
+
+
+@register
+def tfidf_decile_works(spark, base):
+    out = position.top_terms_by_decile(_work_tokens(spark, base), ["conv_id"], WORK_ORDER, FX.stop_words(spark),
+                                       min_n=MIN_N_DECILE, k=TOP_K)
+    return _ln_rounded(out.select("decile", "word", "n", "tf_idf"))
+
+
+@register
+def compare_tables(spark, base):
+    """Q2 on two tables: words of conversations against words of benchmark items."""
+    one = counts.word_counts(_work_tokens(spark, base).select("word"), stop=_stop(spark), sort=False)
+    items = unnest_tokens(table(spark, base, "benchmark").select("text"), "text", "word", position=None)
+    two = counts.word_counts(items, stop=_stop(spark), sort=False)
+    return counts.compare_vocab(one, two, "share_conv", "share_items")
+
+
+@register
+def select_works_author(spark, base):
+    """Q9 with author predicates: parts as works, their names as authors."""
+    meta = table(spark, base, "part").select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("author"),
+                                             (F.col("p_size") > 10).alias("has_text"))
+    return catalog.select_works(meta, author_patterns=AUTHOR_PATTERNS).select("work_id", "author")
+
+
+@register
+def body_lines(spark, base):
+    """Q13, the half after the front matter."""
+    _, body = structure.split_front_matter(_doc_lines_nb(spark, base), ["doc_id"], ["line_no"],
+                                           body_start=F.length("next1") < BLANK_LEN)
+    return body.select("doc_id", "line_no", "line")
+
+
+def _annotated(spark, base):
+    lines = _doc_lines_nb(spark, base)
+    return structure.annotate_structure(lines, ["doc_id"], ["line_no"], act_pattern=ACT_PATTERN,
+                                        scene_literal=SCENE_LITERAL, scene_fixes=SCENE_FIXES,
+                                        is_blank=lambda c: F.length(c) < BLANK_LEN)
+
+
+@register
+def scene_pick(spark, base):
+    """Q22 on two levels: the second act and the second scene of every play."""
+    d = _annotated(spark, base).select("doc_id", "line_no", "line", "akt", "scene")
+    return dialogue.scene_at(d, 2, 2, ["line_no"], part=["doc_id"])
+
+
+@register
+def words_per_scene(spark, base):
+    """Q19 by act and scene, labelled with both codes by first appearance."""
+    return dialogue.words_per(_annotated(spark, base), ["akt", "scene"], levels={"akt": "act_code", "scene": "scene_code"},
+                              order=["doc_id", "line_no"])
+
+
+@register
+def speakers_per_scene(spark, base):
+    return dialogue.participants_per(_annotated(spark, base), ["doc_id", "akt", "scene"], "speaker")
+
+
+@register
+def lines_per_scene(spark, base):
+    """Q18 by act and scene: turns and lines of each speaker."""
+    d = _annotated(spark, base).select("doc_id", "line_no", "akt", "scene", "speaker")
+    d = structure.number_turns(d, ["doc_id"], ["line_no"], speaker="speaker")
+    return dialogue.lines_per(d, ["doc_id", "akt", "scene", "speaker"])
+
+
+@register
+def first_seen_source(spark, base):
+    """F15 where first appearance and sorted order differ."""
+    return ordered.first_seen_code(_docs(spark, base).select("doc_id", "source"), [], ["doc_id"], "source")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 

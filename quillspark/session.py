@@ -42,24 +42,24 @@ def get_session(master: str | None = None, app: str = "quillspark",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be a shared file system path set by the
-    deployment. Only when it is unset (local tests) a scratch folder is
-    created and registered.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``. Where the setting
+    is absent a local session (tests) gets a scratch folder; any other must
+    name a folder that all executors share."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="quillspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Materialise ``df`` reliably (survives executor loss) and cut lineage."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
+def cut_lineage(df):
+    """``df`` written reliably to the shared folder (survives executor loss),
+    its lineage cut."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

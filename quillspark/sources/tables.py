@@ -2,48 +2,29 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-def load_table(spark: SparkSession, base: str, name: str, *, spread_key=None) -> DataFrame:
-    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``).
-
-    With ``spread_key`` (a column or list of columns that is unique per row,
-    so no key can be hot), a table stored in fewer splits than the cluster
-    has cores (e.g. one large row group) is hash-partitioned on it over all
-    cores before CPU-heavy text work. Large inputs already arrive in many
-    splits and are left as read (no extra shuffle).
-    """
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if spread_key is not None:
-        return spread(df, spread_key)
-    return df
-
-
-def spread(df: DataFrame, key) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` (a row-unique column or columns) over
-    all cores if it has fewer partitions than that; otherwise return it
-    unchanged."""
-    keys = [key] if isinstance(key, str) else list(key)
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no RDD view, leave as read
-        return df
-    return df.repartition(cores, *keys) if splits < cores else df
+def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``)."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def read_csv_header(spark: SparkSession, path: str, schema: StructType, *,
-                    blank_as_empty=()) -> DataFrame:
-    """CSV with a header (``read.csv``); ``NA`` reads as NULL.
+                    blank_as_empty=(), multi_line: bool = True) -> DataFrame:
+    """CSV with a header (``read.csv``); ``NA`` reads as NULL, doubled quotes
+    as one, and quoted fields may hold line breaks (``multi_line=False`` lets
+    files without such fields be read in splits).
 
     Spark reads a blank field as NULL too, while R keeps ``""``. Columns
     listed in ``blank_as_empty`` (where the file holds no ``NA``) get R's
     ``""`` back.
     """
-    df = (spark.read.schema(schema).option("header", True)
+    df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
           .option("nullValue", "NA").csv(path))
     if blank_as_empty:
         df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in blank_as_empty})
@@ -56,38 +37,27 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
             .option("header", False).csv(path))
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Write with a header and ``NA`` for NULL (``write.csv``). R's leading
-    row-number column is left out: it needs a global order."""
-    (df.write.mode(mode).option("header", True).option("nullValue", "NA")
-       .option("emptyValue", "").csv(path))
+def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", row_numbers=None) -> None:
+    """Write with a header, ``NA`` for NULL and doubled quotes (``write.csv``).
 
+    ``row_numbers`` lists order columns: then R's leading column of row
+    numbers (1, 2, ... in that order, headed by a blank) is written too.
+    """
+    if row_numbers:
+        from quillspark.operators.ordered import sorted_row_number
+        df = sorted_row_number(df, [], row_numbers, "__row").select(F.col("__row").alias(" "), *df.columns)
+    (df.write.mode(mode).option("header", True).option("nullValue", "NA").option("escape", '"')
+       .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
-def make_table(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small table built in code (``tibble``/``data.frame``).
 
-    It is an inline SQL ``VALUES`` table with the given schema, i.e. a local
-    relation held in the driver: Spark knows its size without running a job,
-    and joins can broadcast it directly.
-    """
+def make_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small table built in code (``tibble``/``data.frame``): a local
+    relation, whose size Spark knows without a job."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    names = [f.name for f in schema.fields]
-    if not rows:
-        return spark.createDataFrame([], schema)
-
-    def lit(v):
-        if v is None:
-            return "NULL"
-        if isinstance(v, bool):
-            return "TRUE" if v else "FALSE"
-        if isinstance(v, str):
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return repr(v)
-    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    cols = ", ".join(f"`{n}`" for n in names)
-    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-__all__ = ["spread", "load_table", "read_csv_header", "read_tsv", "write_csv", "make_table"]
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
+__all__ = ["load_table", "read_csv_header", "read_tsv", "write_csv", "make_table"]

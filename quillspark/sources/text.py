@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LINE_END = r"(?:\r\n|\n|\r)"
+
 
 def split_lines(text: Column) -> Column:
-    """Array of the lines of a text; a final newline does not add a line and
-    a trailing carriage return is dropped from each line."""
-    body = F.regexp_replace(text, r"\r?\n$", "")
-    return F.split(body, r"\r?\n", -1)
+    """Array of the lines of a text, blank ones included. A line ends at
+    ``\\r\\n``, ``\\n`` or ``\\r``, as in Spark's line reader; the last line's
+    end adds none, and an empty text has no line."""
+    body = F.regexp_replace(text, LINE_END + r"\z", "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_END, -1))
 
 
 def text_lines(df: DataFrame, text_col: str = "text", *, keep=None,
@@ -55,34 +58,33 @@ def text_lines(df: DataFrame, text_col: str = "text", *, keep=None,
     return d.select(*cols)
 
 
-def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename",
-               neighbours: dict | None = None, whole_files: bool = True) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename", path_col: str | None = None,
+               neighbours: dict | None = None, whole_files: bool = False) -> DataFrame:
     """Read every text file under ``path`` as lines, blank lines kept.
 
-    ``whole_files`` (default): each file is read whole (one task per file,
-    ``wholetext``) and split in place, so the line numbers follow the file
-    and neighbouring lines (``neighbours``, see ``text_lines``) come without
-    a shuffle. For files too large to be one row, ``whole_files=False``
-    reads them line by line in splits and numbers the lines by file, split
-    offset and position inside the split with a block scan (one block per
-    split); add neighbours then with ``operators.structure.add_neighbours``.
-    The file name comes from the file metadata without its directory
-    (``list.files`` + ``gsub``).
+    Files are read line by line in splits, so a file of any size will do, and
+    numbered by file, split offset and position inside the split with a block
+    scan. ``whole_files=True`` reads each file as one row and numbers it in
+    place, without a shuffle; for files that fit in a task. Both give the same
+    rows, ``neighbours`` (see ``text_lines``) included.
+
+    A file is told by its whole path; ``file_col`` shows its name without the
+    directory (``list.files`` + ``gsub``), ``path_col`` the path if named.
     """
-    if not whole_files:
-        from quillspark.operators.ordered import number_rows
+    shown = [F.regexp_extract("__path", r"([^/]*)$", 1).alias(file_col)] + ([F.col("__path").alias(path_col)] if path_col else [])
+    extra = list(neighbours or {})
+    if whole_files:
+        raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("__path"), F.col("value").alias("text"))
+        d = text_lines(raw, "text", keep=["__path"], line_col="line", number_col="line_no", neighbours=neighbours)
+    else:
+        from quillspark.operators.ordered import ordered_scan
         raw = spark.read.text(path).select(
-            F.col("_metadata.file_name").alias(file_col),
-            F.col("_metadata.file_block_start").alias("__split"),
+            F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__split"),
             F.monotonically_increasing_id().alias("__seq"),     # read order inside the split
             F.col("value").alias("line"))
-        numbered = number_rows(raw, [file_col], ["__split", "__seq"], "line_no",
-                               block_size=1)                    # one block per split
-        return numbered.select(file_col, F.col("line_no").cast("int").alias("line_no"), "line")
-    raw = (spark.read.text(path, wholetext=True)
-           .select(F.col("_metadata.file_name").alias(file_col), F.col("value").alias("text")))
-    return text_lines(raw, "text", keep=[file_col], line_col="line", number_col="line_no",
-                      neighbours=neighbours)
+        d = ordered_scan(raw, ["__path"], ["__split", "__seq"], running={"line_no": (F.lit(1), True)},
+                         shifts={name: ("line", k) for name, k in (neighbours or {}).items()})
+    return d.select(*shown, F.col("line_no").cast("int").alias("line_no"), "line", *extra)
 
 
 __all__ = ["split_lines", "text_lines", "read_lines"]

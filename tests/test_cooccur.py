@@ -40,6 +40,8 @@ def test_pairs_symmetric_and_share(spark):
     verts = sorted(r.name for r in cooccur.graph_vertices(cooccur.cooccurrence(df, ["ctx"], "m"),
                                                            "member_a", "member_b").collect())
     assert verts == ["a", "b", "c"]
+    lonely = df.union(spark.createDataFrame([(9, "z"), (9, None), (10, None), (None, "y"), (None, "x")], "ctx int, m string"))
+    assert sorted(r.name for r in cooccur.network_vertices(lonely, ["ctx"], "m").collect()) == ["a", "b", "c", "x", "y"]
 
 
 def test_hot_context_in_chunks(spark):

@@ -74,7 +74,7 @@ def test_whole_table_sequence(spark):
     assert sorted((r.ord, r.rn, r.n) for r in got.collect()) == [(i, i, 20) for i in range(1, 21)]
 
 
-@pytest.mark.parametrize("block", [3, 4, 1000])
+@pytest.mark.parametrize("block", [1, 2, 3, 4, 1000])
 def test_shift_lag_lead(spark, block):
     df = spark.createDataFrame([(1, i, f"l{i}") for i in range(1, 5)] + [(2, 1, "m1")],
                                "part int, pos int, line string")
@@ -103,7 +103,7 @@ def test_nested_row_number(spark):
 def test_alphabetical_code(spark):
     words = "pear apple fig apple kiwi banana date cherry fig".split()
     df = spark.createDataFrame([(w,) for w in words] + [(None,)], "w string")
-    got = ordered.alphabetical_code(df, "w", "code", buckets=3)
+    got = ordered.alphabetical_code(df, "w", "code")
     assert sorted(tuple(r) for r in got.collect()) == [(w, i) for i, w in enumerate(sorted(set(words)), 1)]
 
 
@@ -116,7 +116,20 @@ def test_shift_matches_window_on_long_sequence(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
 
 
-def test_hot_sequence_is_spread_over_tasks(spark):
+@pytest.fixture()
+def uncoalesced(spark):
+    """Keeps shuffle partitions and joins as planned, so that tasks can be told."""
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_sequence_is_spread_over_tasks(uncoalesced):
+    spark = uncoalesced
     # one sequence holding every row: its blocks land in different partitions
     df = spark.range(1, 2001).select(F.lit(7).alias("part"), F.col("id").cast("int").alias("ord"))
     got = ordered.number_rows(df, ["part"], ["ord"], "rn", block_size=50)
@@ -132,25 +145,74 @@ def test_sorted_row_number_any_order(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice([1, 2, None]), f"k{rnd.randint(0, 10**6):07d}", i) for i in range(400)]
     df = spark.createDataFrame(rows, "part int, key string, i int").dropDuplicates(["part", "key"])
-    got = ordered.sorted_row_number(df, ["part"], ["key", "i"], "rn", buckets=5)
+    got = ordered.sorted_row_number(df, ["part"], ["key", "i"], "rn")
     want = df.select("part", "key", "i", F.row_number().over(Window.partitionBy("part").orderBy("key", "i")).alias("rn"))
     key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
     assert sorted((tuple(r) for r in got.select("part", "key", "i", "rn").collect()), key=key) == \
         sorted((tuple(r) for r in want.collect()), key=key)
 
 
-def test_scan_with_unbounded_order(spark):
-    # every row shares the first order value: blocks come from row numbers
+def test_scan_with_one_value_of_the_first_order_column(spark):
     df = spark.createDataFrame([(1, 0, i, None if i % 3 else f"v{i}") for i in range(50)],
                                "part int, o1 int, o2 int, v string")
     got = ordered.ordered_scan(df, ["part"], ["o1", "o2"], fill_down=["v"], running={"n": (F.lit(1), True)},
-                               block_size=4, bounded_order=False)
+                               block_size=4)
     rows = sorted((r.o2, r.v, r.n) for r in got.collect())
     assert rows == [(i, f"v{i - i % 3}", i + 1) for i in range(50)]
 
 
 def test_sorted_row_number_independent_of_partitioning(spark):
     df = spark.range(0, 500).select((F.col("id") % 3).alias("part"), (F.col("id") * 7919 % 1000).alias("o"))
-    a = ordered.sorted_row_number(df.repartition(3), ["part"], ["o"], "rn", buckets=4)
-    b = ordered.sorted_row_number(df.repartition(11, "o"), ["part"], ["o"], "rn", buckets=4)
+    a = ordered.sorted_row_number(df.repartition(3), ["part"], ["o"], "rn")
+    b = ordered.sorted_row_number(df.repartition(11, "o"), ["part"], ["o"], "rn")
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 1000])
+@pytest.mark.parametrize("depth", [2, 3])
+def test_scan_over_several_order_columns(spark, block, depth):
+    rnd = random.Random(block * depth)
+    rows = [(rnd.choice([1, 2, None]), rnd.randint(0, 6), rnd.randint(0, 3), i, rnd.choice(["a", "b", None]), rnd.randint(0, 5)) for i in range(150)]
+    df = spark.createDataFrame(rows, "part int, o1 int, o2 int, o3 int, v string, x int")
+    order = ["o1", "o2", "o3"][3 - depth:] if depth == 3 else ["o1", "o3"]
+    got = ordered.ordered_scan(df.withColumn("down", F.col("v")).withColumn("up", F.col("v")), ["part"], order,
+                               running={"inc": (F.col("x"), True), "rn": (F.lit(1), True)}, changes={"chg": "v"}, fill_down=["down"], fill_up=["up"],
+                               shifts={"p1": ("v", 1), "p4": ("x", 4), "n3": ("v", -3)}, group_total="tot", block_size=block)
+    w = Window.partitionBy("part").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("*", F.last("v", True).over(upto).alias("down"), F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("up"),
+                     F.sum("x").over(upto).alias("inc"), F.row_number().over(w).alias("rn"),
+                     F.coalesce((F.lag("v", 1).over(w) != F.col("v")).cast("long"), F.lit(0)).alias("c"),
+                     F.lag("v", 1).over(w).alias("p1"), F.lag("x", 4).over(w).alias("p4"), F.lead("v", 3).over(w).alias("n3"),
+                     F.count("*").over(Window.partitionBy("part")).alias("tot"))
+    want = want.withColumn("chg", F.sum("c").over(upto)).drop("c").select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_many_rows_under_few_order_values_are_spread(uncoalesced):
+    spark = uncoalesced
+    df = spark.range(0, 4000).select(F.lit(1).alias("conv"), (F.col("id") % 20).cast("int").alias("turn"), F.col("id").alias("line_no"))
+    got = ordered.number_rows(df, ["conv"], ["turn", "line_no"], "rn", block_size=100)
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("rn")).collect()]
+    assert len(sizes) > 3 and max(sizes) < 2000
+    assert got.agg(F.max("rn")).first()[0] == 4000
+
+
+def test_table_is_read_and_shuffled_once(spark, tmpdir_path):
+    path = tmpdir_path + "/lines"
+    spark.range(0, 300).select((F.col("id") % 3).alias("part"), F.col("id").alias("turn"), F.col("id").alias("line_no"),
+                               F.col("id").cast("string").alias("line")).write.parquet(path)
+    got = ordered.ordered_scan(spark.read.parquet(path), ["part"], ["turn", "line_no"], running={"rn": (F.lit(1), True)},
+                               shifts={"p": ("line", 1)}, fill_down=["line"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1
+
+
+def test_nested_row_number_keeps_null_sequences(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (3, 1), (10**12, 1)], "part long, ord int")
+    got = ordered.nested_row_number(df, "part", ["ord"], "rn")
+    assert sorted((r.rn, r.part) for r in got.collect()) == [(1, None), (2, None), (3, 3), (4, 10**12)]

@@ -25,7 +25,7 @@ def test_no_python_udf_and_broadcast_anti_join(spark):
         p = plan_text(qs[name](spark, SF_SMALL))
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
     wc = plan_text(qs["word_counts"](spark, SF_SMALL))
-    assert "INSET" in wc.upper() and "LeftAnti" not in wc      # word list: set-lookup filter
+    assert "LeftAnti" in wc and "Broadcast" in wc              # a short list is broadcast by its size
     from quillspark.operators.tokens import remove_stopwords, unnest_tokens
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     p = plan_text(remove_stopwords(unnest_tokens(docs, "text"), FX.stop_words(spark)))

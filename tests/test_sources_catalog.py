@@ -145,3 +145,98 @@ def test_read_lines_with_neighbours(spark, tmpdir_path):
     got = sorted(tuple(r) for r in read_lines(spark, d, neighbours={"prev1": 1, "prev2": 2, "next1": -1}).collect())
     assert got == [("p.txt", 1, "a", None, None, ""), ("p.txt", 2, "", "a", None, "b"),
                    ("p.txt", 3, "b", "", "a", "c"), ("p.txt", 4, "c", "b", "", None)]
+
+
+def both_modes(spark, folder, **options):
+    got = [sorted(map(tuple, read_lines(spark, folder, whole_files=w, **options).collect()), key=str) for w in (False, True)]
+    assert got[0] == got[1]
+    return got[0]
+
+
+def test_line_ends_and_blank_lines(spark, tmpdir_path):
+    texts = {"a": "a\n\n", "b": "a\n\n\n", "c": "", "d": "x\ry\r\nz", "e": "\n", "f": "no end", "g": "tail\r"}
+    want = {"a": ["a", ""], "b": ["a", "", ""], "c": [], "d": ["x", "y", "z"], "e": [""], "f": ["no end"], "g": ["tail"]}
+    d = os.path.join(tmpdir_path, "ends")
+    os.makedirs(d)
+    for name, text in texts.items():
+        with open(os.path.join(d, name + ".txt"), "w", newline="") as f:
+            f.write(text)
+    assert both_modes(spark, d) == sorted([(n + ".txt", k, x) for n, xs in want.items() for k, x in enumerate(xs, 1)], key=str)
+
+
+def test_same_name_in_two_folders(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "same")
+    for sub, text in (("a", "1\n2\n3\n"), ("b", "4\n5\n")):
+        os.makedirs(os.path.join(d, sub))
+        with open(os.path.join(d, sub, "x.txt"), "w") as f:
+            f.write(text)
+    got = both_modes(spark, d + "/*", path_col="path", neighbours={"prev": 1, "next2": -2})
+    assert sorted((r[1].split("/")[-2], r[0], *r[2:]) for r in got) == [
+        ("a", "x.txt", 1, "1", None, "3"), ("a", "x.txt", 2, "2", "1", None), ("a", "x.txt", 3, "3", "2", None),
+        ("b", "x.txt", 1, "4", None, None), ("b", "x.txt", 2, "5", "4", None)]
+
+
+def test_csv_round_trip(spark, tmpdir_path):
+    rows = [(1, 'say "hi", you', "two\nlines"), (2, None, "a,b"), (3, " blank ", '"')]
+    schema = StructType.fromDDL("k int, x string, y string")
+    df = spark.createDataFrame(rows, schema)
+    out = os.path.join(tmpdir_path, "csv")
+    write_csv(df, out)
+    assert sorted(map(tuple, read_csv_header(spark, out, schema).collect())) == rows
+    with_rows = os.path.join(tmpdir_path, "rows")
+    write_csv(df, with_rows, row_numbers=["k"])
+    wide = StructType.fromDDL("`row` int, k int, x string, y string")
+    assert sorted(map(tuple, read_csv_header(spark, with_rows, wide).collect())) == [(k, k, x, y) for k, x, y in rows]
+
+
+def test_long_stop_lists_and_tables_agree(spark):
+    from quillspark.operators import position
+    from quillspark.operators.tokens import remove_stopwords, unnest_tokens
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 37 + k * 11) % 90}" for k in range(60))) for i in range(20)], "doc_id int, text string")
+    short = [f"w{k}" for k in range(0, 90, 3)]
+    long = short + [f"never{k}" for k in range(20_000)]
+    tokens = unnest_tokens(docs, "text")
+    table = spark.createDataFrame([(w,) for w in long], "word string")
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    want = rows(remove_stopwords(tokens, short))
+    assert want == rows(remove_stopwords(tokens, long)) == rows(remove_stopwords(tokens, table))
+    at = rows(position.text_positions(docs, stop_words=short))
+    assert at == rows(position.text_positions(docs, stop_words=long))
+    general = position.relative_position(remove_stopwords(tokens, table), ["doc_id"], ["tpos"])
+    assert at == rows(general)
+
+
+def test_null_in_a_stop_list_removes_null_tokens(spark):
+    from quillspark.operators.tokens import remove_stopwords
+    t = spark.createDataFrame([("a",), (None,), ("b",)], "word string")
+    assert [r.word for r in remove_stopwords(t, ["a", None]).collect()] == ["b"]
+    assert remove_stopwords(t, ["a"]).count() == 2
+
+
+def test_catalogue_joins_match_null_ids(spark):
+    meta = spark.createDataFrame([(1, "en", True), (None, "en", True)], "work_id int, language string, has_text boolean")
+    subjects = spark.createDataFrame([(1, "s"), (None, "s")], "work_id int, subject string")
+    assert catalog.select_works(meta, subjects, subject_equals="s").count() == 2
+    assert [r.n for r in catalog.subject_counts(subjects, meta, has_text_col="has_text").collect()] == [2]
+
+
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    import pytest
+
+    from quillspark import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())

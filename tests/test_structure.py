@@ -78,7 +78,7 @@ def test_clean_speakers_and_turns(spark):
     # speaker lines are blanked and dropped, unknown speakers keep NULL cast
     assert 13 not in rows and 16 not in rows and rows[14].nameshort == "Anna"
     assert rows[17].nameshort is None
-    d2 = structure.clean_speakers(annotated(spark), cast, aliases={"BERT": "BERT."})
+    d2 = structure.clean_speakers(annotated(spark), cast, aliases={"BERT": "BERT."}, drop_patterns=("Act", "Scene"))
     assert {r.line_no: r.nameshort for r in d2.collect()}[17] == "Bert"
     turns = structure.number_turns(d2, ["work"], ["line_no"], block_size=2)
     t = sorted((r.line_no, r.speaker_clean, r.dialrank) for r in turns.collect())

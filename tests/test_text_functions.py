@@ -29,6 +29,13 @@ def test_replace_first_only(spark):
     # replacement is literal, no group references
     assert one(spark, T.replace_first("x", "b", "$1\\"), "abc") == "a$1\\c"
     assert one(spark, T.replace_first("x", "q", "Z"), "abc") == "abc"
+    # the pattern keeps its groups, and a dot stays within its line
+    assert one(spark, T.replace_first("x", r"(a)\1", "Z"), "xaab") == "xZb"
+    assert one(spark, T.replace_first("x", "a.*", "Z"), "xab\nab") == "xZ\nab"
+    assert one(spark, T.replace_first("x", "b|(c)", "Z"), "acb") == "aZb"
+    assert one(spark, T.replace_first("x", "q*", "Z"), "abc") == "Zabc"
+    assert one(spark, T.replace_first("x", "a", "Z"), "a") == "Z"
+    assert one(spark, T.replace_first("x", "a", "Z"), None) is None
 
 
 def test_str_extract_none_is_null(spark):
@@ -64,3 +71,8 @@ def test_reverse_name_and_first_word(spark):
     assert one(spark, T.reverse_name("x"), "Austen, Jane") == "Jane Austen"
     assert one(spark, T.reverse_name("x"), "Homer") == "Homer"
     assert one(spark, T.first_word(T.reverse_name("x")), "Lytton, Edward, Baron") == "Edward,"
+
+
+def test_paste_shows_null_as_na(spark):
+    assert one(spark, T.paste(F.lit("a"), "x"), None) == "a.NA"
+    assert one(spark, T.paste(F.lit(1), "x", sep="-"), "b") == "1-b"
