@@ -59,9 +59,9 @@ def top_terms(weighted: DataFrame, by: Sequence[str], k: int, *, weight: str = "
     return top_k_ties(d, by, k, weight)
 
 
-def mean_order(df: DataFrame, level: str, value: str, name: str = "mean") -> DataFrame:
+def mean_order(df: DataFrame, level: str, value, name: str = "mean") -> DataFrame:
     """``reorder(level, value)``: the mean value per level, in plotting order."""
-    return (df.groupBy(level).agg(F.avg(value).alias(name))
+    return (df.groupBy(level).agg((F.sum(value).cast("double") / F.count(value)).alias(name))
               .orderBy(F.col(name).asc_nulls_last(), F.col(level).asc_nulls_last()))
 
 

@@ -48,12 +48,6 @@ def stop_words(spark: SparkSession) -> DataFrame:
     return make_table(spark, [(w,) for w in STOP_WORDS], "word string")
 
 
-def polarity(spark: SparkSession, negative: str = "negative", positive: str = "positive",
-             column: str = "sentiment") -> DataFrame:
-    rows = [(w, positive) for w in POSITIVE] + [(w, negative) for w in NEGATIVE]
-    return make_table(spark, rows, f"word string, {column} string")
-
-
 def scores(spark: SparkSession) -> DataFrame:
     return make_table(spark, list(SCORES.items()), "word string, score double")
 
@@ -83,5 +77,5 @@ def sql_values(rows, names) -> str:
 
 
 __all__ = ["polarity_rows", "STOP_WORDS", "POSITIVE", "NEGATIVE", "SCORES", "CAST", "SPEAKER_ALIASES",
-           "FIRST_NAMES", "NAME_YEARS", "stop_words", "polarity", "scores", "cast_table",
+           "FIRST_NAMES", "NAME_YEARS", "stop_words", "scores", "cast_table",
            "first_names", "sql_values"]

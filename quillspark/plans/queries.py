@@ -468,10 +468,7 @@ def alpha_code(spark, base):
 
 @register
 def reorder_by_mean(spark, base):
-    part = table(spark, base, "part")
-    mean = F.sum(_dec("p_retailprice")).cast("double") / F.count("p_retailprice")
-    return (part.groupBy("p_brand").agg(mean.alias("mean"))
-                .orderBy(F.col("mean").asc_nulls_last(), "p_brand"))
+    return weights.mean_order(table(spark, base, "part"), "p_brand", _dec("p_retailprice"))
 
 
 # ---- composite analyses ----------------------------------------------------
