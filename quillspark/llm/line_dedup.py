@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.cells import MET, list_groups, pair_groups, pairs_of_runs, runs_of, squares
-from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, small_side, text_buffers
+from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, small_side, text_buffers, word_hashes, word_spans
 
 BLOCKS, BITS, SIMILAR, MOST, CELL = 8, 28, 0.9, 32, 500
 #: Width of a length band, as a ratio; lines near a border fall into both.
@@ -37,13 +37,16 @@ BAND = 2.0
 _GAP = gaps(NOT_ALNUM)
 _TABLE = _LOWER.copy()
 _TABLE[48:58] = _LOWER[48]
+#: The normalised byte of each byte; gaps are blanks.
+_PLAIN = np.where(_GAP, 32, _TABLE - np.uint64(1)).astype(np.uint8)
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
 
 
-def lines_of(data, off, i, j):
+def lines_of(data, off, i, j, hashes: bool = True):
     """Of rows i..j: per line with words its row, number in the row, first
     word (with a closing entry), the word hashes, word starts and ends."""
-    h, _, s, e = row_words(data, off, i, j, _GAP, _TABLE)
+    s, e = word_spans(data, off[i:j + 1], _GAP)
+    h = word_hashes(data, s, e, _TABLE) if hashes else None
     lo, hi = int(off[i]), int(off[j])
     breaks = np.flatnonzero(data[lo:hi] == 10) + lo
     starts = np.union1d(off[i:j], breaks + 1)
@@ -101,12 +104,12 @@ def edit_within(a: bytes, b: bytes, most: int) -> bool:
     """Whether the edit distance is at most ``most`` (bit-parallel columns)."""
     if abs(len(a) - len(b)) > most:
         return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    j = 0
-    while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
-        j += 1
+    n = min(len(a), len(b))
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    other = np.flatnonzero(x[:n] != y[:n])
+    i = int(other[0]) if len(other) else n
+    other = np.flatnonzero(x[len(a) - n + i:] != y[len(b) - n + i:])
+    j = n - i - 1 - int(other[-1]) if len(other) else n - i
     a, b = a[i:len(a) - j], b[i:len(b) - j]
     if not a or not b:
         return len(a) + len(b) <= most
@@ -130,34 +133,53 @@ def similar(a: bytes, b: bytes) -> bool:
     return edit_within(a, b, int((1 - SIMILAR) * max(len(a), len(b)) + 1e-9))
 
 
-def search_cell(ids, sides, texts) -> list[tuple[int, int]]:
-    """Links that connect a cell of normalised lines."""
-    parent = list(range(len(ids)))
+def blocks_of(lines: list[bytes]) -> np.ndarray:
+    """Blocks of normalised lines."""
+    data, off = text_buffers(pa.array(lines, pa.binary()))
+    out = [np.zeros((0, BLOCKS), np.int64)]
+    for i, j in segments(off):
+        h, first, _, _ = row_words(data, off, i, j, _GAP, _TABLE)
+        out.append(simhash(h, first))
+    return np.concatenate(out)
 
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    data, off = text_buffers(pa.array(texts, pa.binary()))
-    h, first, _, _ = row_words(data, off, 0, len(ids), _GAP, _TABLE)
-    block, side, size, out = simhash(h, first), np.array(sides), np.diff(off), []
+def search_cell(ids, sides, lines, block) -> list[tuple[int, int]]:
+    """Links that connect a cell of normalised lines and their blocks."""
+    side, size, out = np.array(sides), np.array([len(x) for x in lines]), []
+    label = np.arange(len(ids))
     for i in range(len(ids)):
         if side[i] == 1:
             continue
         other = side == 1 if side[i] == 0 else np.arange(len(ids)) > i
-        fit = np.minimum(size, size[i]) >= SIMILAR * np.maximum(size, size[i]) - 1e-9
+        fit = (label != label[i]) & (np.minimum(size, size[i]) >= SIMILAR * np.maximum(size, size[i]) - 1e-9)
         for k in np.flatnonzero(other & fit & (block == block[i]).any(axis=1)):
-            if root(k) != root(i) and similar(texts[i], texts[k]):
-                parent[root(k)] = root(i)
+            if label[k] != label[i] and similar(lines[i], lines[k]):
+                label[label == label[k]] = label[i]
                 out.append((ids[i], ids[k]))
     return out
 
 
-def normalised(data, s, e) -> bytes:
-    """A line's normalised text from its word spans."""
-    return b" ".join([((_TABLE[data[x:y]] - np.uint64(1)).astype(np.uint8)).tobytes() for x, y in zip(s, e)])
+def search_cells(batches, most: int = 4096):
+    """Links of all cells in batches (cell, id, side, line) sorted by cell;
+    the blocks of a few thousand lines are made at once."""
+    held, size = [], 0
+
+    def links():
+        block = blocks_of([x for _, _, lines in held for x in lines])
+        at, got = 0, []
+        for ids, sides, lines in held:
+            got += search_cell(ids, sides, lines, block[at:at + len(ids)])
+            at += len(ids)
+        return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], names=["u", "v"])
+
+    for _, cell in runs_of(batches, 3):
+        held.append(cell)
+        size += len(cell[0])
+        if size >= most:
+            yield links()
+            held, size = [], 0
+    if held:
+        yield links()
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -223,28 +245,21 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     def texts_of(batches):
         for b in batches:
             data, off = text_buffers(b.column(0))
-            lines_wanted, names, out = b.column(1).to_pylist(), [], []
-            for r in range(b.num_rows):
-                if off[r] == off[r + 1]:
+            wanted = b.column(1).to_pylist()
+            for i, j in segments(off):
+                if off[i] == off[j]:
                     continue
-                row, number, first, _, s, e = lines_of(data, off, r, r + 1)
-                for w in lines_wanted[r]:
-                    k = int(np.searchsorted(number, w["line_no"]))
-                    names.append(w["h"])
-                    out.append(normalised(data, s[first[k]:first[k + 1]], e[first[k]:first[k + 1]]))
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(out, pa.binary())], names=["id", "line"])
+                row, number, first, _, s, e = lines_of(data, off, i, j, hashes=False)
+                plain = _PLAIN[data[off[i]:off[j]]].tobytes()
+                ask = sorted((r, w["line_no"], w["h"]) for r in range(i, j) for w in wanted[r])
+                at = np.searchsorted(row * (1 << 32) + number, [r * (1 << 32) + k for r, k, _ in ask])
+                lo = int(off[i])
+                out = [b" ".join(plain[s[first[k]] - lo:e[first[k + 1] - 1] - lo].split()) for k in at]
+                yield pa.RecordBatch.from_arrays([pa.array([h for *_, h in ask], pa.int64()), pa.array(out, pa.binary())], names=["id", "line"])
 
     texts = docs.join(small_side(want), "k").select("text", "lines").mapInArrow(texts_of, "id long, line binary").dropDuplicates(["id"])
     sets = members.join(texts, "id").select("cell", "id", "side", "line").repartition("cell").sortWithinPartitions("cell", "id")
-
-    def search(batches):
-        for _, (ids, sides, lines) in runs_of(batches, 3):
-            got = search_cell(ids, sides, lines)
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], names=["u", "v"])
-
-    return components(sets.mapInArrow(search, "u long, v long"))
+    return components(sets.mapInArrow(search_cells, "u long, v long"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
