@@ -65,15 +65,17 @@ class TrieBpe:
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.library = Tokenizer.from_file(path)
         self.ascii_re = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-        self.stable: dict[int, bool] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         # of chunks between spaces, and of words: packed ids and decoded string
         self.ids, self.texts, self.old_ids, self.old_texts, self.known, self.silent = {}, {}, {}, {}, {}, False
-        inner = [t for t in self.vocab if not t.endswith(self.end)]
-        final = [t[:-len(self.end)] for t in self.vocab if t.endswith(self.end)]
-        self.inner = {t: self.vocab[t] for t in inner}
-        self.final = {t: self.vocab[t + self.end] for t in final}
-        self.starts = {t[:k] for t in inner + final for k in range(1, len(t) + 1)}
+        # tokens whose own string encodes to them, by their string without the suffix
+        self.inner, self.final, cut = {}, {}, len(self.end)
+        for t, i in self.vocab.items():
+            ends = t.endswith(self.end)
+            bare = t[:-cut] if ends else t
+            if len(bare) == 1 or self.plain(self.symbols(bare, ends)) == [i]:
+                (self.final if ends else self.inner)[bare] = i
+        self.starts = {t[:k] for d in (self.inner, self.final) for t in d for k in range(1, len(t) + 1)}
 
     def plain(self, symbols: list[int]) -> list[int]:
         """Merges in order of rank, leftmost first: the definition of BPE."""
@@ -98,22 +100,11 @@ class TrieBpe:
     def symbols(self, token: str, ends: bool) -> list[int]:
         return [self.vocab[c] for c in token[:-1]] + [self.vocab[token[-1] + self.end * ends]]
 
-    def is_stable(self, token: int) -> bool:
-        """Whether the token's own string encodes to it."""
-        got = self.stable.get(token)
-        if got is None:
-            t = self.text_of[token]
-            ends = t.endswith(self.end)
-            got = self.stable[token] = self.plain(self.symbols(t[:-len(self.end)] if ends else t, ends)) == [token]
-        return got
-
     def may_follow(self, a: int, b: int) -> bool:
         """Whether encoding the strings of ``a`` and ``b`` in a row gives [a, b]."""
-        got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            got = self.fits[a, b] = self._no_merge_between(a, b)
+        if len(self.fits) > 1_000_000:
+            self.fits.clear()
+        got = self.fits[a << 20 | b] = self._no_merge_between(a, b)
         return got
 
     def _no_merge_between(self, a: int, b: int) -> bool:
@@ -137,7 +128,7 @@ class TrieBpe:
     def words(self, sorted_words: list[str]) -> dict[str, list[int]]:
         """Token ids of distinct byte-symbol words given in sorted order."""
         out, before = {}, ""
-        inner, final, starts, follow, stable = self.inner, self.final, self.starts, self.may_follow, self.is_stable
+        inner, final, starts, follow, fits = self.inner.get, self.final.get, self.starts, self.may_follow, self.fits.get
         last: list[int] = [-1]  # last[i]: last token of the first i symbols
         size: list[int] = [0]
         reach: list[int] = [0]  # longest end of those symbols that some token starts with
@@ -153,17 +144,25 @@ class TrieBpe:
                     k -= 1
                 reach.append(k)
                 while True:
-                    t = inner.get(word[i - k:i])
-                    if t is not None and (k == 1 or stable(t)) and (k == i or follow(last[i - k], t)):
-                        break
+                    t = inner(word[i - k:i])
+                    if t is not None:
+                        if k == i:
+                            break
+                        ok = fits(last[i - k] << 20 | t)
+                        if ok or ok is None and follow(last[i - k], t):
+                            break
                     k -= 1
                 last.append(t)
                 size.append(k)
             k = reach[n - 1] + 1
             while True:
-                t = final.get(word[n - k:])
-                if t is not None and (k == 1 or stable(t)) and (k == n or follow(last[n - k], t)):
-                    break
+                t = final(word[n - k:])
+                if t is not None:
+                    if k == n:
+                        break
+                    ok = fits(last[n - k] << 20 | t)
+                    if ok or ok is None and follow(last[n - k], t):
+                        break
                 k -= 1
             ids, i = [t], n - k
             while i:
