@@ -47,7 +47,7 @@ _LOWER[65:91] += np.uint64(32)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that one numpy step takes; longer texts are cut between words.
-SEGMENT = 2 << 20
+SEGMENT = 1 << 20
 _powers: list = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
