@@ -1,8 +1,8 @@
 """Fuzzy line dedup over the whole corpus (operator 7).
 
 Lines are normalised (A-Z lowered, digits as 0, ASCII punctuation and white
-space as gaps). Every distinct normalised line gets a SimHash of its words of
-``BLOCKS`` * ``BITS`` bits. Two lines that agree in one whole block, as lines
+space as gaps). Every distinct normalised line gets a SimHash of its distinct
+words, of ``BLOCKS`` * ``BITS`` bits. Two lines that agree in one whole block, as lines
 with fewer than ``BLOCKS`` differing bits must, and whose lengths fit, are
 compared; an edit similarity of ``SIMILAR`` or more links them. Of every
 connected group of lines, equal ones included, the first occurrence (by
@@ -65,10 +65,16 @@ def line_hashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Blocks (one integer each) of every line's SimHash."""
+    """Blocks (one integer each) of every line's SimHash of its distinct words
+    (else the commonest words would make lines alike)."""
     n = len(first) - 1
     if not n:
         return np.zeros((0, BLOCKS), np.int64)
+    key = (np.repeat(np.arange(n, dtype=np.uint64), np.diff(first)) << np.uint64(40)) | (h >> np.uint64(24))
+    order = np.argsort(key)
+    key, h = key[order], h[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    h, first = h[new], np.searchsorted(key[new] >> np.uint64(40), np.arange(n + 1, dtype=np.uint64))
     count = np.diff(first)
     # eight 8-bit counters ride in one word, so runs hold at most 255 words
     runs = -(-count // 255)
