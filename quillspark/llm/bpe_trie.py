@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Chunks a worker remembers, and texts that share one trie.
-REMEMBER, TRIE_TEXTS = 150_000, 1000
+REMEMBER, TRIE_TEXTS = 60_000, 1000
 SCHEMA = "ids_le binary, decoded string"
 
 
@@ -102,7 +102,7 @@ class TrieBpe:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether encoding the strings of ``a`` and ``b`` in a row gives [a, b]."""
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > 300_000:
             self.fits.clear()
         got = self.fits[a << 20 | b] = self._no_merge_between(a, b)
         return got
