@@ -248,6 +248,9 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     where = lines.join(small_side(cut(members.select(F.col("id").alias("h")).distinct())), "h").groupBy("h").agg(F.min(F.struct("k", "line_no")).alias("at"))
     want = cut(where.groupBy(F.col("at.k").alias("k")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h")).alias("lines")))
 
+    if (want.agg(F.sum(F.size("lines"))).first()[0] or 0) <= 200_000:  # lines, so the bytes are bounded too
+        want = F.broadcast(want)
+
     def texts_of(batches):
         for b in batches:
             data, off = text_buffers(b.column(0))
@@ -263,7 +266,7 @@ def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 out = [b" ".join(plain[s[first[k]] - lo:e[first[k + 1] - 1] - lo].split()) for k in at]
                 yield pa.RecordBatch.from_arrays([pa.array([h for *_, h in ask], pa.int64()), pa.array(out, pa.binary())], names=["id", "line"])
 
-    texts = docs.join(small_side(want), "k").select("text", "lines").mapInArrow(texts_of, "id long, line binary").dropDuplicates(["id"])
+    texts = docs.join(want, "k").select("text", "lines").mapInArrow(texts_of, "id long, line binary").dropDuplicates(["id"])
     sets = members.join(texts, "id").select("cell", "id", "side", "line").repartition("cell").sortWithinPartitions("cell", "id")
     return components(sets.mapInArrow(search_cells, "u long, v long"))
 
@@ -294,5 +297,5 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     kept = F.transform(left, lambda i: F.get(lines, i.cast("int")))
     joined = docs.withColumn("_k", key).join(out.select(F.col("k").alias("_k"), F.col("gone").alias("_gone")), "_k", "left")
     return joined.select(*cols, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col),
-                         F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")))).alias("_n_lines"),
+                         F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F][^\n]*")), F.lit(0)).alias("_n_lines"),
                          F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_gone"))
