@@ -2,11 +2,14 @@
 
 Lines are normalised (A-Z lowered, digits as 0, ASCII punctuation and white
 space as gaps). Every distinct normalised line gets a SimHash of its distinct
-words, of ``BLOCKS`` * ``BITS`` bits. Two lines that agree in one whole block, as lines
-with fewer than ``BLOCKS`` differing bits must, and whose lengths fit, are
-compared; an edit similarity of ``SIMILAR`` or more links them. Of every
-connected group of lines, equal ones included, the first occurrence (by
-document, then line) stays.
+words, of ``BLOCKS`` * ``BITS`` bits. One changed word in ten moves about 30 of
+these bits, so whole blocks alone find few such lines; ``BANDS`` keys more are
+made of the least hashes of its word pairs, ``ROWS`` to a key, and in lines of
+fewer than ``SHORT`` words of the line without one of its words. Two lines that
+agree in one key, as lines with fewer than ``BLOCKS`` differing bits must, and
+whose lengths fit, are compared; an edit similarity of ``SIMILAR`` or more
+links them. Of every connected group of lines, equal ones included, the first
+occurrence (by document, then line) stays.
 
 Scale: occurrences are rows of four numbers; equal lines collapse by hash
 before blocks are made; blocks met by many lines are compared in bounded
@@ -31,6 +34,9 @@ from quillspark.llm.cells import MET, list_groups, pair_groups, pairs_of_runs, r
 from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, small_side, text_buffers, word_hashes, word_spans
 
 BLOCKS, BITS, SIMILAR, MOST, CELL = 8, 28, 0.9, 32, 500
+#: Keys of least pair hashes, hashes to a key, and words from which lines have all of them.
+BANDS, ROWS, SHORT = 14, 4, 10
+KEYS = BLOCKS + BANDS
 #: Width of a length band, as a ratio; lines near a border fall into both.
 BAND = 2.0
 
@@ -39,6 +45,8 @@ _TABLE = _LOWER.copy()
 _TABLE[48:58] = _LOWER[48]
 #: The normalised byte of each byte; gaps are blanks.
 _PLAIN = np.where(_GAP, 32, _TABLE - np.uint64(1)).astype(np.uint8)
+#: Odd factors: each orders the word pairs anew.
+_ODD = mix(np.arange(1 + BANDS * ROWS, dtype=np.uint64), 41) | np.uint64(1)
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
 
 
@@ -64,12 +72,42 @@ def line_hashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(h ^ mix(place.astype(np.uint64), 3), 4), first[:-1]), 5) if len(count) else np.zeros(0, np.uint64)
 
 
+def pair_bands(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Keys of every line's least hashes of neighbouring words. A line of n
+    words, fewer than ``SHORT``, has in the first n columns the line without
+    its first, second, ... word, so that one changed word is always found."""
+    n, count = len(first) - 1, np.diff(first)
+    pair = mix(h, 31)
+    pair[:-1] += h[1:] * _ODD[0]
+    inner = np.ones(len(h), bool)
+    inner[first[1:][count > 1] - 1] = False  # the last word has no right neighbour
+    pair[first[:-1][count == 1]] = mix(h[first[:-1][count == 1]], 32)
+    pair = mix(pair[inner], 33)
+    start = np.concatenate(([0], np.cumsum(np.maximum(count - 1, 1))[:-1]))
+    out = np.empty((n, BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(n, band, np.uint64)
+        for k in range(ROWS):
+            key = mix(key ^ np.minimum.reduceat(pair * _ODD[1 + band * ROWS + k], start), 34)
+        out[:, band] = key
+    line = np.repeat(np.arange(n), count)
+    use = (count < SHORT)[line]
+    if use.any():
+        place = np.arange(len(h)) - first[line]
+        word = mix(h ^ mix(place.astype(np.uint64), 35), 36)
+        rest = np.add.reduceat(word, first[:-1])[line] - word
+        out[line[use], place[use]] = mix(rest[use] ^ mix(count[line[use]].astype(np.uint64), 37), 38)
+    return out.view(np.int64)
+
+
 def simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Blocks (one integer each) of every line's SimHash of its distinct words
-    (else the commonest words would make lines alike)."""
+    """Keys of every line: the blocks (one integer each) of the SimHash of its
+    distinct words (else the commonest words would make lines alike), then
+    its ``pair_bands``."""
     n = len(first) - 1
     if not n:
-        return np.zeros((0, BLOCKS), np.int64)
+        return np.zeros((0, KEYS), np.int64)
+    bands = pair_bands(h, first)
     key = (np.repeat(np.arange(n, dtype=np.uint64), np.diff(first)) << np.uint64(40)) | (h >> np.uint64(24))
     order = np.argsort(key)
     key, h = key[order], h[order]
@@ -92,7 +130,7 @@ def simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
             if len(ones) > n:
                 ones = np.add.reduceat(ones, own)
             bits[:, at:at + 8] = 2 * ones > count[:, None]
-    return bits.reshape(n, BLOCKS, BITS) @ (np.int64(1) << np.arange(BITS, dtype=np.int64))
+    return np.concatenate((bits.reshape(n, BLOCKS, BITS) @ (np.int64(1) << np.arange(BITS, dtype=np.int64)), bands), axis=1)
 
 
 def lengths(first, s, e) -> np.ndarray:
@@ -140,9 +178,9 @@ def similar(a: bytes, b: bytes) -> bool:
 
 
 def blocks_of(lines: list[bytes]) -> np.ndarray:
-    """Blocks of normalised lines."""
+    """Keys of normalised lines."""
     data, off = text_buffers(pa.array(lines, pa.binary()))
-    out = [np.zeros((0, BLOCKS), np.int64)]
+    out = [np.zeros((0, KEYS), np.int64)]
     for i, j in segments(off):
         h, first, _, _ = row_words(data, off, i, j, _GAP, _TABLE)
         out.append(simhash(h, first))
@@ -150,7 +188,7 @@ def blocks_of(lines: list[bytes]) -> np.ndarray:
 
 
 def search_cell(ids, sides, lines, block) -> list[tuple[int, int]]:
-    """Links that connect a cell of normalised lines and their blocks."""
+    """Links that connect a cell of normalised lines and their keys."""
     side, size, out = np.array(sides), np.array([len(x) for x in lines]), []
     label = np.arange(len(ids))
     for i in range(len(ids)):
@@ -206,7 +244,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(docs: DataFrame) -> DataFrame:
-    """``(key, h)``: blocks of distinct lines, as keys to meet under."""
+    """``(key, h)``: keys of distinct lines to meet under."""
     def run(batches):
         seen: set = set()
         for b in batches:
@@ -228,9 +266,8 @@ def block_keys(docs: DataFrame) -> DataFrame:
                     use = np.ones(len(line), bool) if at is low else high > low
                     if not use.any():
                         continue
-                    key = mix(blocks[use].astype(np.uint64) ^ mix(at[use].astype(np.uint64)[:, None] * np.uint64(BLOCKS) + np.arange(BLOCKS, dtype=np.uint64), 21), 22)
-                    n = use.sum() * BLOCKS
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(line[use].view(np.int64), BLOCKS))], names=["key", "h"])
+                    key = mix(blocks[use].astype(np.uint64) ^ mix(at[use].astype(np.uint64)[:, None] * np.uint64(KEYS) + np.arange(KEYS, dtype=np.uint64), 21), 22)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(line[use].view(np.int64), KEYS))], names=["key", "h"])
 
     return docs.select("text").mapInArrow(run, "key long, h long")
 

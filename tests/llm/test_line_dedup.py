@@ -106,5 +106,48 @@ def test_simhash_of_long_lines_counts_every_word():
     assert got[1][0] & 1 == (2 * ones > len(own))
 
 
+def changed(rnd, n, edits, kind):
+    """A line of n words, and it with ``edits`` words replaced, mistyped, taken out or put in."""
+    a = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 8))) for _ in range(n)]
+    b = list(a)
+    for k in sorted(rnd.sample(range(n), edits), reverse=True):
+        if kind == "out":
+            del b[k]
+        elif kind == "in":
+            b.insert(k, "new")
+        elif kind == "typo":
+            at = rnd.randrange(len(b[k]))
+            b[k] = b[k][:at] + "z" + b[k][at + 1:] if b[k][at] != "z" else b[k][:at] + "y" + b[k][at + 1:]
+        else:
+            b[k] = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(len(b[k])))
+    return " ".join(a).encode(), " ".join(b).encode()
+
+
+RECALL = [(6, 1, "typo"), (10, 1, "typo"), (12, 1, "typo"), (12, 1, "new"), (12, 1, "out"), (12, 1, "in"), (20, 1, "new"), (20, 2, "typo"), (20, 2, "new"),
+          (30, 1, "new"), (30, 3, "typo"), (50, 1, "typo"), (50, 3, "new"), (50, 5, "typo"), (100, 5, "new"), (100, 10, "typo")]
+
+
+def recall(n, edits, kind, pairs=400):
+    """Share of the pairs alike by edit distance alone that meet under a key."""
+    rnd = random.Random(f"{n} {edits} {kind}")
+    alike = [(a, b) for a, b in (changed(rnd, n, edits, kind) for _ in range(pairs)) if ld.similar(a, b)]
+    keys = ld.blocks_of([x for p in alike for x in p]).reshape(len(alike), 2, -1)
+    return len(alike), float((keys[:, 0] == keys[:, 1]).any(axis=1).mean())
+
+
+def test_recall_of_edit_similar_lines():
+    for case in RECALL:
+        n, found = recall(*case)
+        assert n >= 50 and found >= 0.9, (case, n, found)
+
+
+def test_one_mistyped_word_goes(spark):
+    rnd = random.Random(11)
+    pairs = [changed(rnd, n, 1, "typo") for n in (6, 10, 12, 15, 20, 30, 50) for _ in range(12)]
+    rows = [(2 * k + s, p[s].decode(), "en", "a") for k, p in enumerate(pairs) for s in (0, 1)]
+    got = {r.doc_id: r._n_gone for r in ld.dedup(docs_frame(spark, rows)).collect()}
+    assert not any(got[2 * k] for k in range(len(pairs))) and sum(got[2 * k + 1] for k in range(len(pairs))) >= 0.95 * len(pairs)
+
+
 def test_nothing(spark):
     assert ld.dedup(docs_frame(spark, [])).collect() == []
