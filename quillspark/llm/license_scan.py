@@ -1,16 +1,20 @@
 """Licence scan with a positional rare-token index (operator 10, native).
 
 The words of a few licence notices form the templates. Their document
-frequencies are counted over the whole corpus; a template's postings are its
-words of highest IDF with their positions. In a file that holds those words,
-the places of each word, less its position in the template, are intersected:
-what remains are the offsets at which the template may stand. An offset counts
-when the template's mandatory key phrases stand there and the share of its
-words found in place reaches ``MIN_SHARE``.
+frequencies are counted over the whole corpus; a template's postings are the
+words of highest IDF of its mandatory key phrases, with their positions. In a
+file that holds those words, the places of each word, less its position in the
+template, are intersected: what remains are the offsets at which the template
+may stand. An offset counts when the template's key phrases stand there and
+the share of its words found in place reaches ``MIN_SHARE``. As the key phrases
+must stand in place anyway, no alignment is lost by asking for their words
+first; words outside of them may differ, whatever their IDF. A template
+without a key phrase is looked for from its rarest places, one more than may
+differ.
 
 Scale: one pass counts a few hundred template words (bounded by the templates,
 and only these counts reach the driver), one pass scans; no text is shuffled,
-and texts without a template's rare words are only searched for them.
+and texts without a template's posted words are only searched for them.
 
 Defined cases: a null or empty text has no words, places or labels and score
 0; repeated rows are scanned each; of words of equal frequency the
@@ -57,16 +61,34 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> d
     return {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}  # one row per template word
 
 
+def _keys(text: str, keys) -> list[tuple[int, list[str]]]:
+    """Each key phrase's words and its first position in the template."""
+    words, out = text.split(), []
+    for key in keys:
+        k = key.split()
+        out.append((next(i for i in range(len(words)) if words[i:i + len(k)] == k), k))
+    return out
+
+
 def postings(templates, frequency: dict[str, int], rare: int = RARE) -> list[list[tuple[str, int]]]:
-    """Per template its ``rare`` words of highest IDF and their first positions."""
+    """Per template the ``rare`` words of highest IDF among those of its key
+    phrases, and their positions: words that stand wherever it stands."""
     out = []
-    for _, text, _ in templates:
-        words = text.split()
-        chosen = sorted(set(words), key=lambda w: (frequency.get(w, 0), w))[:rare]
-        out.append([(w, words.index(w)) for w in chosen])
+    for _, text, keys in templates:
+        must = {(w, at + k) for at, key in _keys(text, keys) for k, w in enumerate(key)}
+        out.append(sorted(must, key=lambda a: (frequency.get(a[0], 0), *a))[:rare])
     return out
 
 
+def proposals(text: str, frequency: dict[str, int], min_share: float) -> list[tuple[str, int]]:
+    """The rarest places of a template, so many that the share of words in
+    place can't reach ``min_share`` without one of them."""
+    words = text.split()
+    places = sorted(((w, k) for k, w in enumerate(words)), key=lambda a: (frequency.get(a[0], 0), *a))
+    may_differ = max((d for d in range(len(words)) if (len(words) - d) / len(words) >= min_share), default=0)
+    return places[:may_differ + 1]
+
+
 def _at(words, i, phrase: list[str]):
     """Whether the phrase's words stand from place ``i`` on."""
     ok = F.lit(True)
@@ -84,7 +106,7 @@ def _before(places, n: int):
 
 
 def _offsets(words, anchors: list[tuple[str, int]]):
-    """Where the template may begin: its rare words stand in their places."""
+    """Where the template may begin: its posted words stand in their places."""
     out = None
     for word, pos in anchors:
         here = _before(_places(words, word), pos)
@@ -114,7 +136,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
     """Counts, places, labels and score of every document."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     vocabulary = sorted({w for _, t, _ in templates for w in t.split()})
-    index = postings(templates, document_frequencies(d, "text", vocabulary), rare)
+    frequency = document_frequencies(d, "text", vocabulary)
+    index = postings(templates, frequency, rare)
+    # per template, sets of words of which one must be there whole
+    sets = [[a] if a else [[x] for x in proposals(t, frequency, min_share)] for a, (_, t, _) in zip(index, templates)]
     d = d.select("doc_id", lower_ascii(F.coalesce("text", F.lit(""))).alias("low"))
 
     def holds(words):
@@ -124,7 +149,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
         return ok
 
     may = F.lit(False)
-    for phrase in [p.split() for p, _ in base] + [[w for w, _ in a] for a in index]:
+    for phrase in [p.split() for p, _ in base] + [[w for w, _ in a] for s in sets for a in s]:
         may = may | holds(phrase)
     # only texts that may hold something are split into words
     d = d.select("doc_id", F.regexp_count("low", F.lit(WORDS)).cast("long").alias("n_words"),
@@ -134,12 +159,15 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
         p = phrase.split()
         starts.append(F.coalesce(F.when(F.array_contains("w", p[-1]), _phrase_starts(F.col("w"), p)), F.array().cast("array<int>")))
     shares = []
-    for (_, text, keys), anchors in zip(templates, index):
-        share = _share(F.col("w"), text.split(), [(text[:text.index(k)].count(" "), k.split()) for k in keys])
-        full = F.lit(True)
-        for word, _ in anchors:
-            full = full & F.array_contains("w", word)
-        shares.append(F.coalesce(F.when(full, F.array_max(F.transform(_offsets(F.col("w"), anchors), share))), F.lit(0.0)))
+    for (_, text, keys), ways in zip(templates, sets):
+        share = _share(F.col("w"), text.split(), _keys(text, keys))
+        best = []
+        for anchors in ways:
+            full = F.lit(True)
+            for word, _ in anchors:
+                full = full & F.array_contains("w", word)
+            best.append(F.coalesce(F.when(full, F.array_max(F.transform(_offsets(F.col("w"), anchors), share))), F.lit(0.0)))
+        shares.append(F.greatest(*best, F.lit(0.0)))
     d = d.select("doc_id", "n_words", F.when(F.col("w").isNotNull(), F.struct(
         *[s.alias(f"b{k}") for k, s in enumerate(starts)], *[s.alias(f"t{k}") for k, s in enumerate(shares)])).alias("f"))
     none = F.array().cast("array<int>")

@@ -54,6 +54,28 @@ def test_matches_brute_force(spark):
     assert got == sorted([(*x[:-1], round(x[-1], 9)) for x in want], key=str)
 
 
+def test_any_word_outside_the_key_phrases_may_differ(spark):
+    rows = [(1, "Licensed under CC BY-NC 3.0", "en", "a")]
+    for _, t, _ in ls.TEMPLATES:  # every single word changed, gone from its end or with one before
+        w = t.split()
+        for k in range(len(w)):
+            rows.append((100 + len(rows), " ".join(["see", *w[:k], "other", *w[k + 1:], "end"]), "en", "a"))
+            rows.append((100 + len(rows), " ".join(w[k:]), "en", "a"))
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in ls.scan(docs_frame(spark, rows)).collect()}
+    assert got[1][5:] == ("cc-by-nc", round(6 / 7, 9))
+    anything = [[] for _ in ls.TEMPLATES]
+    want = {i: expected(t, anything) for i, t, *_ in rows}
+    assert got == {i: (*x[:-1], round(x[-1], 9)) for i, x in want.items()}
+    assert sum(x[-1] > 0.5 for x in want.values()) > 100
+
+
+def test_template_without_key_phrase(spark):
+    templates = (("odd", "one two two three four five six seven eight nine", ()), ("short", "alpha beta", ()))
+    texts = ["one x two three four five y seven eight nine", "one x two three four five y seven z nine", "two two three four five six seven eight nine", "alpha beta", "alpha x", ""]
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in ls.scan(docs_frame(spark, [(k, t, "en", "a") for k, t in enumerate(texts)]), templates=templates).collect()}
+    assert got == {0: ("odd", 0.8), 1: ("", 0.0), 2: ("odd", 0.9), 3: ("short", 1.0), 4: ("", 0.0), 5: ("", 0.0)}
+
+
 def test_native_plan_and_empty_table(spark):
     docs = docs_frame(spark, [])
     assert ls.scan(docs).collect() == []
