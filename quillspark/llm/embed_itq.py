@@ -3,7 +3,9 @@
 Rotations that balance binary codes are learned by ITQ on a bounded sample of
 ``SAMPLE`` vectors; every vector is coded. Substrings of the codes are the
 keys of the multi-index Hamming tables: two codes of 64 bits that differ in
-fewer bits than there are substrings agree in one of them. Vectors that meet
+fewer bits than there are substrings agree in one of them. Vectors of cosine
+0.9 differ in more bits, so ``ROTATIONS`` codes are made, as many as let over
+nine in ten such pairs meet (README). Vectors that meet
 under a key are reranked by the cosine of the original vectors, in blocks of
 ``BLOCK`` against ``BLOCK`` rows, so a key that a third of all rows share is
 compared whole by many tasks. A pair counts in the first table in which it
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import components, cut, mix
 
-SAMPLE, ROTATIONS, ROUNDS, BITS, BLOCK, COSINE = 20_000, 2, 40, 16, 1024, 0.9
+SAMPLE, ROTATIONS, ROUNDS, BITS, BLOCK, COSINE = 20_000, 8, 40, 16, 1024, 0.9
 
 
 def usable(col) -> F.Column:
@@ -89,6 +91,7 @@ def dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     width = max(sorted({len(d) for d in drawn}), key=[len(d) for d in drawn].count)
     mean, projections = learn(unit(np.array([d for d in drawn if len(d) == width])))
     tables = sum(-(-p.shape[1] // bits) for p in projections)
+    narrow = np.uint16 if bits <= 16 else np.int64  # of a substring
 
     def code(batches):
         for b in batches:
@@ -100,7 +103,7 @@ def dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
             n = b.num_rows
             again = lambda a: a.take(pa.array(np.repeat(np.arange(n), tables)))
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), again(b.column(0)),
-                                              again(pa.array([r.tobytes() for r in sub], pa.binary())), again(pa.array([r.tobytes() for r in x], pa.binary()))],
+                                              again(pa.array([r.tobytes() for r in sub.astype(narrow)], pa.binary())), again(pa.array([r.tobytes() for r in x], pa.binary()))],
                                              names=["key", "tab", "row", "code", "x"])
 
     fine = v.where(F.col("fine") & (F.size("v") == width)).select("row", "v")
@@ -117,7 +120,7 @@ def dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
 
         for _, (tab, row, side, codes, x) in runs_of(batches, 5):
             row, side = np.array(row), np.array(side)
-            c, x = np.array([np.frombuffer(y, np.int64) for y in codes]), np.array([np.frombuffer(y, np.float64) for y in x])
+            c, x = np.array([np.frombuffer(y, narrow) for y in codes]), np.array([np.frombuffer(y, np.float64) for y in x])
             p, q = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
             link = x[p] @ x[q].T >= cosine
             link[row[p][:, None] == row[q][None, :]] = False

@@ -36,6 +36,23 @@ def test_links_against_brute_force(spark):
         assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_recall_in_bands_of_cosine(spark):
+    rng = np.random.default_rng(4)
+    bands, pairs = ((0.9, 0.92), (0.92, 0.95), (0.95, 1.0)), 300
+    x = rng.normal(size=(len(bands) * pairs, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cosine = np.concatenate([rng.uniform(lo + 1e-4, hi, pairs) for lo, hi in bands])[:, None]
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)]).astype(np.float32)
+    link = truth(both)
+    assert (link.sum(axis=1) == 1).all()
+    got = {r.vec_id: r for r in embed_itq.dedup(frame(spark, [(k, v.tolist()) for k, v in enumerate(both)]), sample=300).collect()}  # most vectors are not learned from
+    found = np.array([got[k].n_links for k in range(len(x))]).reshape(len(bands), pairs).mean(axis=1)
+    assert (found >= (0.9, 0.95, 0.98)).all(), found
+    assert all((got[k + len(x)].component_id == k) == bool(got[k].n_links) for k in range(len(x)))
+
+
 def test_odd_vectors_link_with_nothing(spark):
     x = data(60, 2, 0)
     rows = [(k, v.tolist()) for k, v in enumerate(x)]
