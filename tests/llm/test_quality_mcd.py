@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -37,6 +38,28 @@ def test_rejects_outliers_and_keeps_the_rest(spark):
     assert all(got[i] for i, *_ in rows)
 
 
+def test_cutoff_is_the_quantile():
+    x = q.CUTOFF  # five degrees of freedom
+    above = math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+    assert abs(above - 1e-6) < 1e-8
+
+
+def test_rejects_an_outlier_on_each_statistic(spark):
+    rnd = random.Random(9)
+    rows = [(i, prose(rnd, rnd.randint(60, 300), 100_000), "en", "a") for i in range(300)]
+    words = [prose(rnd, 2, 100_000) for _ in range(100)]
+    run = prose(rnd, 30, 100_000)
+    odd = [(1000, prose(rnd, 20_000, 10**7), "en", "a"),  # words
+           (1001, " ".join("w" * 9 + w for w in prose(rnd, 150, 100_000).split()), "en", "a"),  # word length
+           (1002, " ".join(w + "$" * (k % 5 == 0) for k, w in enumerate(prose(rnd, 150, 100_000).split())), "en", "a"),  # symbols
+           (1003, "\n".join(words[:70] + rnd.sample(words[:70], 30)), "en", "a"),  # 30 % repeated lines
+           (1004, f"{run} {prose(rnd, 120, 100_000)} {run}", "en", "a")]  # a third of the words repeated
+    got = {r.doc_id: r for r in q.judge(docs_frame(spark, rows + odd)).collect()}
+    assert all(got[i].kept for i, *_ in rows)
+    assert [(i, got[i].base_failed, got[i].kept) for i, *_ in odd] == [(i, False, False) for i, *_ in odd]
+    assert 100 * got[1003].n_dup_lines == 30 * got[1003].n_lines and got[1003].n_repeat_words < 10
+
+
 def test_long_text_and_layout_do_not_matter(spark):
     rnd = random.Random(8)
     rows = [(i, prose(rnd, 80, 10_000), "en", "a") for i in range(90)] + [(500, prose(rnd, 300_000, 10**6), "en", "a")]
