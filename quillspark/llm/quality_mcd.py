@@ -10,8 +10,9 @@ Large groups are estimated as FastMCD does: every group falls by hash into
 subsets of about ``SUBSET`` rows, each subset finds its half of smallest
 determinant by C-steps, the subset estimates are averaged, and one reweighting
 step over all rows of the group gives the final estimate. So no task holds a
-group, however many rows it has, and all rows take part. Groups below
-``MIN_GROUP`` rows share one pooled estimate.
+group, however many rows it has, and all rows take part. Where a group
+has fewer than ``MIN_GROUP`` rows, its rows are judged by the estimate over all
+sources of its language, and where the language has fewer, by the one over all rows.
 
 Defined cases: a null or blank text has no words and fails the base rule; null
 languages and sources form groups of their own; rows that repeat an id are
@@ -176,14 +177,22 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     s = text_stats(d).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
     s = cut(s.withColumn("_row", F.monotonically_increasing_id()))
     v = s.where("not base_failed").select("_row", F.xxhash64("doc_id", "n_words", "word_chars").alias("_hash"), "lang", "source", *[x.alias(f"x{k}") for k, x in enumerate(vector())])
-    size = v.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    small = F.col("n") < min_group
-    size = size.select(F.col("lang").alias("l"), F.col("source").alias("s"),
-                       F.when(small, F.lit("pooled")).otherwise(F.to_json(F.struct(F.col("lang").alias("l"), F.col("source").alias("s")))).alias("grp"), "n")
-    groups = size.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / subset)).alias("parts"))
-    size = cut(size.join(groups, "grp"))
+    size = v.groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("small", F.col("n") < min_group)
+    langs = cut(size.groupBy(F.col("lang").alias("l")).agg((F.sum("n") < min_group).alias("few"), F.max("small").alias("asked")))
+    over_all = langs.where("few").limit(1).count() > 0
+    named = lambda kind, *c: F.concat(F.lit(kind), F.to_json(F.struct(*c)))
+    own, wide = named("group", "lang", "source"), named("lang", "lang")
+    size = size.join(langs, F.col("lang").eqNullSafe(F.col("l"))).select(
+        F.col("lang").alias("l"), F.col("source").alias("s"), "n",
+        F.when(~F.col("small"), own).when(~F.col("few"), wide).otherwise("pooled").alias("judge"),
+        # estimates that the rows take part in
+        F.explode(F.array_compact(F.array(F.when(~F.col("small"), own), F.when(F.col("asked") & ~F.col("few"), wide),
+                                          F.lit("pooled" if over_all else None).cast("string")))).alias("grp"))
+    size = cut(size.withColumn("judged", F.col("grp") == F.col("judge")))
+    groups = cut(size.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / subset)).alias("parts")))
+    size = size.join(groups, "grp")
     v = (v.join(size, v["lang"].eqNullSafe(size["l"]) & v["source"].eqNullSafe(size["s"]))
-         .select("grp", F.pmod("_hash", F.col("parts")).alias("part"), "_row", "_hash", *[f"x{k}" for k in range(DIM)]))
+         .select("grp", "judged", F.pmod("_hash", F.col("parts")).alias("part"), "_row", "_hash", *[f"x{k}" for k in range(DIM)]))
     v = cut(v)
     cols = [f"x{k}" for k in range(DIM)]
     shape = "grp string, part long, " + ", ".join(f"{c} double" for c in _NAMES)
@@ -212,6 +221,7 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     final = spread(sums.select("grp", *means, *covs))
 
     def last(p: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        p = p[p["judged"]]
         dist = _distances(p[cols].to_numpy(), *_unpack(e.iloc[0])) if len(e) else np.zeros(len(p))
         return pd.DataFrame({"_row": p["_row"], "distance": dist})
 

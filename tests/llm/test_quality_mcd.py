@@ -60,6 +60,17 @@ def test_rejects_an_outlier_on_each_statistic(spark):
     assert 100 * got[1003].n_dup_lines == 30 * got[1003].n_lines and got[1003].n_repeat_words < 10
 
 
+def test_small_groups_fall_back_to_their_language(spark):
+    rnd = random.Random(10)
+    long = lambda i, la, s: (i, " ".join(f"longlonglong{w}" for w in prose(rnd, rnd.randint(60, 300), 100_000).split()), la, s)
+    short = lambda i, la, s: (i, prose(rnd, rnd.randint(60, 300), 100_000), la, s)
+    rows = [long(i, "de", rnd.choice([f"s{i % 9}", None])) for i in range(120)] + [short(1000 + i, la, "a") for i in range(200) for la in ("en",)]
+    rows += [long(2000, "en", "b"), short(2001, "de", "s1"), short(2002, "en", "b"), short(2003, "xx", "a"), short(2004, None, None)]
+    got = {r.doc_id: r for r in q.judge(docs_frame(spark, rows), subset=64).collect()}
+    assert len(got) == len(rows) and all(r.distance is not None for r in got.values())
+    assert sorted(i for i, r in got.items() if not r.kept) == [2000, 2001]
+
+
 def test_long_text_and_layout_do_not_matter(spark):
     rnd = random.Random(8)
     rows = [(i, prose(rnd, 80, 10_000), "en", "a") for i in range(90)] + [(500, prose(rnd, 300_000, 10**6), "en", "a")]
