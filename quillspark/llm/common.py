@@ -174,6 +174,15 @@ def small_side(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def free(columns, name: str) -> str:
+    """``name``, with underscores put before it until no column has it (names
+    are compared as Spark does, without regard to case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 _shipped: set = set()
 
 

@@ -103,6 +103,32 @@ def _embeddings() -> str:
         FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN comp ON comp.a = vec_id"""
 
 
+#: crc32 of a blob by the table of all bytes; ``crc`` holds that table.
+CRC_TABLE = """crc AS MATERIALIZED (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(octet_length({0})),
+            lambda i: CAST(('0x' || substr(hex({0}), CAST(2 * i + 1 AS INTEGER), 2)) AS BIGINT))),
+            lambda c, b: xor(c >> 8, crc.t[CAST(xor(c, b) & 255 AS INTEGER) + 1])))"""
+
+
+def _resample() -> str:
+    words = f"""unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w"""
+    count = lambda name, source: f"{name} AS (SELECT k, sum(n) AS n FROM {source} JOIN bucket USING (w) GROUP BY k)"
+    return f"""WITH {CRC_TABLE},
+        d AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, {words} FROM documents) GROUP BY doc_id, w),
+        q AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT {words} FROM benchmark) GROUP BY w),
+        bucket AS MATERIALIZED (SELECT w, {CRC.format("encode(w)")} % 10000 AS k FROM (SELECT w FROM d UNION SELECT w FROM q), crc),
+        {count("s", "d")}, {count("t", "q")},
+        gain AS (SELECT k, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT sum(n) FROM s) + 10000 AS DOUBLE)
+                 / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS g FROM s LEFT JOIN t USING (k)),
+        weighed AS (SELECT doc_id, sum(n) AS n, sum(n * g) AS weight FROM d JOIN bucket USING (w) JOIN gain USING (k) GROUP BY doc_id),
+        scored AS (SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                   CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || doc_id), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+                   FROM documents LEFT JOIN weighed USING (doc_id)),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+        SELECT scored.*, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_link_trust": _url(), "op2_ngram_jaccard": _ngram(), "op3_mix_sources": _mix(), "op5_warc_round_trip": _warc(),
-            "op9_embedding_itq": _embeddings()}
+            "op9_embedding_itq": _embeddings(), "op11_importance_resample": _resample()}

@@ -91,5 +91,28 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark texts, the best tenth ranked."""
+    from quillspark.llm import resample
+
+    docs = table(spark, sf_dir, "documents")
+    gains = resample.gains(docs, table(spark, sf_dir, "benchmark"), ngrams=1)
+    return resample.rank(docs, gains, ngrams=1).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by pattern and by randomness tests."""
+    from quillspark.llm import secret_scan
+
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, periods planted in a tenth."""
+    from quillspark.llm import word_runs
+
+    return word_runs.digests(word_runs.find(table(spark, sf_dir, "documents"), rewrite=word_runs.plant))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
