@@ -129,6 +129,31 @@ def _resample() -> str:
         SELECT scored.*, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)"""
 
 
+def _runs() -> str:
+    """Pairs of equal words q apart make islands, an island and q more words a
+    stretch of period q; of equal stretches the one of smallest period counts."""
+    return f"""WITH {CRC_TABLE},
+        d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w, {CRC.format("encode(CAST(doc_id AS VARCHAR))")} AS h FROM documents, crc),
+        g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g FROM d),
+        a AS (SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a FROM g),
+        p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+        places AS (SELECT *, unnest(range(n)) AS i FROM p),
+        t AS MATERIALIZED (SELECT doc_id, n, i, w[CAST(1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END AS INTEGER)] AS x FROM places),
+        often AS (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS k FROM t),
+        pairs AS (SELECT u.doc_id, u.i, v.i - u.i AS q FROM often u JOIN often v ON u.doc_id = v.doc_id AND u.x = v.x AND v.i > u.i AND 4 * (v.i - u.i) <= u.n
+                  WHERE u.k >= 4 AND v.k >= 4),
+        isle AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM pairs),
+        stretch AS (SELECT doc_id, min(i) AS start, count(*) + q AS length, q FROM isle GROUP BY doc_id, q, isle HAVING count(*) + q >= greatest(6, 4 * q)),
+        run AS MATERIALIZED (SELECT * FROM stretch QUALIFY row_number() OVER (PARTITION BY doc_id, start, length ORDER BY q) = 1),
+        best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, q) = 1),
+        listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS runs FROM run GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM run),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS text FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.start AS BIGINT) AS start, CAST(best.length AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+               CAST(1000 * best.length // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_link_trust": _url(), "op2_ngram_jaccard": _ngram(), "op3_mix_sources": _mix(), "op5_warc_round_trip": _warc(),
-            "op9_embedding_itq": _embeddings(), "op11_importance_resample": _resample()}
+            "op9_embedding_itq": _embeddings(), "op11_importance_resample": _resample(), "op13_periodic_runs": _runs()}
