@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import paste, tokens_of
 from quillspark.operators.counts import distinct_and_rows, n_distinct
-from quillspark.operators.ordered import first_seen_code
+from quillspark.operators.ordered import first_seen_code, ordered_scan
 from quillspark.operators.relational import arrange, join_on
 from quillspark.session import cut_lineage
 
@@ -60,9 +60,17 @@ def words_per(dialogues: DataFrame, keys: Sequence[str], *, line: str = "line",
 def nth_level(df: DataFrame, level: str, k: int, order: Sequence[str], part: Sequence[str] = ()) -> DataFrame:
     """P12/Q22: rows whose ``level`` is the k-th distinct value in order of
     first appearance (``filter(x == unique(x)[k])``), per ``part``."""
-    codes = first_seen_code(df, part, order, level, "__code")
-    codes = codes.where(F.col("__code") == k).drop("__code")
-    return join_on(df, codes, [*part, level], "left_semi")
+    return levels_at(df, {level: k}, order, part)
+
+
+def levels_at(df: DataFrame, at: Mapping[str, int], order: Sequence[str], part: Sequence[str] = ()) -> DataFrame:
+    """Rows whose levels are the ``{level: k}``-th by first appearance, per
+    ``part``. One scan carries each level's first k values along the sequence."""
+    names = {level: f"__first{n}" for n, level in enumerate(at)}
+    d = ordered_scan(df, part, order, firsts={names[level]: (level, k) for level, k in at.items()})
+    for level, k in at.items():
+        d = d.where(F.col(level) == F.get(names[level], F.lit(k - 1)))
+    return d.select(*df.columns)
 
 
 def scene_at(lines: DataFrame, act_no: int, scene_no: int, order: Sequence[str], *, act: str = "akt",
@@ -70,11 +78,7 @@ def scene_at(lines: DataFrame, act_no: int, scene_no: int, order: Sequence[str],
     """Q22: the rows of the ``act_no``-th act and the ``scene_no``-th scene
     (``filter(act == unique(act)[i], scene == unique(scene)[j])``). Both count
     by first appearance over the whole text, the scene not within its act."""
-    out = lines
-    for level, k in ((act, act_no), (scene, scene_no)):
-        codes = first_seen_code(lines, part, order, level, "__code")
-        out = join_on(out, codes.where(F.col("__code") == k).drop("__code"), [*part, level], "left_semi")
-    return out
+    return levels_at(lines, {act: act_no, scene: scene_no}, order, part)
 
 
-__all__ = ["turns_per", "participants_per", "lines_per", "words_per", "nth_level", "scene_at"]
+__all__ = ["turns_per", "participants_per", "lines_per", "words_per", "nth_level", "levels_at", "scene_at"]

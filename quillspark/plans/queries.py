@@ -16,6 +16,7 @@ from quillspark.functions import text as T
 from quillspark.operators import catalog, cooccur, counts, dialogue, ordered, position
 from quillspark.operators import relational as R
 from quillspark.operators import sentiment, structure, weights
+from quillspark.operators.ordered import dense
 from quillspark.operators.tokens import remove_stopwords, unnest_tokens
 from quillspark.plans import fixtures as FX
 from quillspark.plans.inputs import conv_lines, doc_lines, doc_tokens, line_tokens, table
@@ -36,6 +37,8 @@ SEGMENT_END = r" \| "
 ACT_PATTERN = "^(The|Le|Die|El) "
 SCENE_LITERAL = "ing."
 SCENE_FIXES = {"tion": "TION"}
+CONV_ORDER = [dense("turn"), "line_no"]
+CONVS_ORDER = [dense("conv_id"), *CONV_ORDER]
 REPLACE_PATTERN = "th[a-z]"
 DROP_SPEAKERS = ("Akt", "Scene")
 # Words that stand for authors in the catalogue selection.
@@ -74,7 +77,7 @@ def _brand_lines(spark, base):
 
 def _dialogue(spark, base):
     """Conversation lines with turn ids (role as speaker)."""
-    return structure.number_turns(conv_lines(spark, base), ["conv_id"], ["turn", "line_no"],
+    return structure.number_turns(conv_lines(spark, base), ["conv_id"], CONV_ORDER,
                                   speaker="role")
 
 
@@ -149,7 +152,7 @@ def if_else_null(spark, base):
 @register
 def nth_level(spark, base):
     conv = table(spark, base, "conversations").select("conv_id", "turn", "role")
-    return dialogue.nth_level(conv, "role", 2, ["turn"], part=["conv_id"])
+    return dialogue.nth_level(conv, "role", 2, [dense("turn")], part=["conv_id"])
 
 
 # ---- joins -----------------------------------------------------------------
@@ -277,7 +280,7 @@ def _docs_text(spark, base):
 def row_number_all(spark, base):
     """N2: one running line number over all conversations."""
     lines = conv_lines(spark, base).select("conv_id", "turn", "line_no")
-    return ordered.nested_row_number(lines, "conv_id", ["turn", "line_no"], "rownumber")
+    return ordered.nested_row_number(lines, dense("conv_id"), CONV_ORDER, "rownumber")
 
 
 @register
@@ -295,7 +298,7 @@ def decile_counts(spark, base):
     return _decile_counts(spark, base)
 
 
-CONV_ORDER = ["turn", "line_no"]
+
 
 
 @register
@@ -668,7 +671,7 @@ def scene_sizes(spark, base):
 def words_per_role(spark, base):
     lines = conv_lines(spark, base)
     return dialogue.words_per(lines, ["conv_id", "role"], levels={"conv_id": "scene_code", "role": "role_code"},
-                              order=["conv_id", "turn", "line_no"])
+                              order=CONVS_ORDER)
 
 
 def _raw_lexicon(spark, base):
@@ -697,7 +700,7 @@ def sentiment_by_conv(spark, base):
 def sentiment_by_conv_ordered(spark, base):
     """Q21, second form: scene sentiment listed in order of appearance."""
     lines = conv_lines(spark, base)
-    codes = ordered.first_seen_code(lines, [], ["conv_id", "turn", "line_no"], "conv_id", "scene_code")
+    codes = ordered.first_seen_code(lines, [], CONVS_ORDER, "conv_id", "scene_code")
     out = R.join_on(sentiment_by_conv(spark, base), codes, ["conv_id"], "left")
     return R.arrange(out, "scene_code")
 
@@ -705,7 +708,7 @@ def sentiment_by_conv_ordered(spark, base):
 @register
 def scene_at(spark, base):
     lines = conv_lines(spark, base).select("conv_id", "turn", "line_no", "line")
-    return dialogue.nth_level(lines, "conv_id", 5, ["conv_id", "turn", "line_no"])
+    return dialogue.nth_level(lines, "conv_id", 5, CONVS_ORDER)
 
 
 # ---- general paths: tables as stop lists, works of many rows, two levels -----
@@ -717,7 +720,7 @@ def stop_table_counts(spark, base):
     return counts.count_by(remove_stopwords(doc_tokens(spark, base), stop), ["lang", "word"])
 
 
-WORK_ORDER = ["turn", "line_no", "tpos"]
+WORK_ORDER = [*CONV_ORDER, "tpos"]
 
 
 def _work_tokens(spark, base):

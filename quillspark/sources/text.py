@@ -77,12 +77,12 @@ def read_lines(spark: SparkSession, path: str, *, file_col: str = "filename", pa
         raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("__path"), F.col("value").alias("text"))
         d = text_lines(raw, "text", keep=["__path"], line_col="line", number_col="line_no", neighbours=neighbours)
     else:
-        from quillspark.operators.ordered import ordered_scan
+        from quillspark.operators.ordered import dense, ordered_scan
         raw = spark.read.text(path).select(
             F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__split"),
             F.monotonically_increasing_id().alias("__seq"),     # read order inside the split
             F.col("value").alias("line"))
-        d = ordered_scan(raw, ["__path"], ["__split", "__seq"], running={"line_no": (F.lit(1), True)},
+        d = ordered_scan(raw, ["__path"], [dense("__split"), dense("__seq")], running={"line_no": (F.lit(1), True)},
                          shifts={name: ("line", k) for name, k in (neighbours or {}).items()})
     return d.select(*shown, F.col("line_no").cast("int").alias("line_no"), "line", *extra)
 

@@ -1,10 +1,12 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.operators import ordered
+from quillspark.plans.queries import queries
 
 
 def make(spark, n_parts=3, n=40, seed=7, null_rate=0.6):
@@ -198,21 +200,108 @@ def test_many_rows_under_few_order_values_are_spread(uncoalesced):
     assert got.agg(F.max("rn")).first()[0] == 4000
 
 
-def test_table_is_read_and_shuffled_once(spark, tmpdir_path):
-    path = tmpdir_path + "/lines"
-    spark.range(0, 300).select((F.col("id") % 3).alias("part"), F.col("id").alias("turn"), F.col("id").alias("line_no"),
-                               F.col("id").cast("string").alias("line")).write.parquet(path)
-    got = ordered.ordered_scan(spark.read.parquet(path), ["part"], ["turn", "line_no"], running={"rn": (F.lit(1), True)},
-                               shifts={"p": ("line", 1)}, fill_down=["line"])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = got._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") >= 1
-
-
 def test_nested_row_number_keeps_null_sequences(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (3, 1), (10**12, 1)], "part long, ord int")
     got = ordered.nested_row_number(df, "part", ["ord"], "rn")
     assert sorted((r.rn, r.part) for r in got.collect()) == [(1, None), (2, None), (3, 3), (4, 10**12)]
+
+
+#: Analyses over a scan: each reads and deals its rows once.
+ONE_READ = ["line_number", "annotate_structure", "segment_trim", "front_matter", "body_lines", "number_turns", "rank_marked", "row_number_all",
+            "lag_lead", "fill_down", "fill_up", "scene_pick", "scene_at", "nth_level", "rel_position_works"]
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+@pytest.mark.parametrize("name", ONE_READ)
+def test_final_adaptive_plan_reads_and_deals_rows_once(spark, name, broadcast):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df = queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "isFinalPlan=true" in plan and "RoundRobin" not in plan
+    # a scan deals its rows by their block (struct k with field b): once for each scan of the analysis
+    scans = 2 if name == "scene_pick" else 1
+    dealt = set(re.findall(r"- Exchange hashpartitioning\(k#\d+, \d+\), REPARTITION_BY_COL, \[plan_id=(\d+)\]", plan))
+    assert plan.count("FileScan") == 1 and len(dealt) == scans and plan.count("ReusedExchange") >= scans
+
+
+def test_source_rows_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 5000, numPartitions=4).selectExpr("cast(id % 3 AS int) part", "cast(id AS int) ord", "cast(id AS string) v").mapInArrow(count, "part int, ord int, v string")
+    got = ordered.ordered_scan(df, ["part"], ["ord"], fill_down=["v"], running={"n": (F.lit(1), True)}, shifts={"p": ("v", 1)}, group_total="tot", block_size=100)
+    assert got.select("part", "n").count() == 5000
+    seen.value = 0
+    got.select("part", "n", "p").write.format("noop").mode("overwrite").save()
+    assert seen.value == 5000
+
+
+def spaced(spark, n, step):
+    return spark.range(0, n).select(F.lit(1).alias("part"), (F.col("id") * step + F.pmod(F.xxhash64("id"), F.lit(step))).alias("at"), F.col("id"))
+
+
+@pytest.mark.parametrize("step", [10**6, 10**12])
+def test_million_spaced_keys_are_spread(uncoalesced, step):
+    """Rows and summaries of every step of the scan, counted by task."""
+    spark, n = uncoalesced, 10**6
+    df = spaced(spark, n, step)
+    got = ordered.number_rows(df, ["part"], ["at"], "rn")
+    assert got.agg(F.max(F.abs(F.col("rn") - F.col("id") - 1))).first()[0] == 0
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < n / 4
+    # groups of a level: blocks of the level below under one value of the next coarser block
+    width = ordered.DEFAULT_BLOCK
+    for level in (1, 2, 3):
+        blocks = df.select(F.expr(f"at div {width ** level}").alias("b")).distinct()
+        group = F.lit(0) if level == 3 else F.expr(f"b div {width}")
+        assert blocks.groupBy(group.alias("g")).count().agg(F.max("count")).first()[0] <= width
+
+
+def test_order_that_is_no_integer(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", None]), f"k{i:04d}", float(i) / 3, i, rnd.choice([None, f"v{i}"])) for i in range(300)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "part string, key string, x double, i int, v string").withColumn("ts", F.timestamp_micros(F.col("i").cast("long") * 86_400_000_123))
+    w = Window.partitionBy("part").orderBy("i")
+    want = sorted(map(str, df.select("part", "i", F.row_number().over(w).alias("n"), F.lag("i", 2).over(w).alias("p"),
+                                     F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("v")).collect()))
+    for order in (["key"], ["x"], ["ts"], ["key", "i"]):
+        got = ordered.ordered_scan(df, ["part"], order, running={"n": (F.lit(1), True)}, shifts={"p": ("i", 2)}, fill_down=["v"], block_size=16)
+        assert got.columns == [*df.columns, "n", "p"]
+        assert sorted(map(str, got.select("part", "i", "n", "p", "v").collect())) == want
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_first_different_values(spark, block):
+    rnd = random.Random(block)
+    rows = [(rnd.choice([1, 2, None]), o, i, rnd.choice(["a", "b", "c", "d", None])) for o in range(8) for i in range(9)]
+    df = spark.createDataFrame(rows, "part int, o long, i int, v string")
+    for order in (["o", "i"], [ordered.dense("o"), "i"]):
+        got = ordered.ordered_scan(df, ["part"], order, firsts={"f": ("v", 3), "g": ("o", 2)}, group_total="n", block_size=block).collect()
+        for r in got:
+            mine = [x for x in rows if x[0] == r.part]
+            assert r.f == list(dict.fromkeys(x[3] for x in mine if x[3]))[:3] and r.g == list(dict.fromkeys(x[1] for x in mine))[:2] and r.n == len(mine)
+        assert len(got) == len(rows)
+
+
+def test_negative_and_extreme_order_values(spark):
+    ends = [-2**63, -2**63 + 1, -2**40, -65_537, -65_536, -1, 0, 1, 65_535, 65_536, 2**40, 2**63 - 1]
+    df = spark.createDataFrame([(1, x, str(x)) for x in ends], "part int, at long, v string")
+    for block in (2, 1 << 16):
+        got = ordered.ordered_scan(df, ["part"], ["at"], running={"n": (F.lit(1), True)}, shifts={"p": ("v", 1)}, block_size=block)
+        assert [(r.at, r.n, r.p) for r in got.orderBy("n").collect()] == [(x, k + 1, str(ends[k - 1]) if k else None) for k, x in enumerate(ends)]
+
+
+def test_names_of_the_scan_do_not_clash(spark):
+    df = spark.createDataFrame([(1, 1, "a", 5), (1, 2, None, 6)], "k int, o0 int, c0000 string, zz int")
+    got = ordered.ordered_scan(df, ["k"], ["o0"], fill_down=["c0000"], running={"s0": (F.col("zz"), True)}, shifts={"i": ("zz", 1)}, group_total="total")
+    assert [tuple(r) for r in got.orderBy("o0").collect()] == [(1, 1, "a", 5, 5, None, 2), (1, 2, "a", 6, 11, 5, 2)]
