@@ -10,9 +10,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a token is a run of letters/digits, optionally joined by an
-# apostrophe (straight or typographic) to a further run. Lower-cased first.
-TOKEN_PATTERN = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+# Word segments of the Unicode word-break rules, as one pattern of character
+# classes. The classes' members.
+# Marks and format characters belong to the character before them.
+_EXTEND = r"\p{M}\p{Cf}&&[^\x{200B}]"
+_JAPANESE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\x{3031}-\x{3035}\x{30FC}\x{FF70}"
+_LETTER = rf"[a-z[\p{{L}}\p{{Nl}}&&[^{_JAPANESE}]]]"
+_DIGIT = r"[\p{Nd}\x{66B}]"
+_JOINER = r"\p{Pc}\x{202F}"  # underscores and the like
+_MID_BOTH = r".'\x{2018}\x{2019}\x{2024}\x{FE52}\x{FF07}\x{FF0E}"
+_MID_LETTER = rf"[{_MID_BOTH}\x{{B7}}\x{{387}}\x{{55F}}\x{{5F4}}\x{{2027}}\x{{FE13}}]"
+_MID_DIGIT = rf"[{_MID_BOTH},;\x{{37E}}\x{{589}}\x{{60C}}\x{{60D}}\x{{66C}}\x{{7F8}}\x{{2044}}\x{{FE10}}\x{{FE14}}\x{{FE50}}\x{{FE54}}\x{{FF0C}}\x{{FF1B}}]"
+
+
+def _word_pattern() -> str:
+    more, joiners = rf"[{_EXTEND}]*+", rf"[{_JOINER}[{_EXTEND}]]*+"
+    # letters (digits) with their marks, and those that one mark of the middle joins
+    letters = rf"{_LETTER}[a-z[\p{{L}}\p{{Nl}}{_EXTEND}&&[^{_JAPANESE}]]]*+(?:{_MID_LETTER}{more}{_LETTER}[a-z[\p{{L}}\p{{Nl}}{_EXTEND}&&[^{_JAPANESE}]]]*+)*+"
+    digits = rf"{_DIGIT}[{_DIGIT}[{_EXTEND}]]*+(?:{_MID_DIGIT}{more}{_DIGIT}[{_DIGIT}[{_EXTEND}]]*+)*+"
+    joiner = rf"[{_JOINER}]{more}"
+    katakana = rf"[\p{{IsKatakana}}\x{{3031}}-\x{{3035}}\x{{30FC}}\x{{FF70}}][\p{{IsKatakana}}\x{{3031}}-\x{{3035}}\x{{30FC}}\x{{FF70}}{_EXTEND}]*+"
+    single = rf"[\p{{IsHan}}\p{{IsHiragana}}]{more}"
+    # most words are plain letters before a blank or a mark that joins nothing
+    plain = r"[a-zß-öø-ÿ]++(?=[\x00-\x20,;:!?\"()|/-]|\z|\.(?:[\x00-\x20]|\z))"
+    whole = rf"(?:[{_JOINER}]{joiners})?(?:{letters}|{digits})(?:{letters}|{digits}|{joiner})*+|(?:{joiner}){{2,}}+|{katakana}|{single}"
+    # a few marks before a token are passed in one step
+    return rf"[\x00-\x20.,;:!?\"()|/-]{{0,3}}+({plain}|{whole})"
+
+
+#: A token: a segment of letters, digits and joiners; a mark of the middle stands
+#: between letters (don't, e.g) or digits (3.14, 1,000). Joiners alone make a token from
+#: two on. Ideographs and hiragana stand alone, katakana in runs. Lower-cased first.
+#: Group 1 is the token.
+TOKEN_PATTERN = _word_pattern()
 
 
 def _c(col) -> Column:
@@ -21,7 +51,7 @@ def _c(col) -> Column:
 
 def tokens_of(col) -> Column:
     """Array of lower-cased word tokens of a text column (NULL/'' give [])."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 1)
 
 
 def str_detect(col, pattern: str) -> Column:

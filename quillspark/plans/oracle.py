@@ -15,8 +15,16 @@ def _s(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-# Fixed value: what a token is (see the README), written down a second time.
-PAT = _s(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*")
+# What a token is (see the README), written down a second time, character by character.
+_L = r"(?:[^\P{L}\p{Han}\p{Hiragana}\p{Katakana}\x{30FC}\x{FF70}\x{3031}-\x{3035}]|\p{Nl})(?:\p{M}|[^\P{Cf}\x{200B}])*"
+_N = r"[\p{Nd}\x{66B}](?:\p{M}|[^\P{Cf}\x{200B}])*"
+_J = r"[\p{Pc}\x{202F}](?:\p{M}|[^\P{Cf}\x{200B}])*"
+_ML = r"[.'\x{2018}\x{2019}\x{2024}\x{FE52}\x{FF07}\x{FF0E}\x{B7}\x{387}\x{55F}\x{5F4}\x{2027}\x{FE13}](?:\p{M}|[^\P{Cf}\x{200B}])*"
+_MN = (r"[.'\x{2018}\x{2019}\x{2024}\x{FE52}\x{FF07}\x{FF0E},;\x{37E}\x{589}\x{60C}\x{60D}\x{66C}\x{7F8}\x{2044}\x{FE10}\x{FE14}\x{FE50}\x{FE54}\x{FF0C}\x{FF1B}]"
+       r"(?:\p{M}|[^\P{Cf}\x{200B}])*")
+_WORD = f"(?:{_L}(?:(?:{_ML})?{_L})*|{_N}(?:(?:{_MN})?{_N})*)"
+_KANA = r"[\p{Katakana}\x{30FC}\x{FF70}\x{3031}-\x{3035}](?:[\p{Katakana}\x{30FC}\x{FF70}\x{3031}-\x{3035}]|\p{M}|[^\P{Cf}\x{200B}])*"
+PAT = _s(f"(?:{_J})*{_WORD}(?:{_WORD}|{_J})*|(?:{_J})" + "{2,}" + f"|{_KANA}|" + r"[\p{Han}\p{Hiragana}](?:\p{M}|[^\P{Cf}\x{200B}])*")
 STOP = f"(SELECT word FROM {FX.sql_values([(w,) for w in FX.STOP_WORDS], ['word'])})"
 POLARITY = FX.sql_values([(w, "positive") for w in FX.POSITIVE] + [(w, "negative") for w in FX.NEGATIVE],
                          ["word", "sentiment"])
