@@ -17,9 +17,14 @@ from quillspark.sources.text import text_lines
 DOC_KEYS = ["doc_id", "lang", "source"]
 
 
+#: Session setting: tasks to which the texts of ``documents`` are dealt after reading, for
+#: files of few row groups (``load_table``'s ``partitions``); unset, the file's splits.
+PARTITIONS = "quillspark.documents.partitions"
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A driver table."""
-    return load_table(spark, base, name)
+    return load_table(spark, base, name, partitions=spark.conf.get(PARTITIONS, None) if name == "documents" else None)
 
 
 def doc_lines(spark: SparkSession, base: str, neighbours: dict | None = None) -> DataFrame:
@@ -45,4 +50,4 @@ def conv_lines(spark: SparkSession, base: str) -> DataFrame:
     return text_lines(conv, "text")
 
 
-__all__ = ["DOC_KEYS", "table", "doc_lines", "doc_tokens", "line_tokens", "conv_lines"]
+__all__ = ["DOC_KEYS", "PARTITIONS", "table", "doc_lines", "doc_tokens", "line_tokens", "conv_lines"]

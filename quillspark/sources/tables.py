@@ -9,9 +9,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, base: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A stored table: ``<base>/<name>.parquet`` (R's ``load``/``data``).
+
+    One task reads one split, at least a row group. Where a table has few row
+    groups and the work on its rows is heavy, ``partitions`` deals the rows read
+    to that many tasks (one shuffle of the columns asked for).
+    """
+    d = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return d.repartition(int(partitions)) if partitions else d
 
 
 def read_csv_header(spark: SparkSession, path: str, schema: StructType, *,

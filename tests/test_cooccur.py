@@ -50,3 +50,29 @@ def test_hot_context_in_chunks(spark):
     df = spark.createDataFrame([(1, f"m{i}") for i in range(300)], "ctx int, m string")
     got = cooccur.cooccurrence(df, ["ctx"], "m", chunk=40)
     assert got.count() == 300 * 299 and got.agg(F.max("n")).first()[0] == 1
+
+
+def test_large_context_needs_no_join(spark):
+    df = spark.createDataFrame([(1, f"m{i:04d}") for i in range(600)] + [(c, f"m{k}") for c in range(2, 50) for k in range(3)], "ctx int, m string")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = cooccur.cooccurrence(df, ["ctx"], "m", chunk=50)._jdf.queryExecution().executedPlan().toString()
+        sets = cooccur.member_sets(df, ["ctx"], "m", "__m")
+        assert sets.where("ctx = 1").selectExpr("size(__m) AS n").first().n == 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 3
+    got = cooccur.cooccurrence(df, ["ctx"], "m", chunk=50)
+    assert got.count() == 600 * 599 + 6 and got.where("member_a >= 'm0000' and length(member_a) = 5").agg(F.max("n")).first()[0] == 1
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 512])
+def test_share_and_other_member_types(spark, chunk):
+    rnd = random.Random(chunk)
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice([1, 2, 3, 4, None])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "ctx int, m int")
+    want = brute(rows)
+    heads = Counter(m for _, m in {(c, m) for c, m in rows if m is not None})
+    got = cooccur.cooccurrence_share(df, ["ctx"], "m", chunk=chunk).collect()
+    assert {(r.member_a, r.member_b): (r.n, r.n_a, r.share) for r in got} == {(a, b): (n, heads[a], n / heads[a]) for (a, b), n in want.items()}
