@@ -97,3 +97,11 @@ def cooccurrence_share(df: DataFrame, context: Sequence[str], member: str, *,
     return out if min_share is None else out.where(F.col("share") > min_share)
 
 
+def graph_vertices(edges: DataFrame, src: str, dst: str, name: str = "name") -> DataFrame:
+    """R3: vertices of an edge list, each endpoint once."""
+    return (edges.select(F.col(src).alias(name))
+                 .union(edges.select(F.col(dst).alias(name))).distinct())
+
+
+__all__ = ["members_of", "member_sets", "cooccurrence", "context_counts", "cooccurrence_share",
+           "graph_vertices", "network_vertices", "DEFAULT_CHUNK"]
