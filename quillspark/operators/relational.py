@@ -46,6 +46,30 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mapping[str
     return out.drop(*renamed.values())
 
 
+#: A key is hot that holds more than one in this many rows; so there are fewer hot keys than that.
+HOT_PARTS = 10_000
+
+
+def join_totals(left: DataFrame, totals: DataFrame, key: str, rows: str, every: Column, *, parts: int = HOT_PARTS) -> DataFrame:
+    """Joins to each row the ``totals`` of its ``key`` (one row per key, made from
+    ``left`` itself; its column ``rows`` counts the key's rows, ``every`` all rows).
+
+    Keys with more than one in ``parts`` of all rows are fewer than ``parts``, however
+    large the table: these are broadcast, and their rows are dealt by a hash
+    of the row and not by key. All other rows are joined on the key. NULL is a key.
+    """
+    values = [c for c in totals.columns if c != key]
+    hot = totals.where(F.col(rows) * parts > every)
+    hot = F.broadcast(hot.select(F.col(key).alias("__hk"), F.struct(*values).alias("__hot")))
+    d = left.join(hot, left[key].eqNullSafe(hot["__hk"]), "left").drop("__hk")
+    # rows of hot keys meet nothing here; the hash, of the key or of the row, deals them
+    cold = F.col("__hot").isNull()
+    d = d.withColumns({"__key": F.when(cold, F.col(key)), "__deal": F.when(cold, F.xxhash64(key)).otherwise(F.xxhash64(*left.columns))})
+    rest = totals.select(F.col(key).alias("__ck"), F.xxhash64(key).alias("__cd"), F.struct(*values).alias("__cold"))
+    d = d.join(rest, d["__key"].eqNullSafe(rest["__ck"]) & (d["__deal"] == rest["__cd"]), "left")
+    return d.select(*left.columns, *[F.coalesce(F.col("__hot")[c], F.col("__cold")[c]).alias(c) for c in values])
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all columns the two tables share (dplyr's default ``by``)."""
     common = [c for c in left.columns if c in right.columns]
@@ -110,5 +134,5 @@ def first_n(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.orderBy(F.col(col).asc_nulls_last()).limit(n)
 
 
-__all__ = ["lookup", "join_on", "natural_join", "semi_in", "anti", "arrange",
+__all__ = ["lookup", "join_on", "join_totals", "natural_join", "semi_in", "anti", "arrange",
            "union_labelled", "union_by_name", "pivot_fill", "first_n"]

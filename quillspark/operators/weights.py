@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.operators.relational import join_on
+from quillspark.operators.relational import join_on, join_totals
 
 
 def tf_idf(counts: DataFrame, term: str, doc: str, n: str = "n") -> DataFrame:
     """``bind_tf_idf(term, doc, n)``: adds ``tf``, ``idf``, ``tf_idf``.
 
     tf = n / sum(n) in the document; idf = ln(#documents / #documents holding
-    the term). ``counts`` has one row per (doc, term). Document totals and
-    document frequencies are aggregates joined back (no window over a whole
-    document or term, so a hot term or a long document does not land in one
-    task); the document count is a scalar subquery.
+    the term). ``counts`` has one row per (doc, term) and counts of 1 or more.
+    Document totals and document frequencies are aggregates joined back (no
+    window over a whole document or term), the latter by ``join_totals``, so a
+    term that every document holds is spread over many tasks. The numbers of
+    documents and of rows are one scalar subquery.
     """
     # Every branch reads ``n`` through the same test (``n > 0``, true for
     # counts), so the optimiser keeps the (doc, term, n) aggregate intact in
@@ -25,10 +26,11 @@ def tf_idf(counts: DataFrame, term: str, doc: str, n: str = "n") -> DataFrame:
     has = F.col(n) > 0
     doc_tot = counts.groupBy(doc).agg(F.sum(n).alias("__doc_total"))
     term_df = counts.groupBy(term).agg(F.count(F.when(has, F.lit(1))).alias("__doc_freq"))
-    n_docs = counts.agg(F.count_distinct(F.when(has, F.col(doc)))
-                        + F.coalesce(F.max(F.when(has, F.col(doc).isNull().cast("int"))), F.lit(0))
-                        ).scalar()
-    out = join_on(join_on(counts, doc_tot, [doc]), term_df, [term])
+    whole = counts.agg(F.struct((F.count_distinct(F.when(has, F.col(doc)))
+                                 + F.coalesce(F.max(F.when(has, F.col(doc).isNull().cast("int"))), F.lit(0))).alias("docs"),
+                                F.count(F.when(has, F.lit(1))).alias("rows")).alias("whole")).scalar()
+    n_docs = whole["docs"]
+    out = join_totals(join_on(counts, doc_tot, [doc]), term_df, term, "__doc_freq", whole["rows"])
     out = out.withColumns({
         "tf": F.col(n) / F.col("__doc_total"),
         "idf": F.log(n_docs / F.col("__doc_freq")),

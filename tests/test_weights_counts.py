@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import counts, weights
+from quillspark.operators import counts, relational, weights
 from quillspark.operators.tokens import remove_stopwords, unnest_tokens
 
 
@@ -58,3 +58,33 @@ def test_compare_groups_equals_compare_vocab(spark):
     cy = counts.count_by(t.where(F.col("g") == "y"), ["word"])
     two = counts.compare_vocab(cx, cy, "X", "Y")
     assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in two.collect())
+
+
+def test_term_of_every_document_is_spread(spark):
+    """With neither skew splitting nor automatic broadcast."""
+    docs_n = 3000
+    c = spark.range(docs_n).selectExpr("cast(id AS string) AS doc", "explode(array('the', concat('w', id % 50))) AS word", "1L AS n")
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        w = weights.tf_idf(c, "word", "doc")
+        parts = w.groupBy("word", F.spark_partition_id().alias("p")).agg(F.count("*").alias("count"), F.sum("tf_idf")).where("word = 'the'").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(parts) == 8 and max(r["count"] for r in parts) < docs_n / 4
+    got = {(r.doc, r.word): (r.tf, r.idf) for r in w.collect()}
+    assert len(got) == 6000 and got["7", "the"] == (0.5, 0.0) and got["7", "w7"] == (0.5, math.log(50))
+
+
+def test_join_totals_by_hot_and_null_keys(spark):
+    rows = [("a", i) for i in range(50)] + [(None, i) for i in range(40)] + [(f"k{i}", i) for i in range(20)]
+    left = spark.createDataFrame(rows, "key string, v int")
+    totals = left.groupBy("key").agg(F.sum("v").alias("s"), F.count("*").alias("r"))
+    sums = lambda key: [v for k, v in rows if k == key]
+    want = sorted(str((k, v, sum(sums(k)), len(sums(k)))) for k, v in rows)
+    for parts in (1, 2, 3, 5, 10_000):  # no key hot, some, all
+        got = relational.join_totals(left, totals, "key", "r", F.lit(len(rows)), parts=parts)
+        assert got.columns == ["key", "v", "s", "r"] and sorted(str(tuple(r)) for r in got.collect()) == want
