@@ -338,12 +338,19 @@ def nested_row_number(df: DataFrame, outer: str, inner_order, name: str = "row_n
     return out.withColumn(name, F.col(_P + "off") + F.col(_P + "rin")).select(*df.columns, name)
 
 
-def alphabetical_code(df: DataFrame, level: str, name: str = "code") -> DataFrame:
+def alphabetical_code(df: DataFrame, level: str, name: str = "code", *, collation: str | None = None) -> DataFrame:
     """Codes of the distinct values of ``level`` in sorted order (1, 2, ...),
     ``as.numeric(factor(x))`` with R's default (sorted) levels; NULL is no
-    level. No step holds all values in one task.
+    level. Text is in code-point order (R's C locale) or, as R sorts levels in any
+    other locale, in that of a Spark ``collation`` (``"en"``, ``"de"``, ...); values
+    that the collation takes as equal stay levels of their own, by code point.
+    No step holds all values in one task.
     """
-    return sorted_row_number(df.select(level).where(F.col(level).isNotNull()).distinct(), [], [level], name)
+    d = df.select(level).where(F.col(level).isNotNull()).distinct()
+    if collation is None:
+        return sorted_row_number(d, [], [level], name)
+    d = d.withColumn(_P + "sort", F.collate(level, collation))
+    return sorted_row_number(d, [], [_P + "sort", level], name).select(level, name)
 
 
 def first_seen_code(df: DataFrame, part, order, level: str, name: str = "code") -> DataFrame:

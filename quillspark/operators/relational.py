@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
 
 def lookup(spark, data, schema) -> DataFrame:
     """A lookup table (stop list, lexicon) ready to join: a DataFrame as it
@@ -88,18 +90,21 @@ def anti(df: DataFrame, other: DataFrame, keys) -> DataFrame:
     return join_on(df, other, keys, "left_anti")
 
 
-def arrange(df: DataFrame, *keys) -> DataFrame:
-    """``arrange``: NULL last in both directions. Keys are names (ascending)
-    or ``("name", "desc")`` pairs."""
+def arrange(df: DataFrame, *keys, collation: str | None = None) -> DataFrame:
+    """``arrange``: NULL last in both directions. Keys are names (ascending),
+    ``("name", "desc")`` pairs or columns. Text is in code-point order; with a
+    ``collation`` (a Spark one: ``"UNICODE"``, ``"en"``, ``"de"``, ...) named text
+    columns follow the locale, and texts equal there the code points."""
     cols = []
     for k in keys:
-        if isinstance(k, tuple):
-            name, direction = k
-            cols.append(F.col(name).desc_nulls_last() if direction == "desc" else F.col(name).asc_nulls_last())
-        elif isinstance(k, Column):
+        if isinstance(k, Column):
             cols.append(k)
-        else:
-            cols.append(F.col(k).asc_nulls_last())
+            continue
+        name, direction = k if isinstance(k, tuple) else (k, "asc")
+        by = [F.col(name)]
+        if collation and isinstance(df.schema[name].dataType, StringType):
+            by.insert(0, F.collate(name, collation))
+        cols += [c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last() for c in by]
     return df.orderBy(*cols)
 
 

@@ -260,6 +260,10 @@ SQL: dict[str, str] = {
         FROM (SELECT conv_id, role, min(turn) AS ft FROM conversations WHERE role IS NOT NULL GROUP BY 1, 2)""",
     "alpha_code": f"""SELECT word, dense_rank() OVER (ORDER BY word) AS code
         FROM (SELECT DISTINCT word FROM {DOC_TOKENS} WHERE word IS NOT NULL)""",
+    "alpha_code_locale": f"""SELECT word, row_number() OVER (ORDER BY icu_sort_key(word, '{Q.LOCALE}'), word) AS code
+        FROM (SELECT DISTINCT word FROM {DOC_TOKENS} WHERE word IS NOT NULL)""",
+    "sort_locale": f"""SELECT doc_id, lang, NULLIF(regexp_extract(text, '^\\s*(\\S+)', 1), '') AS first FROM documents
+        ORDER BY icu_sort_key(first, '{Q.LOCALE}') NULLS LAST, first, lang DESC NULLS LAST, doc_id""",
     "reorder_by_mean": """SELECT p_brand, CAST(sum(CAST(p_retailprice AS DECIMAL(12,2))) AS DOUBLE)
         / count(p_retailprice) AS mean FROM part GROUP BY p_brand ORDER BY mean, p_brand""",
     "word_counts": f"""SELECT lang, word, count(*) AS n FROM {DOC_TOKENS} WHERE {NOT_STOP}

@@ -46,6 +46,8 @@ AUTHOR_PATTERNS = ("^[a-e]", "e")
 # ln() of the JVM and of C libraries may differ in the last bit; values
 # built on it are reported rounded to this many decimals.
 LN_DIGITS = 12
+# Locale of the sorted analyses.
+LOCALE = "de"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -469,6 +471,19 @@ def alpha_code(spark, base):
     return ordered.alphabetical_code(doc_tokens(spark, base), "word", "code")
 
 
+@register
+def alpha_code_locale(spark, base):
+    """F17 in a locale's order: accents and case as R's default levels have them."""
+    return ordered.alphabetical_code(doc_tokens(spark, base), "word", "code", collation=LOCALE)
+
+
+@register
+def sort_locale(spark, base):
+    """O1 in a locale's order: capitalised and accented first words of the documents."""
+    d = _docs(spark, base).select("doc_id", "lang", T.first_word("text").alias("first"))
+    return R.arrange(d, "first", ("lang", "desc"), "doc_id", collation=LOCALE)
+
+
 @register
 def reorder_by_mean(spark, base):
     return weights.mean_order(table(spark, base, "part"), "p_brand", _dec("p_retailprice"))

@@ -21,22 +21,52 @@ def load_table(spark: SparkSession, base: str, name: str, partitions: int | None
 
 
 def read_csv_header(spark: SparkSession, path: str, schema: StructType, *,
-                    blank_as_empty=(), multi_line: bool = True) -> DataFrame:
+                    blank_as_empty=(), multi_line: bool = True, whole_files: bool = False) -> DataFrame:
     """CSV with a header (``read.csv``); ``NA`` reads as NULL, doubled quotes
-    as one, and quoted fields may hold line breaks (``multi_line=False`` lets
-    files without such fields be read in splits).
+    as one, and quoted fields may hold line breaks.
+
+    Files are read line by line in splits, so one file of any size is read by
+    many tasks: the number of quotes before a line tells whether it goes on a
+    quoted field, and the lines of a record are put together again. For that a
+    quote may only stand in a quoted field. ``whole_files=True`` lets Spark read
+    each file in one task instead (many small files); ``multi_line=False`` says
+    that no field holds a line break. All give the same rows.
 
     Spark reads a blank field as NULL too, while R keeps ``""``. Columns
     listed in ``blank_as_empty`` (where the file holds no ``NA``) get R's
     ``""`` back.
     """
-    df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
-          .option("nullValue", "NA").csv(path))
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "nullValue": "NA"}
+    if multi_line and not whole_files:
+        df = _csv_records(spark, path, schema, options)
+    else:
+        df = spark.read.schema(schema).options(**options).csv(path)
     if blank_as_empty:
         df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in blank_as_empty})
     return df
 
 
+def _csv_records(spark: SparkSession, path: str, schema: StructType, options: dict) -> DataFrame:
+    from quillspark.operators.ordered import dense, ordered_scan
+    raw = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"))
+    order = [dense("split"), dense("seq")]
+    quotes = F.length("line") - F.length(F.translate("line", '"', ""))
+    lines = ordered_scan(raw, ["path"], order, running={"before": (quotes, False)})
+    # a blank line between records is no record
+    starts = (F.col("before") % 2 == 0) & ~F.col("line").rlike(r"^\r?$")
+    lines = ordered_scan(lines.select("path", *order, "line", (F.col("before") % 2 == 1).alias("inside"), starts.cast("int").alias("starts")),
+                         ["path"], order, running={"record": (F.col("starts"), True)})
+    lines = lines.where((F.col("starts") == 1) | F.col("inside"))
+    # lines of one record come together by its number; most records are one line
+    parts = F.array_sort(F.collect_list(F.struct("split", "seq", "line")))
+    records = lines.groupBy("path", "record").agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("text"))
+    text = F.regexp_replace(F.regexp_replace("text", r"\r\n", "\n"), r"\r\z", "")  # line ends in fields as the whole-file reader has them
+    parsed = F.from_csv(text, F.lit(schema.simpleString()[7:-1].replace(":", " ")), {k: str(v) for k, v in options.items() if k != "header"})
+    return records.where("record > 1").select(parsed.alias("row")).select("row.*")
+
+
 def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Header-less tab-separated file, no quoting (``read_tsv(col_names=F)``)."""
     return (spark.read.schema(schema).option("sep", "\t").option("quote", "")

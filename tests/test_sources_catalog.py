@@ -1,9 +1,13 @@
+import csv
 import os
+import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quillspark.operators import catalog, relational as R, sentiment
+from quillspark.operators import catalog, ordered, relational as R, sentiment
 from quillspark.sources import read_csv_header, read_lines, read_tsv, write_csv
 
 
@@ -240,3 +244,58 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+def csv_text(rnd, n, newline="\n"):
+    """Rows with line breaks, quotes, separators and blanks in quoted fields, as write.csv makes them."""
+    out = ['"id","note","x"']
+    for i in range(n):
+        note = rnd.choice(["plain", "two\nlines", "a\n\nb", 'say ""hi""\nnow', "a,b", "", "\n", 'q""', "é\n" * rnd.randint(1, 30), "NA"])
+        out.append(f'{i},{"NA" if note == "NA" else chr(34) + note + chr(34)},{rnd.choice(["1.5", "NA", "-2"])}')
+        if rnd.random() < 0.05:
+            out.append("")
+    return newline.join(x.replace("\n", newline) for x in out) + newline
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_csv_with_line_breaks_is_read_in_splits(spark, tmpdir_path, newline):
+    rnd = random.Random(len(newline))
+    folder = Path(tmpdir_path, "csv")
+    folder.mkdir()
+    (folder / "large.csv").write_bytes(csv_text(rnd, 4000, newline).encode())
+    (folder / "small.csv").write_bytes(csv_text(rnd, 3, newline).rstrip().encode())
+    (folder / "head.csv").write_bytes(b'"id","note","x"')
+    schema = StructType.fromDDL("id int, note string, x double")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = read_csv_header(spark, str(folder), schema)
+        assert spark.read.text(str(folder / "large.csv"), lineSep="\n").rdd.getNumPartitions() > 8
+        rows = sorted(map(str, map(tuple, got.collect())))
+        whole = sorted(map(str, map(tuple, read_csv_header(spark, str(folder), schema, whole_files=True).collect())))
+        assert read_csv_header(spark, str(folder / "large.csv"), schema, whole_files=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got.schema == schema and len(rows) == 4003 and rows == whole
+    with open(folder / "large.csv", newline="") as f:
+        want = [r for r in csv.reader(f) if r][1:]
+    blank = read_csv_header(spark, str(folder / "large.csv"), schema, blank_as_empty=["note"]).where("note is not null").orderBy("id").collect()
+    notes = {int(r[0]): r[1].replace("\r\n", "\n") for r in want}
+    assert len(blank) == 4000 and all(r.note == ("" if notes[r.id] in ("", "NA") else notes[r.id]) for r in blank)
+
+
+def test_locale_order(spark):
+    words = ["b", "a", "A", "á", "Ä", "z", "Z", "ä", "B", "co-op", "coop", "e", "é", "ñ", "n", "o", "10", "2", None, "a"]
+    df = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "w string, k int")
+    order = ["10", "2", "a", "A", "á", "ä", "Ä", "b", "B", "co-op", "coop", "e", "é", "n", "ñ", "o", "z", "Z"]
+    codes = {r.w: r.code for r in ordered.alphabetical_code(df, "w", collation="en").collect()}
+    assert codes == {w: k for k, w in enumerate(order, 1)}
+    assert {r.w: r.code for r in ordered.alphabetical_code(df, "w").collect()}["Z"] < codes["Z"]
+    swedish = {r.w: r.code for r in ordered.alphabetical_code(df, "w", collation="sv").collect()}
+    assert swedish["ä"] > swedish["z"] and codes["ä"] < codes["b"]
+    got = R.arrange(df, "w", ("k", "desc"), collation="en")
+    assert got.dtypes == df.dtypes and [r.w for r in got.collect()] == order[:2] + ["a"] + order[2:] + [None]
+    assert [r.w for r in R.arrange(df, ("w", "desc"), "k", collation="en").collect()][-1] is None
+    # canonically equal texts stay levels of their own
+    two = spark.createDataFrame([("\u00e9",), ("e\u0301",), ("f",)], "w string")
+    assert sorted(r.code for r in ordered.alphabetical_code(two, "w", collation="en").collect()) == [1, 2, 3]
