@@ -20,6 +20,7 @@ from quillspark.operators.ordered import dense
 from quillspark.operators.tokens import remove_stopwords, unnest_tokens
 from quillspark.plans import fixtures as FX
 from quillspark.plans.inputs import conv_lines, doc_lines, doc_tokens, line_tokens, table
+from quillspark.sources.text import text_lines
 
 # Fixed parameters of the registered analyses (the oracle uses the same).
 REGEX = "qu[ae]"
@@ -92,9 +93,10 @@ def read_lines(spark, base):
 
 @register
 def attach_meta(spark, base):
-    lines = doc_lines(spark, base).select("doc_id", "line_no")
+    """S6: meta data joined to the works, before they become lines."""
     meta = _labels(spark, base).select("doc_id", "quality")
-    return R.join_on(lines, meta, ["doc_id"])
+    works = R.join_on(_docs(spark, base).select("doc_id", "text"), meta, ["doc_id"])
+    return text_lines(works, "text").select("doc_id", "line_no", "quality")
 
 
 # ---- projection and filter -------------------------------------------------

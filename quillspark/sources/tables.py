@@ -74,16 +74,17 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", row_numbers=None) -> None:
-    """Write with a header, ``NA`` for NULL and doubled quotes (``write.csv``).
+    """Write with a header, ``NA`` for NULL, ``""`` for empty text and doubled
+    quotes (``write.csv``).
 
     ``row_numbers`` lists order columns: then R's leading column of row
-    numbers (1, 2, ... in that order, headed by a blank) is written too.
+    numbers (1, 2, ... in that order, headed by ``""``) is written too.
     """
     if row_numbers:
         from quillspark.operators.ordered import sorted_row_number
-        df = sorted_row_number(df, [], row_numbers, "__row").select(F.col("__row").alias(" "), *df.columns)
+        df = sorted_row_number(df, [], row_numbers, "__row").select(F.col("__row").alias(""), *df.columns)
     (df.write.mode(mode).option("header", True).option("nullValue", "NA").option("escape", '"')
-       .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def make_table(spark: SparkSession, rows, schema) -> DataFrame:

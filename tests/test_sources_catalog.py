@@ -189,6 +189,7 @@ def test_csv_round_trip(spark, tmpdir_path):
     assert sorted(map(tuple, read_csv_header(spark, out, schema).collect())) == rows
     with_rows = os.path.join(tmpdir_path, "rows")
     write_csv(df, with_rows, row_numbers=["k"])
+    assert all(open(os.path.join(with_rows, f)).readline().startswith('"",k,') for f in os.listdir(with_rows) if f.endswith(".csv"))
     wide = StructType.fromDDL("`row` int, k int, x string, y string")
     assert sorted(map(tuple, read_csv_header(spark, with_rows, wide).collect())) == [(k, k, x, y) for k, x, y in rows]
 
