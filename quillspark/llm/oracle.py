@@ -10,18 +10,14 @@ LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 
 def _url() -> str:
-    """Rules by CASE, ranks by one common table per round."""
+    """Rules by CASE, ranks by 100 rounds of a recursive table (0.85**100 is below 1e-7)."""
     fits = lambda t: (f"((host = '{t.split('/', 1)[0]}' OR ends_with(host, '.{t.split('/', 1)[0]}')) "
                       f"AND starts_with(path, '/{t.split('/', 1)[1]}'))")
     longest = sorted(RULES, key=lambda r: -len(r[0]))
     rule = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{t}'" for t, _ in longest) + " END"
     says = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{v}'" for t, v in longest) + " END"
-    d, rounds = url_filter.DAMPING, []
-    for n in range(url_filter.ROUNDS):
-        rounds.append(f"""r{n + 1} AS MATERIALIZED (SELECT kind, host, sum(rank) AS rank FROM (
-            SELECT kind, host, seed * (1 - {d}) AS rank FROM seeds UNION ALL
-            SELECT s.kind, s.dst, r.rank * ({d} / s.degree) FROM r{n} r JOIN steps s ON s.kind = r.kind AND s.src = r.host) GROUP BY kind, host)""")
-    return f"""WITH cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    d = url_filter.DAMPING
+    return f"""WITH RECURSIVE cut AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
         parsed AS (SELECT page_id, html, {LOWER.format("coalesce(regexp_extract(rest, '^([^/?#]*)', 1), '')")} AS host,
                    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
         ruled AS (SELECT *, {rule} AS rule, {says} AS says FROM parsed),
@@ -32,9 +28,12 @@ def _url() -> str:
         steps AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY kind, src) AS degree FROM two),
         counts AS (SELECT says AS kind, host, count(*) AS n FROM ruled WHERE says IS NOT NULL AND host <> '' GROUP BY says, host),
         seeds AS MATERIALIZED (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS seed FROM counts),
-        r0 AS (SELECT kind, host, seed AS rank FROM seeds), {', '.join(rounds)},
+        r AS (SELECT 0 AS n, kind, host, seed AS rank FROM seeds UNION ALL
+              SELECT n + 1, kind, host, sum(rank) FROM (
+                  SELECT r.n, r.kind, s.dst AS host, r.rank * ({d} / s.degree) AS rank FROM r JOIN steps s ON s.kind = r.kind AND s.src = r.host WHERE r.n < 100
+                  UNION ALL SELECT k.n, e.kind, e.host, e.seed * (1 - {d}) FROM seeds e, (SELECT DISTINCT n FROM r WHERE n < 100) k) GROUP BY n, kind, host),
         hosts AS (SELECT host, sum(CASE WHEN kind = 'allow' THEN rank ELSE 0 END) AS trust, sum(CASE WHEN kind = 'block' THEN rank ELSE 0 END) AS distrust
-                  FROM r{url_filter.ROUNDS} GROUP BY host),
+                  FROM r WHERE n = 100 GROUP BY host),
         bad AS (SELECT host FROM hosts WHERE trust < {url_filter.THRESHOLD!r} * (trust + distrust))
         SELECT page_id, host, path, rule, coalesce(says, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled"""
 
