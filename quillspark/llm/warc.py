@@ -100,6 +100,9 @@ class _Member:
         file.seek(at)
         self.inflate, self.text, self.read = zlib.decompressobj(31), bytearray(), 0
 
+    def ended(self) -> bool:
+        return self.inflate.eof
+
     def need(self, n: int) -> bytearray:
         while len(self.text) < n and not self.inflate.eof:
             piece = self.inflate.unconsumed_tail or self.file.read(self.STEP)
@@ -111,7 +114,9 @@ class _Member:
 
     def headers(self) -> tuple[dict[str, str], int]:
         n = 1024
-        while (end := self.need(n).find(b"\r\n\r\n")) < 0 and not self.inflate.eof:
+        while (end := self.need(n).find(b"\r\n\r\n")) < 0:
+            if self.ended():
+                raise ValueError(f"record at byte {self.at} has no end of headers")
             n *= 2
         lines = bytes(self.text[:end]).decode("utf-8", "replace").split("\r\n")
         return dict(x.split(": ", 1) for x in lines[1:] if ": " in x), end + 4
@@ -124,14 +129,43 @@ class _Member:
         return self.at + self.read - len(self.inflate.unused_data)
 
 
+class _Plain(_Member):
+    """The uncompressed record at a place of a file, read as far as asked for."""
+
+    def __init__(self, file, at: int):
+        self.file, self.at, self.text, self.over = file, at, bytearray(), False
+        self.ok = bytes(self.need(5)[:5]) == b"WARC/"
+
+    def ended(self) -> bool:
+        return self.over
+
+    def need(self, n: int) -> bytearray:
+        while len(self.text) < n and not self.over:
+            self.file.seek(self.at + len(self.text))
+            piece = self.file.read(max(self.STEP, n - len(self.text)))
+            self.over = not piece
+            self.text += piece
+        return self.text
+
+    def next_place(self) -> int:
+        head, start = self.headers()
+        return self.at + start + int(head["Content-Length"]) + 4
+
+
 def records(file, wanted, payloads: bool):
     """Header dictionaries and payloads (None unless asked for) of the wanted
-    records of an open archive."""
+    records of an open archive, gzip members or plain records. Bytes that are
+    neither are an error."""
     at = 0
     while True:
+        file.seek(at)
+        if not file.read(1):
+            return
         m = _Member(file, at)
         if not m.ok:
-            return
+            m = _Plain(file, at)
+        if not m.ok:
+            raise ValueError(f"no record at byte {at}")
         head, start = m.headers()
         if wanted(head):
             payload = None
@@ -159,6 +193,17 @@ class Files(InputPartition):
         super().__init__(paths)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark gives it, so that executors don't take
+    a path of the cluster's file system for one of their own disks."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = hadoop.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def _file_system(path: str):
     from pyarrow.fs import FileSystem, LocalFileSystem
 
@@ -188,7 +233,7 @@ class WarcReader(DataSourceReader):
         from pyarrow.fs import FileSelector
 
         fs, root = _file_system(self.path)
-        found = sorted((f.path, f.size) for f in fs.get_file_info(FileSelector(root, recursive=True, allow_not_found=True)) if f.path.endswith((".warc.gz", ".warc")))
+        found = sorted((f.path, f.size) for f in fs.get_file_info(FileSelector(root, recursive=True)) if f.path.endswith((".warc.gz", ".warc")))
         groups, room = [], 0
         for path, size in found:
             if room < size or not groups:
@@ -252,7 +297,8 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(paths)
 
     def commit(self, messages):
-        fs, _ = _file_system(self.path)
+        fs, root = _file_system(self.path)
+        fs.create_dir(root, recursive=True)
         for m in messages:
             for p in m.paths if m else ():
                 fs.move(p, p.removesuffix(".open"))
@@ -283,7 +329,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     """Records of all archives below ``path``; ``payload=False`` decodes none."""
     spark.dataSource.register(Warc)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
 
 
 def write_warc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> None:
@@ -298,7 +344,7 @@ def write_warc(pages: DataFrame, path: str, *, page_id: str = "page_id", url: st
     last = (p.where(F.col("bytes") >= least_bytes).groupBy("key").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
             .where("n > 1").select("key", "last"))
     rows = p.join(last, "key", "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
-    rows.write.format("warc").mode("append").save(path)
+    rows.write.format("warc").mode("append").save(qualified(spark, path))
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:

@@ -69,3 +69,31 @@ def test_members_without_skip_lengths_and_broken_payloads():
 
 def test_empty_table(spark):
     assert warc.round_trip(frame(spark, [])).collect() == []
+
+
+def test_plain_archives_are_read_and_other_bytes_are_an_error(spark):
+    import zlib
+    raw = [zlib.decompress(warc.make_record(k, "u", b"payload %d " % k * 20_000, None), 31) for k in (1, 2, 3)]
+    read = lambda data: [(h["X-Page-Id"], p) for h, p in warc.records(io.BytesIO(data), lambda h: True, True)]
+    want = [(str(k), b"payload %d " % k * 20_000) for k in (1, 2, 3)]
+    assert read(b"".join(raw)) == want and read(b"") == []
+    packed = [warc.make_record(k, "u", b"payload %d " % k * 20_000, None) for k in (1, 2, 3)]
+    assert read(packed[0] + raw[1] + packed[2]) == want
+    for broken in (b"garbage", packed[0] + b"garbage" + packed[1], b"".join(raw)[5:], raw[0] + b"x"):
+        with pytest.raises(ValueError):
+            read(broken)
+    path = tempfile.mkdtemp(prefix="qs-warc-")
+    with open(path + "/a.warc", "wb") as f:
+        f.write(b"".join(raw))
+    assert sorted(r.page_id for r in warc.read_warc(spark, path).collect()) == [1, 2, 3]
+    assert sorted(r.page_id for r in warc.read_warc(spark, "file://" + path, payload=False).where("page_id in (2, 3)").collect()) == [2, 3]
+
+
+def test_missing_folder_is_an_error(spark):
+    with pytest.raises(Exception, match="[Nn]o such|[Nn]ot found|does not exist|Cannot"):
+        warc.read_warc(spark, tempfile.mkdtemp(prefix="qs-warc-") + "/none").collect()
+
+
+def test_paths_get_their_scheme(spark):
+    assert warc.qualified(spark, "/shared/x") == "file:///shared/x"
+    assert warc.qualified(spark, "hdfs://n/x") == "hdfs://n/x" and warc.qualified(spark, "file:///a b/x") == "file:///a b/x"
