@@ -19,6 +19,7 @@ encoded each; other columns are dropped, so none can clash.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Chunks a worker remembers, and texts that share one trie.
-REMEMBER, TRIE_TEXTS = 60_000, 1000
+REMEMBER, TRIE_TEXTS = 100_000, 1000
 SCHEMA = "ids_le binary, decoded string"
 
 
@@ -64,7 +65,9 @@ class TrieBpe:
         self.text_of.update({i: t for t, i in self.added.items()})
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.library = Tokenizer.from_file(path)
-        self.ascii_re = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+        self.plain_re = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+        self.is_plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+        self.bytes_as = _byte_symbols()
         self.fits: dict[int, bool] = {}
         # of chunks between spaces, and of words: packed ids and decoded string
         self.ids, self.texts, self.old_ids, self.old_texts, self.known, self.silent = {}, {}, {}, {}, {}, False
@@ -183,8 +186,10 @@ class TrieBpe:
         return self.pieces_plain(chunk)
 
     def pieces_plain(self, chunk: str) -> list[str]:
-        if chunk.isascii() and chunk.isprintable() and " " not in chunk:
-            return self.ascii_re.findall(chunk.lower())
+        # ASCII and composed Latin-1 letters: nothing to normalise but the case
+        if self.is_plain(chunk):
+            words = self.plain_re.findall(chunk.lower())
+            return words if chunk.isascii() else [w.encode().decode("latin-1").translate(self.bytes_as) for w in words]
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))]
 
     def encode_texts(self, texts: list) -> list[tuple[bytes, str]]:
@@ -231,14 +236,18 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     kind = d.schema[0]
 
     def run(batches):
-        for batch in batches:
-            enc = _encoders.get(path) or _encoders.setdefault(path, TrieBpe(path))
-            for i in range(0, batch.num_rows, TRIE_TEXTS):
-                part = batch.slice(i, TRIE_TEXTS)
-                got = enc.encode_texts(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())],
-                    names=[id_col, "ids_le", "decoded"])
+        gc.disable()  # many small lists and no cycles: counting references frees all
+        try:
+            for batch in batches:
+                enc = _encoders.get(path) or _encoders.setdefault(path, TrieBpe(path))
+                for i in range(0, batch.num_rows, TRIE_TEXTS):
+                    part = batch.slice(i, TRIE_TEXTS)
+                    got = enc.encode_texts(part.column(1).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())],
+                        names=[id_col, "ids_le", "decoded"])
+        finally:
+            gc.enable()
 
     return d.mapInArrow(run, f"`{id_col}` {kind.dataType.simpleString()}, {SCHEMA}")
 

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
-from hashlib import sha256
 from itertools import pairwise
 from zlib import crc32
 

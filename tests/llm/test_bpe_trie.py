@@ -52,3 +52,14 @@ def test_query_columns(spark, library):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
     assert bpe_trie.encode(docs_frame(spark, []), PATH).collect() == []
+
+
+def test_latin_chunks_are_cut_as_the_library_cuts_them():
+    import random
+
+    e = bpe_trie.TrieBpe(public_tokenizers.path("word_bpe_49k.json"))
+    rnd = random.Random(3)
+    signs = [chr(c) for c in range(33, 256) if chr(c).isprintable()] + ["'s", "'LL", "ſ", "İ", "é", "­", " "]
+    for _ in range(20_000):
+        c = "".join(rnd.choice(signs) for _ in range(rnd.randint(1, 9)))
+        assert e.pieces_plain(c) == [w for w, _ in e.library.pre_tokenizer.pre_tokenize_str(e.library.normalizer.normalize_str(c))], c
