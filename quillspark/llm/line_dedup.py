@@ -11,10 +11,14 @@ whose lengths fit, are compared; an edit similarity of ``SIMILAR`` or more
 links them. Of every connected group of lines, equal ones included, the first
 occurrence (by document, then line) stays.
 
-Scale: occurrences are rows of four numbers; equal lines collapse by hash
-before blocks are made; blocks met by many lines are compared in bounded
-cells; texts are read again for lines with a candidate only. The joins back to
-occurrences of a hot line can be split by adaptive execution.
+Scale: keys travel packed, nine bytes each: four of the key (its first bits
+name the bucket) and five of the line's hash. Two lines whose five bytes agree
+only add candidates. Short lists of a key become pairs, longer ones are
+compared in bounded cells. The texts are read again once, for the occurrences
+(rows of four numbers) and the lines that a bitmap of the candidates marks;
+lines it marks by chance find no candidate. Edit distances are counted for
+many pairs at once. The joins back to occurrences of a hot line can be split
+by adaptive execution.
 
 Defined cases: lines without a word stay; null and empty texts have no lines
 and stay as they are; rows of equal id and text count as one document; a null
@@ -24,14 +28,15 @@ id comes first.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.cells import MET, list_groups, pair_groups, pairs_of_runs, runs_of, squares
-from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, small_side, text_buffers, word_hashes, word_spans
+from quillspark.llm.cells import MET, list_groups, pairs_of_runs, runs_of, squares
+from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, shared_dir, text_buffers, word_hashes, word_spans
 
 BLOCKS, BITS, SIMILAR, MOST, CELL = 8, 28, 0.9, 32, 500
 #: Keys of least pair hashes, hashes to a key, and words from which lines have all of them.
@@ -39,6 +44,10 @@ BANDS, ROWS, SHORT = 14, 4, 10
 KEYS = BLOCKS + BANDS
 #: Width of a length band, as a ratio; lines near a border fall into both.
 BAND = 2.0
+#: Bits of a key that name its bucket, bits of a line's hash that go with it, keys packed at once.
+BUCKET, LINE, PACK = 12, 40, 1 << 20
+#: Bits of the candidates' bitmap, at most (beyond, more lines are marked by chance).
+MARKS = 30
 
 _GAP = gaps(NOT_ALNUM)
 _TABLE = _LOWER.copy()
@@ -47,7 +56,8 @@ _TABLE[48:58] = _LOWER[48]
 _PLAIN = np.where(_GAP, 32, _TABLE - np.uint64(1)).astype(np.uint8)
 #: Odd factors: each orders the word pairs anew.
 _ODD = mix(np.arange(1 + BANDS * ROWS, dtype=np.uint64), 41) | np.uint64(1)
-_LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
+_LANES = np.uint64(0x0101010101010101)
+_PACKED = np.dtype([("key", "<u4"), ("low", "<u4"), ("high", "u1")])
 
 
 def lines_of(data, off, i, j, hashes: bool = True):
@@ -118,19 +128,18 @@ def simhash(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     runs = -(-count // 255)
     start = np.repeat(first[:-1], runs) + 255 * (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs))
     own = np.cumsum(runs) - runs
-    bits = np.zeros((n, BLOCKS * BITS), bool)
-    for word in range(-(-BLOCKS * BITS // 64)):
+    words = -(-BLOCKS * BITS // 64)
+    bits = np.zeros((n, words, 8, 8), bool)
+    for word in range(words):
         x = mix(h, 11 + word)
-        for byte in range(8):
-            at = 64 * word + 8 * byte
-            if at >= BLOCKS * BITS:
-                break
-            sums = np.add.reduceat(_LANES[(x >> np.uint64(8 * byte)) & np.uint64(255)], start)
+        for bit in range(8):  # of every byte
+            sums = np.add.reduceat((x >> np.uint64(bit)) & _LANES, start)
             ones = sums.view(np.uint8).reshape(-1, 8).astype(np.int64)
             if len(ones) > n:
                 ones = np.add.reduceat(ones, own)
-            bits[:, at:at + 8] = 2 * ones > count[:, None]
-    return np.concatenate((bits.reshape(n, BLOCKS, BITS) @ (np.int64(1) << np.arange(BITS, dtype=np.int64)), bands), axis=1)
+            bits[:, word, :, bit] = 2 * ones > count[:, None]
+    bits = bits.reshape(n, -1)[:, :BLOCKS * BITS].reshape(n, BLOCKS, BITS)
+    return np.concatenate((bits @ (np.int64(1) << np.arange(BITS, dtype=np.int64)), bands), axis=1)
 
 
 def lengths(first, s, e) -> np.ndarray:
@@ -177,6 +186,72 @@ def similar(a: bytes, b: bytes) -> bool:
     return edit_within(a, b, int((1 - SIMILAR) * max(len(a), len(b)) + 1e-9))
 
 
+def alike(a: pa.Array, b: pa.Array, elements: int = 1 << 17) -> np.ndarray:
+    """``similar`` of many pairs, the rows of two columns."""
+    (x, i), (y, j) = text_buffers(a), text_buffers(b)
+    m, n = np.diff(i), np.diff(j)
+    most = ((1 - SIMILAR) * np.maximum(m, n) + 1e-9).astype(np.int64)
+    out = np.zeros(len(m), bool)
+    todo = np.flatnonzero(np.abs(m - n) <= most)
+    todo = todo[np.argsort(most[todo], kind="stable")]
+    while len(todo):
+        # as many pairs as fit by diagonals and by bytes
+        fit = (np.arange(1, len(todo) + 1) * (2 * most[todo] + 1) <= elements) & (np.cumsum(m[todo] + n[todo]) <= 8 * elements)
+        lot, todo = np.split(todo, [max(1, int(fit.argmin()) if not fit.all() else len(fit))])
+        out[lot] = _reached(_windows(x, i[lot], m[lot]), _windows(y, j[lot], n[lot]), m[lot], n[lot], most[lot])
+    return out
+
+
+def _windows(data, start, length):
+    """The eight bytes from each byte on of some rows, and where the rows begin."""
+    at = np.cumsum(length) - length
+    own = np.zeros(int(length.sum()) + 8, np.uint8)
+    own[:-8] = data[np.arange(len(own) - 8) + np.repeat(start - at, length)]
+    return np.ndarray((len(own) - 7,), "<u8", own, strides=(1,)).copy(), at
+
+
+def _reached(first, second, m, n, most):
+    """Whether ``most`` edits lead from one row to the other: on every
+    diagonal the furthest place that 0, 1, 2, ... edits reach."""
+    (x, at), (y, to) = first, second
+    out, live, shift = np.zeros(len(m), bool), np.arange(len(m)), n - m
+    far, wide = np.zeros((len(m), 1), np.int64), 0
+    for edits in range(int(most.max()) + 1):
+        if edits:
+            old, wide = far, wide + 1
+            far = np.full((len(live), 2 * wide + 1), -1, np.int64)
+            far[:, 1:-1] = old + 1
+            np.maximum(far[:, :-2], old + 1, out=far[:, :-2])  # a byte of the first row left out
+            np.maximum(far[:, 2:], old, out=far[:, 2:])  # a byte of the second put in
+        # only diagonals from which the edits left can lead to the end
+        need = int((most - edits + np.abs(shift)).max())
+        if wide > need:
+            far, wide = far[:, wide - need:wide + need + 1], need
+        side = np.arange(-wide, wide + 1)
+        end = np.minimum(m[:, None], n[:, None] - side)
+        far = np.minimum(far, end)
+        row, col = np.nonzero((np.abs(shift[:, None] - side) <= (most - edits)[:, None]) & (far < end))
+        p, last = far[row, col], end[row, col]
+        u, v = at[row], (to[row] + side[col])
+        go = np.arange(len(p))
+        while len(go):
+            other = x[u[go] + p[go]] ^ y[v[go] + p[go]]
+            same = np.bitwise_count((other & (~other + np.uint64(1))) - np.uint64(1)).astype(np.int64) >> 3
+            p[go] = np.minimum(p[go] + same, last[go])
+            go = go[(same == 8) & (p[go] < last[go])]
+        far[row, col] = p
+        place = shift + wide
+        near = (place >= 0) & (place <= 2 * wide)
+        done = near & (far[np.arange(len(m)), np.where(near, place, 0)] == m)
+        out[live[done]] = True
+        keep = ~done & (most > edits)
+        if not keep.any():
+            break
+        if not keep.all():
+            far, live, shift, m, n, most, at, to = (z[keep] for z in (far, live, shift, m, n, most, at, to))
+    return out
+
+
 def blocks_of(lines: list[bytes]) -> np.ndarray:
     """Keys of normalised lines."""
     data, off = text_buffers(pa.array(lines, pa.binary()))
@@ -187,33 +262,63 @@ def blocks_of(lines: list[bytes]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def search_cell(ids, sides, lines, block) -> list[tuple[int, int]]:
-    """Links that connect a cell of normalised lines and their keys."""
-    side, size, out = np.array(sides), np.array([len(x) for x in lines]), []
-    label = np.arange(len(ids))
-    for i in range(len(ids)):
-        if side[i] == 1:
-            continue
-        other = side == 1 if side[i] == 0 else np.arange(len(ids)) > i
-        fit = (label != label[i]) & (np.minimum(size, size[i]) >= SIMILAR * np.maximum(size, size[i]) - 1e-9)
-        for k in np.flatnonzero(other & fit & (block == block[i]).any(axis=1)):
-            if label[k] != label[i] and similar(lines[i], lines[k]):
-                label[label == label[k]] = label[i]
+def cell_lots(sides, lines, block, label, lot: int = 256, most: int = 8192):
+    """Growing lots of pairs (i, k) of a cell's lines that share a key, without
+    those ``label`` shows to be linked by then. A pair that shares several keys
+    is compared in the list of the first one only."""
+    side, size, held = np.array(sides), np.array([len(x) for x in lines]), []
+    shared = (block == block[0]).all(axis=0)
+    own = int(shared.argmax()) if shared.any() else None  # none: a line is here by its short hash only
+    for i in np.flatnonzero(side != 1).tolist():
+        other = side == 1 if side[i] == 0 else np.arange(len(side)) > i
+        at = np.flatnonzero(other & (label != label[i]) & (np.minimum(size, size[i]) >= SIMILAR * np.maximum(size, size[i]) - 1e-9))
+        same = block[at] == block[i]
+        held += [(i, k) for k in at[same.any(axis=1) if own is None else same.argmax(axis=1) == own].tolist()]
+        if len(held) >= lot:
+            yield held
+            held, lot = [], min(2 * lot, most)
+    if held:
+        yield held
+
+
+def search(cells, root: dict) -> list[tuple[int, int]]:
+    """Links that connect each cell (ids, sides, lines) of normalised lines;
+    the lots of all cells are compared together. ``root`` keeps what is linked."""
+    def find(x):
+        while (y := root.get(x, x)) != x:
+            root[x] = x = root.get(y, y)
+        return x
+
+    block, at, live, out = blocks_of([x for _, _, lines in cells for x in lines]), 0, [], []
+    for ids, sides, lines in cells:
+        label = np.array([find(x) for x in ids])
+        live.append((ids, lines, label, cell_lots(sides, lines, block[at:at + len(ids)], label)))
+        at += len(ids)
+    while live:
+        live = [(cell, lot) for cell in live if (lot := next(cell[3], None))]
+        asked = [(ids, lines, label, i, k) for (ids, lines, label, _), lot in live for i, k in lot if find(ids[i]) != find(ids[k])]
+        yes = alike(*(pa.array([x[1][x[n]] for x in asked], pa.binary()) for n in (3, 4)))
+        for n in np.flatnonzero(yes).tolist():
+            ids, _, label, i, k = asked[n]
+            u, v = find(ids[i]), find(ids[k])
+            if u != v:
+                root[v] = u
                 out.append((ids[i], ids[k]))
+            if label[i] != label[k]:
+                label[label == label[k]] = label[i]
+        live = [cell for cell, _ in live]
     return out
 
 
 def search_cells(batches, most: int = 4096):
-    """Links of all cells in batches (cell, id, side, line) sorted by cell;
-    the blocks of a few thousand lines are made at once."""
-    held, size = [], 0
+    """Links of all cells in batches (cell, id, side, line) sorted by cell, a
+    few thousand lines at once."""
+    held, size, root = [], 0, {}
 
     def links():
-        block = blocks_of([x for _, _, lines in held for x in lines])
-        at, got = 0, []
-        for ids, sides, lines in held:
-            got += search_cell(ids, sides, lines, block[at:at + len(ids)])
-            at += len(ids)
+        got = search(held, root)
+        if len(root) > 500_000:
+            root.clear()  # what it knows only saves comparisons
         return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], names=["u", "v"])
 
     for _, cell in runs_of(batches, 3):
@@ -226,27 +331,25 @@ def search_cells(batches, most: int = 4096):
         yield links()
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``(k, doc_id, line_no, h)`` of every line with words of ``docs(k, doc_id, text)``."""
-    def run(batches):
-        for b in batches:
-            data, off = text_buffers(b.column(2))
-            for i, j in segments(off):
-                if off[i] == off[j]:
-                    continue
-                row, number, first, h, _, _ = lines_of(data, off, i, j)
-                if len(row):
-                    at = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int64)), pa.array(line_hashes(h, first).view(np.int64))],
-                                                     names=["k", "doc_id", "line_no", "h"])
-
-    return docs.select("k", "doc_id", "text").mapInArrow(run, "k long, doc_id long, line_no long, h long")
+def packed(held) -> pa.RecordBatch:
+    """Rows ``(bucket, keys)`` of lists of keys and lines."""
+    key, line = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(key)
+    key, line = key[order], line[order]
+    rows = np.empty(len(key), _PACKED)
+    rows["key"], rows["low"], rows["high"] = key >> np.uint64(32 - BUCKET), line, line >> np.uint64(32)
+    bucket = (key >> np.uint64(64 - BUCKET)).astype(np.int32)
+    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    off = (np.append(at, len(key)) * _PACKED.itemsize).astype(np.int32)
+    keys = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(off), pa.py_buffer(rows.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at]), keys], names=["bucket", "keys"])
 
 
 def block_keys(docs: DataFrame) -> DataFrame:
-    """``(key, h)``: keys of distinct lines to meet under."""
+    """``(bucket, keys)``: packed keys of distinct lines to meet under."""
     def run(batches):
         seen: set = set()
+        held, size = [], 0
         for b in batches:
             data, off = text_buffers(b.column(0))
             for i, j in segments(off):
@@ -267,45 +370,104 @@ def block_keys(docs: DataFrame) -> DataFrame:
                     if not use.any():
                         continue
                     key = mix(blocks[use].astype(np.uint64) ^ mix(at[use].astype(np.uint64)[:, None] * np.uint64(KEYS) + np.arange(KEYS, dtype=np.uint64), 21), 22)
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(line[use].view(np.int64), KEYS))], names=["key", "h"])
+                    held.append((key.ravel(), np.repeat(line[use] & np.uint64((1 << LINE) - 1), KEYS)))
+                    size += key.size
+                if size >= PACK:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return docs.select("text").mapInArrow(run, "bucket int, keys binary")
+
+
+def repeated(batches):
+    """Batches (key, line, size) sorted by key, of the keys that several lines
+    have, from rows (bucket, keys) sorted by bucket."""
+    for bucket, (held,) in runs_of(batches, 1):
+        rows = np.frombuffer(b"".join(held), _PACKED)
+        key = np.sort(rows["key"])
+        rows = rows[np.isin(rows["key"], key[1:][key[1:] == key[:-1]])]
+        if not len(rows):
+            continue
+        key, line = rows["key"].astype(np.int64) | bucket << 32, rows["low"].astype(np.int64) | rows["high"].astype(np.int64) << 32
+        order = np.lexsort((line, key))
+        key, line = key[order], line[order]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])))  # tasks may have sent the same line
+        key, line = key[new], line[new]
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(np.ones(len(key), np.int32))], names=["key", "h", "n"])
+
+
+def marks(met: DataFrame) -> np.ndarray:
+    """Bitmap of the lines in ``met``, by the first bits of their hashes."""
+    lines = met.select(F.explode(F.when(F.col("kind") == 0, F.array("u", "v")).otherwise(F.array("v"))).alias("line")).distinct()
+    bits = min(MARKS, max(15, math.ceil(math.log2(32 * (lines.count() + 1)))))
+    place = lines.select(F.shiftright("line", LINE - bits).alias("place"))
+    out = np.zeros((1 << (bits - 15), 1 << 12), np.uint8)
+    for r in place.groupBy(F.shiftright("place", 15).alias("n")).agg(F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << 15) - 1)).alias("map")).toLocalIterator():
+        out[r.n] = np.frombuffer(r.map, np.uint8)
+    return out.ravel()
+
+
+def occurrences(docs: DataFrame, marked: np.ndarray) -> DataFrame:
+    """``(k, doc_id, line_no, h, line)`` of every line with words of
+    ``docs(k, doc_id, text)``; ``line``, normalised, where a line is marked and
+    first met by its task. Written to the shared folder."""
+    spark, down = docs.sparkSession, LINE - int(math.log2(8 * len(marked)))
+    sent = spark.sparkContext.broadcast(marked)
 
-    return docs.select("text").mapInArrow(run, "key long, h long")
+    def run(batches):
+        mark, seen = sent.value, set()
+        for b in batches:
+            data, off = text_buffers(b.column(2))
+            for i, j in segments(off):
+                if off[i] == off[j]:
+                    continue
+                row, number, first, h, s, e = lines_of(data, off, i, j)
+                if not len(row):
+                    continue
+                line = line_hashes(h, first)
+                place = ((line & np.uint64((1 << LINE) - 1)) >> np.uint64(down)).astype(np.int64)
+                plain, lo, texts = _PLAIN[data[off[i]:off[j]]].tobytes(), int(off[i]), [None] * len(row)
+                for n in np.flatnonzero(mark[place >> 3] >> (place & 7) & 1).tolist():
+                    if (own := int(line[n])) not in seen:
+                        texts[n] = b" ".join(plain[s[first[n]] - lo:e[first[n + 1] - 1] - lo].split())
+                        if len(seen) < 500_000:
+                            seen.add(own)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(number.astype(np.int64)), pa.array(line.view(np.int64)), pa.array(texts, pa.binary())],
+                                                 names=["k", "doc_id", "line_no", "h", "line"])
 
+    schema = "k long, doc_id long, line_no long, h long, line binary"
+    folder = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    docs.select("k", "doc_id", "text").mapInArrow(run, schema).write.parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
 
-def groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``(id, component)`` of line hashes that are linked to another."""
-    def meet(batches):
-        one = lambda b: pa.array(np.ones(b.num_rows, np.int32))
-        return pairs_of_runs((pa.RecordBatch.from_arrays([*b.columns, one(b)], names=["key", "h", "n"]) for b in batches), MOST, 0)
 
-    met = block_keys(docs).repartition("key").sortWithinPartitions("key").mapInArrow(meet, MET).select("kind", "u", "v").distinct()
-    met = cut(met)
-    grouped = pair_groups(met.where("kind = 0").select("u", "v")).union(list_groups(met.where("kind = 1").select(F.col("u").alias("list"), F.col("v").alias("id"))))
-    members = cut(squares(grouped.withColumn("weight", F.lit(1)), CELL))
-    where = lines.join(small_side(cut(members.select(F.col("id").alias("h")).distinct())), "h").groupBy("h").agg(F.min(F.struct("k", "line_no")).alias("at"))
-    want = cut(where.groupBy(F.col("at.k").alias("k")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "h")).alias("lines")))
+def search_pairs(batches):
+    """Links among pairs (u, a, v, b) of lines and their normalised texts."""
+    for b in batches:
+        at = pa.array(alike(b.column(1), b.column(3)))
+        yield pa.RecordBatch.from_arrays([b.column(0).filter(at), b.column(2).filter(at)], names=["u", "v"])
 
-    if (want.agg(F.sum(F.size("lines"))).first()[0] or 0) <= 200_000:  # lines, so the bytes are bounded too
-        want = F.broadcast(want)
 
-    def texts_of(batches):
-        for b in batches:
-            data, off = text_buffers(b.column(0))
-            wanted = b.column(1).to_pylist()
-            for i, j in segments(off):
-                if off[i] == off[j]:
-                    continue
-                row, number, first, _, s, e = lines_of(data, off, i, j, hashes=False)
-                plain = _PLAIN[data[off[i]:off[j]]].tobytes()
-                ask = sorted((r, w["line_no"], w["h"]) for r in range(i, j) for w in wanted[r])
-                at = np.searchsorted(row * (1 << 32) + number, [r * (1 << 32) + k for r, k, _ in ask])
-                lo = int(off[i])
-                out = [b" ".join(plain[s[first[k]] - lo:e[first[k + 1] - 1] - lo].split()) for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array([h for *_, h in ask], pa.int64()), pa.array(out, pa.binary())], names=["id", "line"])
+def candidates(docs: DataFrame) -> DataFrame:
+    """``(kind, u, v)``: pairs of lines that meet under a key, and lists."""
+    met = block_keys(docs).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: pairs_of_runs(repeated(it), MOST, 0), MET)
+    return cut(met.select("kind", "u", "v").distinct())
 
-    texts = docs.join(want, "k").select("text", "lines").mapInArrow(texts_of, "id long, line binary").dropDuplicates(["id"])
-    sets = members.join(texts, "id").select("cell", "id", "side", "line").repartition("cell").sortWithinPartitions("cell", "id")
-    return components(sets.mapInArrow(search_cells, "u long, v long"))
+
+def groups(met: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(id, component)`` of line hashes that are linked to another."""
+    texts = (lines.where("line is not null").select(F.col("h").bitwiseAND((1 << LINE) - 1).alias("id"), "h", "line")
+             .repartition("id").dropDuplicates(["id", "h"]))
+    pairs = (met.where("kind = 0").join(texts.toDF("u", "hu", "a"), "u").join(texts.toDF("v", "hv", "b"), "v")
+             .select("hu", "a", "hv", "b").mapInArrow(search_pairs, "u long, v long"))
+    members = squares(list_groups(met.where("kind = 1").select(F.col("u").alias("list"), F.col("v").alias("id"))).withColumn("weight", F.lit(1)), CELL)
+    sets = members.join(texts, "id").select("cell", F.col("h").alias("id"), "side", "line")
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # cells are more work than their bytes tell
+    sets = sets.repartition(parts, "cell").sortWithinPartitions("cell", "id")
+    return components(pairs.union(sets.mapInArrow(search_cells, "u long, v long")))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -315,12 +477,17 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(k, gone)``: for each document key the numbers of lines that go."""
     d = keyed(docs, id_col, text_col)
-    lines = occurrences(d)
-    found = small_side(cut(groups(d, lines).withColumnRenamed("id", "h")))
-    named = cut(lines.distinct().join(found, "h", "left").select(F.coalesce("component", "h").alias("g"), "doc_id", "k", "line_no"))
-    first = named.groupBy("g").agg(F.min(F.struct("doc_id", "k", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").select("g", "first")
-    gone = named.join(first, "g").where(~F.struct("doc_id", "k", "line_no").eqNullSafe(F.col("first"))).select("k", "line_no")
-    return gone.groupBy("k").agg(F.collect_list("line_no").alias("gone"))
+    met = candidates(d)
+    lines = occurrences(d, marks(met))
+    found = groups(met, lines).withColumnRenamed("id", "h")
+    # documents of equal id and text count once: a line's number there is the same
+    alone = lines.groupBy("h").agg(F.min(F.struct("doc_id", "k", "line_no")).alias("first"), F.count("*").alias("n"))
+    named = cut(alone.join(found, "h", "left").where("component is not null or n > 1").select("h", "component", "first"))
+    linked = named.where("component is not null")
+    first = linked.groupBy("component").agg(F.min("first").alias("first"))
+    stay = linked.select("h", "component").join(first, "component").select("h", "first").union(named.where("component is null").select("h", "first"))
+    gone = lines.select("h", "k", "line_no").join(stay, "h").where("k <> first.k or line_no <> first.line_no").select("k", "line_no")
+    return gone.groupBy("k").agg(F.collect_set("line_no").alias("gone"))
 
 
 def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -329,10 +496,14 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     out = removals(docs, id_col, text_col)
     key = F.xxhash64(id_col, text_col)
     cols = [F.col(c) for c in docs.columns if c != text_col]
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), F.col("_gone"))
-    kept = F.transform(left, lambda i: F.get(lines, i.cast("int")))
+
+    def kept(lines):
+        left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), F.col("_gone"))
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i.cast("int"))), "\n")
+
+    # a function's argument, so that a text is split once and not for each of its lines
+    short = F.get(F.transform(F.array(F.split(F.col(text_col), "\n", -1)), kept), 0)
     joined = docs.withColumn("_k", key).join(out.select(F.col("k").alias("_k"), F.col("gone").alias("_gone")), "_k", "left")
-    return joined.select(*cols, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col),
+    return joined.select(*cols, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(short).alias(text_col),
                          F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F][^\n]*")), F.lit(0)).alias("_n_lines"),
                          F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_gone"))

@@ -94,6 +94,26 @@ def test_edit_distance_bound():
         assert [ld.edit_within(a, b, k) for k in range(16)] == [d <= k for k in range(16)]
 
 
+def test_many_pairs_at_once_as_one_by_one():
+    rnd = random.Random(5)
+    pairs = [changed(rnd, n, min(n, edits), kind) for n in (1, 3, 10, 12, 40, 150) for edits in (1, 2, 5, 20) for kind in ("typo", "new", "out", "in")]
+    pairs += [(b"a" * n, b"a" * k + b"b" * (n - k)) for n in (0, 1, 9, 10, 11, 64, 400) for k in (0, 1, n * 9 // 10, n) if k <= n]
+    pairs += [(b, a) for a, b in pairs] + [(b"ab" * 60, b"ba" * 60), (b"x", b"")]
+    for elements in (1 << 17, 50):
+        got = ld.alike(*(pa.array(x, pa.binary()) for x in zip(*pairs)), elements=elements)
+        assert got.tolist() == [ld.similar(a, b) for a, b in pairs] and 0 < got.sum() < len(pairs)
+
+
+def test_keys_travel_packed():
+    """Nine bytes a key; only keys sent more than once come back, a line sent twice under one counts once."""
+    key, line = np.array([5 << 52 | 7 << 20, 5 << 52 | 9 << 20, 3 << 52], np.uint64), np.array([2**39 + 1, 4, 6], np.uint64)
+    sent = [ld.packed([(key, line)]), ld.packed([(key[:1], line[:1])]), ld.packed([(key[1:2], line[2:])])]
+    assert [len(k) for k in sent[0].column(1).to_pylist()] == [9, 18]
+    table = pa.Table.from_batches(sent).sort_by("bucket")
+    got = [r for b in ld.repeated(table.to_batches()) for r in b.to_pylist()]
+    assert [(r["key"], r["h"]) for r in got] == [(5 << 32 | 7, 2**39 + 1), (5 << 32 | 9, 4), (5 << 32 | 9, 6)]
+
+
 def test_simhash_of_long_lines_counts_every_word():
     rnd = random.Random(3)
     line = (prose(rnd, 1500, 10**6) + " the the the").encode()
