@@ -223,23 +223,25 @@ def _reached(first, second, m, n, most):
             far[:, 1:-1] = old + 1
             np.maximum(far[:, :-2], old + 1, out=far[:, :-2])  # a byte of the first row left out
             np.maximum(far[:, 2:], old, out=far[:, 2:])  # a byte of the second put in
-        # only diagonals from which the edits left can lead to the end
+        # diagonals from which the edits left can lead to the end
         need = int((most - edits + np.abs(shift)).max())
         if wide > need:
             far, wide = far[:, wide - need:wide + need + 1], need
         side = np.arange(-wide, wide + 1)
         end = np.minimum(m[:, None], n[:, None] - side)
         far = np.minimum(far, end)
-        row, col = np.nonzero((np.abs(shift[:, None] - side) <= (most - edits)[:, None]) & (far < end))
-        p, last = far[row, col], end[row, col]
-        u, v = at[row], (to[row] + side[col])
-        go = np.arange(len(p))
+        u, v = at[:, None], to[:, None] + side
+        other = x[u + far] ^ y[v + far]
+        same = np.bitwise_count((other - np.uint64(1)) & ~other) >> 3
+        far += same
+        np.minimum(far, end, out=far)
+        go = np.flatnonzero((same == 8) & (far < end))
+        flat, last, v = far.reshape(-1), end.reshape(-1), v.reshape(-1)
         while len(go):
-            other = x[u[go] + p[go]] ^ y[v[go] + p[go]]
-            same = np.bitwise_count((other & (~other + np.uint64(1))) - np.uint64(1)).astype(np.int64) >> 3
-            p[go] = np.minimum(p[go] + same, last[go])
-            go = go[(same == 8) & (p[go] < last[go])]
-        far[row, col] = p
+            other = x[at[go // len(side)] + flat[go]] ^ y[v[go] + flat[go]]
+            same = np.bitwise_count((other - np.uint64(1)) & ~other) >> 3
+            flat[go] = np.minimum(flat[go] + same, last[go])
+            go = go[(same == 8) & (flat[go] < last[go])]
         place = shift + wide
         near = (place >= 0) & (place <= 2 * wide)
         done = near & (far[np.arange(len(m)), np.where(near, place, 0)] == m)
