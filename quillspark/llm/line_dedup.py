@@ -16,8 +16,10 @@ name the bucket) and five of the line's hash. Two lines whose five bytes agree
 only add candidates. Short lists of a key become pairs, longer ones are
 compared in bounded cells. The texts are read again once, for the occurrences
 (rows of four numbers) and the lines that a bitmap of the candidates marks;
-lines it marks by chance find no candidate. Edit distances are counted for
-many pairs at once. The joins back to occurrences of a hot line can be split
+lines it marks by chance find no candidate. The pairs of a group of lines meet
+in one task, which has every text once and compares no further what is linked
+by then. Edit distances are counted for many pairs at once, those of very long
+lines one by one. The joins back to occurrences of a hot line can be split
 by adaptive execution.
 
 Defined cases: lines without a word stay; null and empty texts have no lines
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.cells import MET, list_groups, pairs_of_runs, runs_of, squares
+from quillspark.llm.cells import MET, grouped_pairs, list_groups, pairs_of_runs, runs_of, squares
 from quillspark.llm.common import _LOWER, NOT_ALNUM, components, cut, gaps, mix, row_words, segments, shared_dir, text_buffers, word_hashes, word_spans
 
 BLOCKS, BITS, SIMILAR, MOST, CELL = 8, 28, 0.9, 32, 500
@@ -186,28 +188,148 @@ def similar(a: bytes, b: bytes) -> bool:
     return edit_within(a, b, int((1 - SIMILAR) * max(len(a), len(b)) + 1e-9))
 
 
-def alike(a: pa.Array, b: pa.Array, elements: int = 1 << 17) -> np.ndarray:
+def band_within(a: bytes, b: bytes, most: int) -> bool:
+    """``edit_within`` for long rows: columns hold only the places that so
+    many edits reach, ``most`` above and below the diagonal."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > most:
+        return False
+    if most > len(b) or not b:
+        return edit_within(a, b, most)
+    x = np.frombuffer(a, np.uint8)
+    where = {c: int.from_bytes(np.packbits(x == c, bitorder="little").tobytes(), "little") for c in np.unique(x).tolist()}
+    wide = 2 * most + 2
+    full, top = (1 << wide) - 1, wide - 1
+    up, down, score, begin = full >> most + 1 << most + 1, 0, most, most + 1 - wide
+    edge, give_up, side = len(a) - most, 2 * most + len(b) - len(a), top - 1
+    for k, c in enumerate(b):
+        same = where.get(c, 0)
+        same = (same >> begin if begin > 0 else same << -begin) & full
+        begin += 1
+        diag = ((((same & up) + up) ^ up) | same | down) & full
+        grow, fall = down | full ^ (diag | up), diag & up
+        if k < edge:  # along the band's last diagonal, then along the last row
+            score += not diag >> top
+        else:
+            score += (grow >> side & 1) - (fall >> side & 1)
+            side -= 1
+        if score > give_up:
+            return False
+        diag >>= 1
+        up, down = fall | full ^ (diag | grow), diag & grow
+    return score <= most
+
+
+def alike(a: pa.Array, b: pa.Array, elements: int = 1 << 16) -> np.ndarray:
     """``similar`` of many pairs, the rows of two columns."""
-    (x, i), (y, j) = text_buffers(a), text_buffers(b)
-    m, n = np.diff(i), np.diff(j)
-    most = ((1 - SIMILAR) * np.maximum(m, n) + 1e-9).astype(np.int64)
+    a, b = a.to_pylist(), b.to_pylist()
+    m, n = (np.array([len(x) for x in y], np.int64) for y in (a, b))
+    low, high = np.minimum(m, n), np.maximum(m, n)
+    most = ((1 - SIMILAR) * high + 1e-9).astype(np.int64)
     out = np.zeros(len(m), bool)
-    todo = np.flatnonzero(np.abs(m - n) <= most)
-    todo = todo[np.argsort(most[todo], kind="stable")]
+    todo = np.flatnonzero(high - low <= most)
+    # pairs of about as many edits go together, in the order of their difference in length
+    step = (np.log2(most + 1) * 2).astype(np.int64)
+    todo = todo[np.lexsort(((high - low)[todo], step[todo]))]
     while len(todo):
         # as many pairs as fit by diagonals and by bytes
-        fit = (np.arange(1, len(todo) + 1) * (2 * most[todo] + 1) <= elements) & (np.cumsum(m[todo] + n[todo]) <= 8 * elements)
+        fit = (np.arange(1, len(todo) + 1) * (np.maximum.accumulate(most[todo]) + 1) <= elements) & (np.cumsum(high[todo]) <= 32 * elements)
+        fit &= step[todo] == step[todo[0]]
         lot, todo = np.split(todo, [max(1, int(fit.argmin()) if not fit.all() else len(fit))])
-        out[lot] = _reached(_windows(x, i[lot], m[lot]), _windows(y, j[lot], n[lot]), m[lot], n[lot], most[lot])
+        pairs = [(a[k], b[k]) if len(a[k]) <= len(b[k]) else (b[k], a[k]) for k in lot.tolist()]
+        short, long = [x for x, _ in pairs], [y for _, y in pairs]
+        out[lot] = _quickest(short, long, low[lot], high[lot], most[lot])
+    return out
+
+
+def _quickest(short: list, long: list, m, n, most) -> np.ndarray:
+    """Whether ``most`` edits lead from one row to the other, by the way whose
+    steps take least time (nanoseconds, measured) for so many pairs so long."""
+    def reached(within):
+        return _reached(*(_windows(*text_buffers(pa.array(x, pa.binary()))) for x in (short, long)), m, n, within)
+
+    wide, count = int(most.max()) + 1, len(m)
+    table = (int((m + n).max()) * (9_000 + count * wide // 4)) if wide < 60_000 else math.inf
+    places = 50 * count * wide * wide + (50_000 + 30 * int(n.max())) * wide
+    single = int((1_100 * n + n * n * 9 // 100).sum())
+    if places <= min(table, single):
+        return reached(most)
+    if table <= single:
+        return _within(short, long, m, n, most)
+    out = reached(np.minimum(most, 32)) if n.max() > 20_000 else np.zeros(count, bool)  # first those that few edits tell
+    for k in np.flatnonzero(~out).tolist():
+        out[k] = band_within(long[k], short[k], int(most[k]))
     return out
 
 
-def _windows(data, start, length):
+def _within(short: list, long: list, m, n, most) -> np.ndarray:
+    """Whether ``most`` edits lead from one row to the other: the table of edit
+    distances by antidiagonals, of all pairs at once (a column each), on the
+    diagonals that a path of so many edits can touch. Distances are cut off
+    above every ``most``."""
+    kind, top = (np.uint8, 200) if most.max() < 200 else (np.uint16, 60_000)
+    out, live = np.zeros(len(m), bool), np.argsort(m + n, kind="stable")
+    short, long, m, n, most = [short[k] for k in live.tolist()], [long[k] for k in live.tolist()], m[live], n[live], most[live]
+    shift, ends = n - m, m + n
+    low = -2 * int(-(-(most - shift).max() // 4))  # the first diagonal, even
+    half = max(1, int(-(-((most + shift) // 2 - low).max() // 2)))  # even diagonals but one
+    pad, size, last = half + 2 - low, int(n.max()), int(ends[-1])
+
+    def columns(rows):
+        own = np.zeros((size + 2 * pad, len(rows)), np.uint8)
+        own[pad:pad + size] = np.frombuffer(b"".join([r.ljust(size) for r in rows]), np.uint8).reshape(len(rows), size).T
+        return own
+
+    x, y = columns(short)[::-1].copy(), columns(long)
+    y_gone = over = 0  # rows of y cut off, columns that have ended
+    even, odd = np.full((half + 1, len(m)), top, kind), np.full((half + 2, len(m)), top, kind)
+    even[-low // 2] = 0
+    out[live[ends == 0]] = True
+    at_end, one = (np.bincount(ends, minlength=last + 1) > 0).tolist(), kind(1)
+
+    def sides():
+        """Of the even and of the odd antidiagonals: cells, their neighbours before and behind, room for sums and marks."""
+        room, marks = np.empty_like(even), np.empty(even.shape, bool)
+        return [(even, odd[:-1], odd[1:], room, marks, marks.view(np.uint8)),
+                (odd[1:-1], even[:-1], even[1:], room[1:], marks[1:], marks[1:].view(np.uint8))]
+
+    views = sides()
+    for step in range(1, last + 1):
+        cell, before, behind, room, marks, differ = views[step & 1]
+        first, rows = low + (step & 1), half + 1 - (step & 1)
+        i, j = size + pad - ((step - first) >> 1), ((step + first) >> 1) - 1 + pad - y_gone
+        np.not_equal(x[i:i + rows], y[j:j + rows], marks)
+        np.add(cell, differ, cell)
+        np.minimum(before, behind, room)
+        np.add(room, one, room)
+        np.minimum(cell, room, cell)
+        if at_end[step]:
+            start, over = over, int(np.searchsorted(ends, step, side="right"))
+            done = np.arange(start, over)
+            out[live[done]] = cell[(shift[done] - first) >> 1, done] <= most[done]
+        if step % 32 == 0:
+            np.minimum(even, top, out=even)
+            np.minimum(odd, top, out=odd)
+            keep = np.minimum(even.min(axis=0), odd.min(axis=0)) <= most
+            keep[:over] = False
+            left = np.flatnonzero(keep)
+            if not len(left):
+                break
+            if len(left) < 0.6 * len(keep):
+                # the rows still to be read, of the pairs still open
+                x, y, y_gone = x[:i + rows], y[j:], y_gone + j
+                x, y, even, odd = (z.take(left, axis=1) for z in (x, y, even, odd))
+                views = sides()
+                live, shift, most, ends, over = live[left], shift[left], most[left], ends[left], 0
+    return out
+
+
+def _windows(data, off):
     """The eight bytes from each byte on of some rows, and where the rows begin."""
-    at = np.cumsum(length) - length
-    own = np.zeros(int(length.sum()) + 8, np.uint8)
-    own[:-8] = data[np.arange(len(own) - 8) + np.repeat(start - at, length)]
-    return np.ndarray((len(own) - 7,), "<u8", own, strides=(1,)).copy(), at
+    own = np.zeros(int(off[-1] - off[0]) + 8, np.uint8)
+    own[:-8] = data[off[0]:off[-1]]
+    return np.ndarray((len(own) - 7,), "<u8", own, strides=(1,)).copy(), off[:-1] - off[0]
 
 
 def _reached(first, second, m, n, most):
@@ -446,11 +568,87 @@ def occurrences(docs: DataFrame, marked: np.ndarray) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-def search_pairs(batches):
-    """Links among pairs (u, a, v, b) of lines and their normalised texts."""
+def _asked(h, lines, u, v):
+    """Ends (indexes of lines) of the pairs (u, v) of short hashes; hashes
+    that several lines share stand for each of them. ``h`` is sorted by them."""
+    short = h & ((1 << LINE) - 1)
+    first, last = ([np.searchsorted(short, x, side=side) for x in (u, v)] for side in ("left", "right"))
+    count = [b - a for a, b in zip(first, last)]
+    times = count[0] * count[1]
+    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    width = np.repeat(count[1], times)
+    return np.repeat(first[0], times) + place // np.maximum(width, 1), np.repeat(first[1], times) + place % np.maximum(width, 1)
+
+
+def linked(h, lines, u, v):
+    """Links that connect the similar ones of the pairs (u, v) of short hashes
+    among lines ``lines`` of hashes ``h``. Ends that are connected already are
+    compared no further."""
+    order = np.lexsort((h, h & ((1 << LINE) - 1)))
+    h = h[order]
+    new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+    h, lines = h[new], lines.take(pa.array(order[new]))
+    i, j = _asked(h, lines, u, v)
+    root, out = np.arange(len(h)), []
+
+    def settle():
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    # of every line the first pair, then of every two groups the first pair, then all others
+    key = j
+    for turn in range(3):
+        settle()
+        open_ = root[i] != root[j]
+        i, j = i[open_], j[open_]
+        if not len(i):
+            break
+        key = j if turn == 0 else np.minimum(root[i], root[j]) * len(h) + np.maximum(root[i], root[j]) if turn == 1 else np.arange(len(i))
+        at = np.unique(key, return_index=True)[1]
+        a, b = i[at], j[at]
+        yes = alike(lines.take(pa.array(a)), lines.take(pa.array(b)))
+        for x, y in zip(a[yes].tolist(), b[yes].tolist()):
+            p, q = find(x), find(y)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((h[x], h[y]))
+        i, j = np.delete(i, at), np.delete(j, at)
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def search_pairs(batches, most: int = 40_000):
+    """Links among the pairs of groups in batches (group, u, v, line) sorted
+    by group: rows with a line give it and, as u, its hash, others a pair."""
+    held, size = [], 0
+
+    def links(rows):
+        line = rows.column(3).is_valid().to_numpy(zero_copy_only=False)
+        h, u, v = (rows.column(k).filter(pa.array(use)).to_numpy() for k, use in ((1, line), (1, ~line), (2, ~line)))
+        got = linked(h, rows.column(3).filter(pa.array(line)), u, v)
+        return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["u", "v"])
+
+    def together():
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()
+        return rows[0] if rows else None
+
     for b in batches:
-        at = pa.array(alike(b.column(1), b.column(3)))
-        yield pa.RecordBatch.from_arrays([b.column(0).filter(at), b.column(2).filter(at)], names=["u", "v"])
+        held.append(b)
+        size += len(b)
+        if size < most:
+            continue
+        rows = together()
+        group = rows.column(0).to_numpy()
+        at = int(np.searchsorted(group, group[-1]))  # the last group may go on
+        if at:
+            yield links(rows.slice(0, at))
+        held, size = [rows.slice(at)], len(rows) - at
+    if size:
+        yield links(together())
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -463,13 +661,15 @@ def groups(met: DataFrame, lines: DataFrame) -> DataFrame:
     """``(id, component)`` of line hashes that are linked to another."""
     texts = (lines.where("line is not null").select(F.col("h").bitwiseAND((1 << LINE) - 1).alias("id"), "h", "line")
              .repartition("id").dropDuplicates(["id", "h"]))
-    pairs = (met.where("kind = 0").join(texts.toDF("u", "hu", "a"), "u").join(texts.toDF("v", "hv", "b"), "v")
-             .select("hu", "a", "hv", "b").mapInArrow(search_pairs, "u long, v long"))
+    asked = grouped_pairs(met.where("kind = 0").select("u", "v"))
+    ends = asked.select("grp", F.explode(F.array("u", "v")).alias("id")).distinct().join(texts, "id")
+    pairs = (asked.select("grp", "u", "v", F.lit(None).cast("binary").alias("line")).union(ends.select("grp", "h", F.lit(0).cast("long"), "line"))
+             .repartition("grp").sortWithinPartitions("grp"))
     members = squares(list_groups(met.where("kind = 1").select(F.col("u").alias("list"), F.col("v").alias("id"))).withColumn("weight", F.lit(1)), CELL)
     sets = members.join(texts, "id").select("cell", F.col("h").alias("id"), "side", "line")
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # cells are more work than their bytes tell
     sets = sets.repartition(parts, "cell").sortWithinPartitions("cell", "id")
-    return components(pairs.union(sets.mapInArrow(search_cells, "u long, v long")))
+    return components(pairs.mapInArrow(search_pairs, "u long, v long").union(sets.mapInArrow(search_cells, "u long, v long")))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -104,6 +104,44 @@ def test_many_pairs_at_once_as_one_by_one():
         assert got.tolist() == [ld.similar(a, b) for a, b in pairs] and 0 < got.sum() < len(pairs)
 
 
+def test_distances_of_long_rows_by_table_and_by_band():
+    rnd = random.Random(8)
+    for _ in range(400):
+        a = bytes(rnd.choice(b"abc") for _ in range(rnd.randint(0, 30)))
+        b = bytearray(a)
+        for _ in range(rnd.randint(0, 8)):
+            at = rnd.randint(0, len(b))
+            b[at:at + rnd.randint(0, 1)] = bytes(rnd.choice(b"abc") for _ in range(rnd.randint(0, 1)))
+        assert [ld.band_within(a, bytes(b), k) for k in range(12)] == [ld.edit_within(a, bytes(b), k) for k in range(12)]
+    pairs = [changed(rnd, n, edits, kind) for n in (12, 60, 420, 800) for edits in (1, n // 12, n // 8) for kind in ("typo", "new", "out") for _ in range(3)]
+    short, long = zip(*(sorted(p, key=len) for p in pairs))
+    m, n = (np.array([len(x) for x in side]) for side in (short, long))
+    most = (0.1 * n + 1e-9).astype(np.int64)
+    want = [ld.similar(a, b) for a, b in pairs]
+    for lot in (np.arange(len(m)), np.flatnonzero(most < 200)):  # distances of two bytes and of one
+        use = lot[(n - m)[lot] <= most[lot]]
+        got = ld._within([short[k] for k in use], [long[k] for k in use], m[use], n[use], most[use])
+        assert got.tolist() == [want[k] for k in use] and 0 < got.sum() < len(use)
+
+
+def test_linked_lines_are_compared_no_further(monkeypatch):
+    rnd, asked, alike = random.Random(9), [], ld.alike
+    monkeypatch.setattr(ld, "alike", lambda a, b: asked.append(len(a)) or alike(a, b))
+    base, other = (changed(rnd, 60, 1, "new")[0] for _ in range(2))
+    lines = [base + b" " + b"x" * k for k in range(6)] + [other, other + b" y", other + b" z"]
+    h = [k + 1 for k in range(6)] + [7, 8, 7 + (1 << ld.LINE)]  # two lines of one short hash
+    pairs = [(a, b) for a, b in itertools.combinations(range(1, 9), 2)]
+    rows = [(0, a, b, None) for a, b in pairs] + [(0, x, 0, line) for x, line in zip(h, lines)] + [(1, 1, 2, None), (1, 1, 0, lines[0]), (1, 2, 0, lines[1])]
+    batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["grp", "u", "v", "line"])
+    for most in (40_000, 5):
+        asked.clear()
+        links = [tuple(r.values()) for b in ld.search_pairs([batch.slice(k, 7) for k in range(0, len(batch), 7)], most) for r in b.to_pylist()]
+        group = components(h, links)
+        assert {group[x] for x in h[:6]} == {1} and {group[x] for x in h[6:]} == {7}
+        assert sum(asked) < len(pairs)
+    assert list(ld.search_pairs([])) == []
+
+
 def test_keys_travel_packed():
     """Nine bytes a key; only keys sent more than once come back, a line sent twice under one counts once."""
     key, line = np.array([5 << 52 | 7 << 20, 5 << 52 | 9 << 20, 3 << 52], np.uint64), np.array([2**39 + 1, 4, 6], np.uint64)
