@@ -458,7 +458,7 @@ def search_cells(batches, most: int = 4096):
 def packed(held) -> pa.RecordBatch:
     """Rows ``(bucket, keys)`` of lists of keys and lines."""
     key, line = (np.concatenate(x) for x in zip(*held))
-    order = np.argsort(key)
+    order = np.argsort((key >> np.uint64(64 - BUCKET)).astype(np.uint16), kind="stable")
     key, line = key[order], line[order]
     rows = np.empty(len(key), _PACKED)
     rows["key"], rows["low"], rows["high"] = key >> np.uint64(32 - BUCKET), line, line >> np.uint64(32)
@@ -483,12 +483,18 @@ def block_keys(docs: DataFrame) -> DataFrame:
                 line = line_hashes(h, first)
                 if not len(line):
                     continue
-                line, new = np.unique(line, return_index=True)
-                fresh = np.array([x not in seen for x in line.tolist()], bool)
+                new = np.unique(line, return_index=True)[1]
+                new = np.sort(new[[x not in seen for x in line[new].tolist()]])
+                long, line = lengths(first, s, e)[new], line[new]
                 if len(seen) < 500_000:  # lines this task has sent already
-                    seen.update(line[fresh].tolist())
-                line, new = line[fresh], new[fresh]
-                blocks, (low, high) = simhash(h, first)[new], bands(lengths(first, s, e)[new])
+                    seen.update(line.tolist())
+                if not len(new):
+                    continue
+                count = np.diff(first)
+                use = np.zeros(len(count), bool)
+                use[new] = True
+                h, first = h[np.repeat(use, count)], np.append(0, np.cumsum(count[new]))
+                blocks, (low, high) = simhash(h, first), bands(long)
                 for at in (low, high):
                     use = np.ones(len(line), bool) if at is low else high > low
                     if not use.any():
@@ -510,8 +516,11 @@ def repeated(batches):
     have, from rows (bucket, keys) sorted by bucket."""
     for bucket, (held,) in runs_of(batches, 1):
         rows = np.frombuffer(b"".join(held), _PACKED)
-        key = np.sort(rows["key"])
-        rows = rows[np.isin(rows["key"], key[1:][key[1:] == key[:-1]])]
+        key = rows["key"].copy()
+        order = np.argsort(key)
+        key = key[order]
+        same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+        rows = rows[order[same[1:] | same[:-1]]]
         if not len(rows):
             continue
         key, line = rows["key"].astype(np.int64) | bucket << 32, rows["low"].astype(np.int64) | rows["high"].astype(np.int64) << 32
