@@ -43,3 +43,14 @@ def test_components(spark, shape):
     want = components({x for e in edges for x in e}, edges)
     loops = {a for a, b in edges if a == b}
     assert {k: v for k, v in want.items() if k not in loops or k in got} == got
+
+
+def test_marked_rows_are_the_keys_and_few_others(spark):
+    df = spark.range(-20_000, 20_000).selectExpr("id as doc_id", "id * 2 as _BIT", "cast(id as string) as text")
+    keys = spark.range(-20_000, 20_000, 20).selectExpr("id as doc_id")
+    got = common.marked(df, keys, "doc_id", rows=10)
+    assert got.columns == df.columns
+    assert all(r.text == str(r.doc_id) and r["_BIT"] == 2 * r.doc_id for r in got.collect())
+    assert got.join(keys, "doc_id").count() == 2_000
+    assert got.count() < 2_000 + 40_000 / 10
+    assert common.marked(df, keys, "doc_id") is df
